@@ -71,23 +71,33 @@ def attribute_measures(
     order_col: str = "order_id",
     other: str = "Other",
     not_set: str = "(not set)",
+    keys=("date", "channel", "campaign_id"),
+    exact_scale: int | None = None,
 ) -> DataFrame:
     """Spread order measures over touches and sum by date, channel, campaign.
 
     ``measures`` maps output names to per-order expressions over ``sales``.
     Orders without surviving touches count once under ``other`` /
     ``not_set``. Weights of one order sum to 1, so totals are preserved.
+    ``keys`` chooses the output grain (any of ``date, channel, campaign_id``);
+    ``exact_scale`` rounds each weighted addend to that many decimals and sums
+    as decimal, making the sum independent of partitioning.
     """
     s = sales.select(F.col(order_col), to_date(date_col).alias("date"),
                      *[expr.alias(f"__v_{name}") for name, expr in measures.items()])
     j = s.join(attributed.select(order_col, "channel", "campaign_id", "order_index"),
                order_col, "left")
     n = F.coalesce(F.col("order_index"), F.lit(1)).cast("double")
-    return (j.groupBy("date",
-                      F.coalesce(F.col("channel"), F.lit(other)).alias("channel"),
-                      F.coalesce(F.col("campaign_id"), F.lit(not_set)).alias("campaign_id"))
-            .agg(*[F.sum(F.col(f"__v_{name}").cast("double") / n).alias(name)
-                   for name in measures]))
+    j = j.withColumns({"channel": F.coalesce(F.col("channel"), F.lit(other)),
+                       "campaign_id": F.coalesce(F.col("campaign_id"), F.lit(not_set))})
+
+    def weighted(name):
+        w = F.col(f"__v_{name}").cast("double") / n
+        if exact_scale is None:
+            return F.sum(w)
+        return F.sum(w.cast(f"decimal(18,{exact_scale})")).cast("double")
+
+    return j.groupBy(*keys).agg(*[weighted(name).alias(name) for name in measures])
 
 
 def map_utm(touches: DataFrame, mapping: DataFrame, google_value: str = "google",
@@ -142,7 +152,7 @@ def touch_orders(touches: DataFrame, date_col: str, keys: Sequence, grains=GRAIN
 def skan_offset(mmp: DataFrame, skan: DataFrame, keys: Sequence[str], installs_col: str,
                 self_attributing: Sequence[str], source_col: str = "source",
                 offset_channel: str = "af_app_invites", offset_keys: Mapping[str, object] | None = None,
-                ) -> DataFrame:
+                channel_col: str = "channel") -> DataFrame:
     """SKAN install correction.
 
     Self-attributing sources get 0 installs in the MMP feed, SKAN installs are
@@ -153,9 +163,10 @@ def skan_offset(mmp: DataFrame, skan: DataFrame, keys: Sequence[str], installs_c
     mmp_part = mmp.select(*keys, F.when(F.col(source_col).isin(list(self_attributing)), F.lit(0))
                           .otherwise(F.col(installs_col)).alias("installs"))
     skan_part = skan.select(*keys, F.col(installs_col).alias("installs"))
+    offset_keys = {channel_col: offset_channel, **dict(offset_keys or {})}
     offset_cols = []
     for k in keys:
-        if offset_keys and k in offset_keys:
+        if k in offset_keys:
             offset_cols.append(F.lit(offset_keys[k]).alias(k))
         else:
             offset_cols.append(F.col(k))

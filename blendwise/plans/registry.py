@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load():
-    from blendwise.plans import report_queries  # noqa: F401  (registers queries)
+    from blendwise.plans import operator_queries, report_queries  # noqa: F401  (register)
 
 
 def queries():

@@ -128,3 +128,35 @@ def store_period(tables, grains=GRAINS) -> DataFrame:
          "first_order_shipping_refunds": sum_(F.lit(0.0)),
          "first_order_tax_refunds": sum_(F.floor(first("refund") / 2).cast("double"))},
         grains=grains)
+
+
+def touches(tables) -> DataFrame:
+    """Attribution touches from ``lineitem``: each line is a click on its order.
+
+    ``source`` by return flag, blank campaign id on line 7, a different model
+    type on line 6, soft-deleted when the discount is the maximum 0.10.
+    """
+    li = tables["lineitem"]
+    return li.select(
+        F.col("l_orderkey").cast("string").alias("order_id"),
+        F.when(F.col("l_returnflag") == "R", F.lit("facebook-ads"))
+        .when(F.col("l_returnflag") == "A", F.lit("google-ads"))
+        .otherwise(F.lit("applovin")).alias("source"),
+        F.when(F.col("l_linenumber") == 7, F.lit("")).otherwise(
+            F.col("l_suppkey").cast("string")).alias("campaign_id"),
+        F.col("l_shipdate").alias("click_date"),
+        F.when(F.col("l_linenumber") == 6, F.lit("ORDERS_FIRST_CLICK"))
+        .otherwise(F.lit("ORDERS_LINEAR_ALL")).alias("type"),
+        F.col("l_linenumber").alias("index"),
+        (F.col("l_discount") >= 0.1).alias("_fivetran_deleted"))
+
+
+def attribution_orders(tables) -> DataFrame:
+    """``orders(order_id, order_date)``."""
+    return tables["orders"].select(F.col("o_orderkey").cast("string").alias("order_id"),
+                                   F.col("o_orderdate").alias("order_date"))
+
+
+# Attribution channels: (source, channel, needs a non-blank campaign id).
+ATTRIBUTION_CHANNELS = [("facebook-ads", "Facebook", True), ("applovin", "App Lovin", True),
+                        ("google-ads", "Google Ads", False)]
