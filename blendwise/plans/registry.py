@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load():
-    from blendwise.plans import operator_queries, report_queries  # noqa: F401  (register)
+    from blendwise.plans import operator_queries, operator_queries2, report_queries  # noqa: F401
 
 
 def queries():
