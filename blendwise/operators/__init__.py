@@ -19,3 +19,4 @@ from blendwise.operators.commerce import (
     net_new, order_counts, period_refund, product_units, returning_orders, sales_components,
 )
 from blendwise.operators.scenario import goal_rollup, stack_scenarios, unpivot_regions
+from blendwise.operators.funnel import crm_funnel, new_vs_recurring, platform_plus_crm, web_sessions

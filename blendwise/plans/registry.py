@@ -4,7 +4,8 @@ from __future__ import annotations
 
 
 def _load():
-    from blendwise.plans import operator_queries, operator_queries2, report_queries  # noqa: F401
+    from blendwise.plans import (  # noqa: F401  (each module registers its queries)
+        operator_queries, operator_queries2, operator_queries3, report_queries)
 
 
 def queries():
