@@ -487,3 +487,25 @@ dim AS (
   FROM lineitem LEFT JOIN names ON CAST(l_suppkey AS VARCHAR) = names.campaign_id
   WHERE l_returnflag = 'N' GROUP BY 1, 2, 3)
 SELECT * FROM conv LEFT JOIN dim USING (channel, campaign_id)"""
+
+
+# ---------------------------------------------------- R1 at line grain --
+
+def lineitem_rollup(spark, sf, strategy="auto"):
+    """Five-grain roll-up of every line by supplier (the benchmark's roll-up)."""
+    li = tables(spark, sf)["lineitem"]
+    return granularity_rollup(
+        li, "l_shipdate", [F.col("l_suppkey").alias("supplier")],
+        {"lines": count_(), "quantity": sum_(F.col("l_quantity").cast("long")),
+         "spend": sum_(money("l_extendedprice"))}, strategy=strategy)
+
+
+@query("granularity_rollup_lineitem")
+def q_granularity_rollup_lineitem(spark, sf):
+    return lineitem_rollup(spark, sf)
+
+
+SQL["granularity_rollup_lineitem"] = per_grain(
+    "SELECT " + trunc("{g}", "l_shipdate") + " AS date, '{g}' AS date_granularity, "
+    "l_suppkey AS supplier, COUNT(*) AS lines, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) "
+    "AS quantity, SUM(floor(l_extendedprice)::DOUBLE) AS spend FROM lineitem GROUP BY 1, 2, 3")
