@@ -310,17 +310,18 @@ SQL["cutover_sources"] = "SELECT * FROM (" + per_grain(
 
 # ------------------------------------------------------------ R23, R24, M5 --
 
-_REGION_OF = (F.when(F.col("r_name") == "AMERICA", F.lit("US"))
-              .when(F.col("r_name") == "ASIA", F.lit("AUS"))
-              .when(F.col("r_name") == "EUROPE", F.lit("UK"))
-              .when(F.col("r_name") == "AFRICA", F.lit("EU")).otherwise(F.lit("Other")))
+def _region_of():
+    return (F.when(F.col("r_name") == "AMERICA", F.lit("US"))
+            .when(F.col("r_name") == "ASIA", F.lit("AUS"))
+            .when(F.col("r_name") == "EUROPE", F.lit("UK"))
+            .when(F.col("r_name") == "AFRICA", F.lit("EU")).otherwise(F.lit("Other")))
 
 
 @query("regional_paid_spend")
 def q_regional_paid_spend(spark, sf):
     ro = _region_orders(tables(spark, sf)).select(
         _od().alias("date"), F.col("o_orderstatus").alias("status"),
-        F.col("o_orderpriority").alias("campaign_name"), _REGION_OF.alias("region"),
+        F.col("o_orderpriority").alias("campaign_name"), _region_of().alias("region"),
         money("o_totalprice").alias("spend"))
     name, status, region = F.col("campaign_name"), F.col("status"), F.col("region")
     core = region.isin("US", "AUS") & not_imatch(name, "not specified")
