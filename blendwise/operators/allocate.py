@@ -38,7 +38,8 @@ def split_spend(name, spend, pattern: str, match_share: float = 0.0,
         acq = F.when(~m, s).when(m, s * F.lit(float(match_share))).otherwise(F.lit(0))
     else:
         acq = F.when(~m, s).otherwise(F.when(m, s) * F.lit(float(match_share)))
-    ret = F.when(m, s * F.lit(1.0 - float(match_share))).otherwise(F.lit(0))
+    # round: 1 - 0.34 is 0.6599999999999999 in binary; the literal 0.66 is meant
+    ret = F.when(m, s * F.lit(round(1.0 - float(match_share), 12))).otherwise(F.lit(0))
     return acq, ret
 
 

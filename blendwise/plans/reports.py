@@ -44,44 +44,65 @@ def _coalesce_sum(names: Sequence[str]) -> list:
 # campaign_web_store: paid campaigns + web sessions (full outer) + store block
 # --------------------------------------------------------------------------
 
-def campaign_web_store(inputs: Mapping[str, DataFrame], grains: Sequence[str] = GRAINS,
-                       extra_paid: Sequence[Mapping] = (), extra_measures: Sequence[str] = (),
-                       web_strategy: str = "auto") -> DataFrame:
-    """Paid campaigns blended with web sessions by campaign id, plus a store block.
+# Store columns feeding the store block: (output, source column).
+STORE_NET_MAP = (("shopify_first_orders", "first_orders"), ("shopify_orders", "orders"),
+                 ("shopify_first_sales", "first_order_total_net_sales"),
+                 ("shopify_sales", "total_net_sales"),
+                 ("shopify_first_net_sales", "first_order_net_sales"),
+                 ("shopify_net_sales", "net_sales"))
+STORE_GROSS_MAP = (("shopify_first_orders", "first_orders"), ("shopify_orders", "orders"),
+                   ("shopify_first_sales", "first_order_gross_sales"),
+                   ("shopify_sales", "gross_sales"),
+                   ("shopify_first_net_sales", "first_order_net_sales"),
+                   ("shopify_net_sales", "net_sales"))
 
-    Inputs: ``meta`` and ``google`` (ads facts at period grain), ``web``
-    (daily sessions: ``date, session_campaign_id, sessions, engaged_sessions,
-    conversions_purchase, purchase_revenue``), ``store`` (store_period).
-    Web sessions are rolled up to ``grains`` and full-outer-joined to paid rows
-    on ``(date, date_granularity, campaign_id)``; rows with no campaign name
-    become channel 'Not Paid'; the campaign id is then dropped by
-    re-aggregation. Store rows are channel 'Shopify', name '(not set)'.
+_PAID_RENAMES = {"link_clicks": "clicks", "purchases": "paid_purchases", "revenue": "paid_revenue",
+                 "atc": "add_to_cart"}
+
+
+def paid_branch(df: DataFrame, channel: str, **extra) -> dict:
+    """A paid platform branch with the usual reporting-table renames."""
+    rename = {k: v for k, v in _PAID_RENAMES.items() if k in df.columns}
+    if "link_clicks" in rename and "clicks" in df.columns:
+        df = df.drop("clicks")
+    return {"df": df, "rename": rename, "const": {"channel": channel, **extra}}
+
+
+def paid_web_store(paid_branches: Sequence[Mapping], web: DataFrame, store: DataFrame,
+                   grains: Sequence[str] = GRAINS, extra_measures: Sequence[str] = (),
+                   web_at_grain: bool = False, store_map=STORE_NET_MAP,
+                   store_fill: bool = True, web_strategy: str = "auto") -> DataFrame:
+    """Paid campaigns full-outer-joined to web sessions by campaign id, plus a store block.
+
+    Paid rows are stacked into one contract and summed per (channel, id,
+    name, date, grain). Web sessions (daily, rolled up to ``grains``, or
+    already at grain with ``web_at_grain``) join on ``(date, grain, id)``;
+    rows with no campaign name become channel 'Not Paid', and the id is dropped
+    by re-aggregation. Store rows are channel 'Shopify', name '(not set)',
+    their measures taken per ``store_map`` (zero-filled if ``store_fill``).
     """
     paid_measures = [*PAID_MEASURES[:3], *extra_measures, *PAID_MEASURES[3:]]
     keys = [("channel", "string"), ("campaign_id", "string"), ("campaign_name", "string"),
             ("date", "date"), ("date_granularity", "string")]
     contract = keys + _typed(paid_measures)
-    renames = {"link_clicks": "clicks", "purchases": "paid_purchases", "revenue": "paid_revenue"}
-    branches = [
-        {"df": inputs["meta"].drop("clicks"), "rename": renames, "const": {"channel": "Meta"}},
-        {"df": inputs["google"], "rename": {"purchases": "paid_purchases",
-                                            "revenue": "paid_revenue"},
-         "const": {"channel": "Google Ads"}},
-        *extra_paid,
-    ]
-    paid = (stack_channels(branches, contract, paid_measures)
+    paid = (stack_channels(paid_branches, contract, paid_measures)
             .groupBy(*[k for k, _ in keys]).agg(*_coalesce_sum(paid_measures)))
 
-    web_src = inputs["web"].select(F.col("date").cast("date").alias("date"),
-                                   F.col("session_campaign_id").cast("string").alias("campaign_id"),
-                                   "sessions", "engaged_sessions",
-                                   F.col("conversions_purchase").alias("ga4_purchases"),
-                                   F.col("purchase_revenue").alias("ga4_revenue"))
-    web = granularity_rollup(web_src, "date", ["campaign_id"],
-                             {m: sum_(m) for m in WEB_MEASURES}, grains=grains,
-                             strategy=web_strategy)
+    cols = [F.col("date").cast("date").alias("date"),
+            F.col("session_campaign_id").cast("string").alias("campaign_id"),
+            "sessions", "engaged_sessions",
+            F.col("conversions_purchase").alias("ga4_purchases"),
+            F.col("purchase_revenue").alias("ga4_revenue")]
+    if web_at_grain:
+        web_g = (web.select("date_granularity", *cols)
+                 .groupBy("date", "date_granularity", "campaign_id")
+                 .agg(*[F.sum(m).alias(m) for m in WEB_MEASURES]))
+    else:
+        web_g = granularity_rollup(web.select(*cols), "date", ["campaign_id"],
+                                   {m: sum_(m) for m in WEB_MEASURES}, grains=grains,
+                                   strategy=web_strategy)
 
-    blended = full_outer_blend([(paid, None), (web, ["date", "date_granularity", "campaign_id"])])
+    blended = full_outer_blend([(paid, None), (web_g, ["date", "date_granularity", "campaign_id"])])
     all_measures = [*paid_measures, *WEB_MEASURES]
     paid_web = (label_unpaid(blended)
                 .groupBy("channel", "campaign_name", "date", "date_granularity")
@@ -92,20 +113,908 @@ def campaign_web_store(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
     out_contract = [("channel", "string"), ("campaign_name", "string"), ("date", "date"),
                     ("date_granularity", "string"), *_typed([*paid_measures, *STORE_MEASURES,
                                                              *WEB_MEASURES])]
-    store = inputs["store"]
     if grains is not None:
         store = store.filter(F.col("date_granularity").isin(list(grains)))
+    fill = (lambda c: F.coalesce(F.col(c), F.lit(0))) if store_fill else F.col
     store_rows = store.select(
         F.lit("Shopify").alias("channel"), F.lit("(not set)").alias("campaign_name"),
         F.col("date").cast("date").alias("date"), "date_granularity",
-        F.coalesce(F.col("first_orders"), F.lit(0)).alias("shopify_first_orders"),
-        F.coalesce(F.col("orders"), F.lit(0)).alias("shopify_orders"),
-        F.coalesce(F.col("first_order_total_net_sales"), F.lit(0)).alias("shopify_first_sales"),
-        F.coalesce(F.col("total_net_sales"), F.lit(0)).alias("shopify_sales"),
-        # The reference subtracts refund columns it never projects (quirk Q14);
-        # the evident intent is the projected net columns.
-        F.coalesce(F.col("first_order_net_sales"), F.lit(0)).alias("shopify_first_net_sales"),
-        F.coalesce(F.col("net_sales"), F.lit(0)).alias("shopify_net_sales"))
+        *[fill(src).alias(out) for out, src in store_map])
     return stack([align_to(paid_web, out_contract, [*all_measures, *STORE_MEASURES]),
                   align_to(store_rows, out_contract, [*paid_measures, *WEB_MEASURES])]
                  ).select(*out_cols)
+
+
+def campaign_web_store(inputs: Mapping[str, DataFrame], grains: Sequence[str] = GRAINS,
+                       web_strategy: str = "auto") -> DataFrame:
+    """Meta and Google campaigns + web sessions + store block.
+
+    Inputs: ``meta``, ``google`` (ads facts at period grain), ``web`` (daily
+    sessions: ``date, session_campaign_id, sessions, engaged_sessions,
+    conversions_purchase, purchase_revenue``), ``store`` (store_period).
+    The store's refund-adjusted columns are the projected net columns (Q14).
+    """
+    branches = [paid_branch(inputs["meta"], "Meta"), paid_branch(inputs["google"], "Google Ads")]
+    return paid_web_store(branches, inputs["web"], inputs["store"], grains,
+                          web_strategy=web_strategy)
+
+
+def campaign_web_store_raw_grain(inputs: Mapping[str, DataFrame],
+                                 grains: Sequence[str] = GRAINS) -> DataFrame:
+    """As ``campaign_web_store`` with add-to-cart, a short-video platform at
+    period grain plus its raw daily feed rolled up here, and a search platform.
+
+    Inputs: ``meta``, ``google``, ``video`` (period grain, ``atc``),
+    ``video_raw`` (``stat_time_day, campaign_id, campaign_name, spend``),
+    ``bing``, ``web`` (already at grain: ``date, date_granularity, ...``),
+    ``store``. Store measures are gross sales and stay NULL when missing.
+    """
+    raw = granularity_rollup(inputs["video_raw"], "stat_time_day",
+                             [F.col("campaign_id").cast("string").alias("campaign_id"),
+                              "campaign_name"], {"spend": sum_("spend")}, grains=grains)
+    branches = [paid_branch(inputs["meta"], "Meta"), paid_branch(inputs["google"], "Google Ads"),
+                paid_branch(inputs["video"], "Tiktok Ads"), paid_branch(raw, "Tiktok Ads"),
+                paid_branch(inputs["bing"], "Bing")]
+    for b in branches[4:]:
+        b["df"] = b["df"].drop("add_to_cart")  # the search platform reports no add-to-cart
+    return paid_web_store(branches, inputs["web"], inputs["store"], grains,
+                          extra_measures=["add_to_cart"], web_at_grain=True,
+                          store_map=STORE_GROSS_MAP, store_fill=False)
+
+
+# --------------------------------------------------------------------------
+# adset_store_blend: ad-set-level paid rows + store block, stacked and summed
+# --------------------------------------------------------------------------
+
+def adset_store_blend(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """Meta ad-set rows and Google campaign rows ('(not set)' ad set) plus store rows,
+    stacked and summed at 7 keys (R3, R15, A18).
+
+    Inputs: ``meta`` (``adset_id, adset_name`` present), ``google``, ``store``.
+    """
+    keys = ["channel", "campaign_id", "campaign_name", "adset_id", "adset_name", "date",
+            "date_granularity"]
+    measures = [*PAID_MEASURES, *STORE_MEASURES]
+    contract = [(k, "date" if k == "date" else "string") for k in keys] + _typed(measures)
+    branches = [paid_branch(inputs["meta"], "Meta"),
+                paid_branch(inputs["google"], "Google Ads", adset_id="(not set)",
+                            adset_name="(not set)")]
+    paid = (stack_channels(branches, contract, measures)
+            .groupBy(*keys).agg(*_coalesce_sum(PAID_MEASURES)))
+    store = inputs["store"].select(
+        F.lit("Shopify").alias("channel"), *[F.lit("(not set)").alias(k) for k in keys[1:5]],
+        F.col("date").cast("date").alias("date"), "date_granularity",
+        *[F.col(src).alias(out) for out, src in STORE_GROSS_MAP])
+    stacked = stack([align_to(paid, contract, measures), align_to(store, contract, measures)])
+    return stacked.groupBy(*keys).agg(*_zero_sum(measures))
+
+
+# --------------------------------------------------------------------------
+# channel_store_web_stack: labelled paid channels, store block, web block
+# --------------------------------------------------------------------------
+
+def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequence[tuple],
+                            session_factor: float = 0.8) -> DataFrame:
+    """Paid channels split from shared sources by labelled filters, a store block
+    and a web block, stacked without blending (R40, R41, R15, R42).
+
+    ``channel_rules`` holds ``(source_key, label, condition)``: each source in
+    ``inputs['paid'][source_key]`` is scanned once and every row emitted once
+    per satisfied rule. Shared-item purchases and revenue are added to the
+    platform's own (zero-filled). Inputs: ``paid`` (dict of sources with
+    ``date, date_granularity, spend, clicks|link_clicks, impressions,
+    purchases, revenue`` and optional ``*_shared_items``), ``store``, ``web``
+    (``date, date_granularity, sessions``), optional ``sales_adj`` (Q20).
+    """
+    from blendwise.functions.numeric import merge_shared_items
+    from blendwise.operators.blend import split_channels
+
+    measures = ["spend", "clicks", "impressions", "paid_purchases", "paid_revenue",
+                "shopify_total_sales", "shopify_orders", "shopify_first_orders",
+                "shopify_subtotal_sales_adj", "shopify_net_sales", "shopify_gross_sales",
+                "ga4_sessions", "ga4_sessions_adjusted"]
+    types = {m: ("bigint" if m in ("clicks", "impressions", "paid_purchases", "shopify_orders",
+                                   "shopify_first_orders", "ga4_sessions") else "double")
+             for m in measures}
+    contract = [("channel", "string"), ("date", "date"), ("date_granularity", "string")] + \
+        [(m, types[m]) for m in measures]
+    parts = []
+    by_source: dict[str, list] = {}
+    for source_key, label, cond in channel_rules:
+        by_source.setdefault(source_key, []).append((label, cond))
+    for source_key, rules in by_source.items():
+        src = inputs["paid"][source_key]
+        clicks = "link_clicks" if "link_clicks" in src.columns else "clicks"
+        purchases = (merge_shared_items("purchases", "purchases_shared_items")
+                     if "purchases_shared_items" in src.columns else F.col("purchases"))
+        revenue = (merge_shared_items("revenue", "revenue_shared_items")
+                   if "revenue_shared_items" in src.columns else F.col("revenue"))
+        labelled = split_channels(src, rules).select(
+            "channel", F.col("date").cast("date").alias("date"), "date_granularity", "spend",
+            F.col(clicks).alias("clicks"), "impressions", purchases.alias("paid_purchases"),
+            revenue.alias("paid_revenue"))
+        parts.append(labelled)
+    paid = (stack(parts).groupBy("channel", "date", "date_granularity")
+            .agg(*_coalesce_sum(["spend", "clicks", "impressions", "paid_purchases",
+                                 "paid_revenue"])))
+    store = inputs["store"]
+    if inputs.get("sales_adj") is not None:  # an inner join used as a filter (J4, Q20)
+        store = store.join(inputs["sales_adj"].select("date", "date_granularity").distinct(),
+                           ["date", "date_granularity"], "inner")
+    store_rows = store.select(
+        F.lit("Shopify").alias("channel"), F.col("date").cast("date").alias("date"),
+        "date_granularity", F.col("total_net_sales").alias("shopify_total_sales"),
+        F.col("orders").alias("shopify_orders"), F.col("first_orders").alias("shopify_first_orders"),
+        (F.col("gross_sales") - F.col("subtotal_discount")).alias("shopify_subtotal_sales_adj"),
+        F.col("net_sales").alias("shopify_net_sales"), F.col("gross_sales").alias("shopify_gross_sales"))
+    web = inputs["web"].groupBy(F.col("date").cast("date").alias("date"), "date_granularity").agg(
+        F.coalesce(F.sum("sessions"), F.lit(0)).alias("ga4_sessions"),
+        # one-argument COALESCE leaves NULL where its sibling gives 0 (Q21)
+        (F.lit(float(session_factor)) * F.coalesce(F.sum("sessions"))).alias("ga4_sessions_adjusted"))
+    web = web.withColumn("channel", F.lit("GA4"))
+    return stack([align_to(paid, contract, measures), align_to(store_rows, contract, measures),
+                  align_to(web, contract, measures)])
+
+
+# --------------------------------------------------------------------------
+# actual_vs_forecast: actual spend / store vs forecast and adjusted forecast
+# --------------------------------------------------------------------------
+
+def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] = GRAINS,
+                       excluded_campaigns: Sequence[str] = ()) -> DataFrame:
+    """Actual spend and store results beside a forecast sheet and its adjusted
+    version, at every grain (R10, R16, R3, R1, R18).
+
+    Inputs: ``meta`` (with ``campaign_name``), ``google``, ``store``
+    (store_period), ``forecast`` (daily sheet: ``date, original_spend,
+    acquisitions, returning, revenue, adjusted_spend, adjusted_acquisitions,
+    adjusted_returning, adjusted_revenue``). ``excluded_campaigns`` are meta
+    names left out with ``!=`` (NULL names drop too, Q4).
+    """
+    from blendwise.operators.commerce import period_refund, returning_orders
+    from blendwise.operators.scenario import goal_rollup
+
+    meta = inputs["meta"]
+    if excluded_campaigns:
+        cond = None
+        for name in excluded_campaigns:
+            term = F.col("campaign_name") != F.lit(name)
+            cond = term if cond is None else cond & term
+        meta = meta.filter(cond)
+    contract = [("date", "date"), ("date_granularity", "string"), ("data_type", "string"),
+                ("spend", "double"), ("first_orders", "bigint"), ("returning_orders", "bigint"),
+                ("subtotal_sales", "double"), ("first_subtotal_sales", "double")]
+    measures = [c for c, _ in contract[3:]]
+    spend_rows = [df.groupBy(F.col("date").cast("date").alias("date"), "date_granularity")
+                  .agg(F.sum("spend").alias("spend")) for df in (meta, inputs["google"])]
+    store = inputs["store"]
+    store_rows = store.select(
+        F.col("date").cast("date").alias("date"), "date_granularity",
+        F.col("first_orders"),
+        returning_orders("orders", "first_orders").alias("returning_orders"),
+        (F.coalesce(F.col("total_net_sales"), F.lit(0))
+         - F.coalesce(period_refund(), F.lit(0))).alias("subtotal_sales"),
+        (F.coalesce(F.col("first_order_total_net_sales"), F.lit(0))
+         - F.coalesce(period_refund("first_order_"), F.lit(0))).alias("first_subtotal_sales"))
+    actual = (stack([align_to(df.withColumn("data_type", F.lit("Actual")), contract, measures)
+                     for df in [*spend_rows, store_rows]])
+              .filter(F.col("date_granularity").isin(list(grains)))
+              .groupBy("date", "date_granularity", "data_type")
+              .agg(F.sum("spend").alias("original_spend"), F.sum("spend").alias("spend"),
+                   F.sum("first_orders").alias("first_orders"),
+                   F.sum("returning_orders").alias("returning_orders"),
+                   F.sum("subtotal_sales").alias("total_sales"),
+                   F.sum("first_subtotal_sales").alias("first_total_sales")))
+
+    def sheet(prefix, label):
+        p = prefix
+        out = goal_rollup(inputs["forecast"], "date", grains, {
+            "original_spend": F.sum(f"{p}spend" if p else "original_spend"),
+            "spend": F.sum(f"{p}spend" if p else "original_spend"),
+            "first_orders": F.sum(f"{p}acquisitions"),
+            "returning_orders": F.sum(f"{p}returning"),  # by name, not position (Q3)
+            "total_sales": F.sum(f"{p}revenue"),
+            "first_total_sales": F.sum(F.lit(0))})
+        return out.withColumn("data_type", F.lit(label))
+
+    out_contract = [("date", "date"), ("date_granularity", "string"), ("data_type", "string"),
+                    ("original_spend", "double"), ("spend", "double"), ("first_orders", "bigint"),
+                    ("returning_orders", "bigint"), ("total_sales", "double"),
+                    ("first_total_sales", "double")]
+    return stack([align_to(df, out_contract) for df in
+                  (actual, sheet("", "Forecasted"), sheet("adjusted_", "Adjusted Forecasted"))])
+
+
+# --------------------------------------------------------------------------
+# actual_goal_stretch: spend stack with splits and a cut-over, goals, stretch
+# --------------------------------------------------------------------------
+
+def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
+                        switch_date="2025-04-28", grains: Sequence[str] = GRAINS,
+                        purchases_how: str = "left") -> DataFrame:
+    """Actual spend (acquisition / retention split) and purchases beside goal and
+    stretch sheets, capped at ``as_of`` (R1, R21, R22, R20, R18, F7, J2).
+
+    Inputs: ``meta``, ``google``, ``pinterest`` (ads facts with campaign_name),
+    ``affiliate_old`` (daily ``date, ft_spend, ret_spend``), ``affiliate_new``
+    (period grain ``date, date_granularity, action_cost, customer_status,
+    actions, revenue``), ``bi`` (daily purchases sheet), ``goal`` and
+    ``stretch`` (daily sheets). The old affiliate source serves periods
+    starting on or before ``switch_date``, the new one later periods (Q33).
+    Purchases are left-joined to spend (``purchases_how``, Q35).
+    """
+    from blendwise.operators.allocate import split_spend
+    from blendwise.operators.calendar import cap_at, cutover
+    from blendwise.operators.scenario import goal_rollup
+
+    contract = [("date", "date"), ("date_granularity", "string"), ("spend", "double"),
+                ("acq_spend", "double"), ("ret_spend", "double"), ("impressions", "bigint"),
+                ("clicks", "bigint"), ("purchases", "bigint"), ("revenue", "double")]
+    measures = [c for c, _ in contract[2:]]
+
+    def platform(df, pattern, share, null_name, clicks="clicks"):
+        acq, ret = split_spend("campaign_name", "spend", pattern, share, null_name)
+        return df.select(F.col("date").cast("date").alias("date"), "date_granularity", "spend",
+                         acq.alias("acq_spend"), ret.alias("ret_spend"), "impressions",
+                         F.col(clicks).alias("clicks"), "purchases", "revenue")
+
+    meta = platform(inputs["meta"], "react", 0.0, "zero", "link_clicks")
+    google = platform(inputs["google"], "brand", 0.34, "null")
+    pin = inputs["pinterest"].select(F.col("date").cast("date").alias("date"), "date_granularity",
+                                     "spend", F.col("spend").alias("acq_spend"),
+                                     F.lit(0.0).alias("ret_spend"), "impressions", "clicks",
+                                     "purchases", "revenue")
+    old = goal_rollup(inputs["affiliate_old"], "date", grains, {
+        "spend": F.sum(F.col("ft_spend") + F.col("ret_spend")),
+        "acq_spend": F.sum("ft_spend"), "ret_spend": F.sum("ret_spend")})
+    new_src = inputs["affiliate_new"].filter(F.col("date_granularity").isin(list(grains)))
+    status = F.col("customer_status")
+    new = new_src.groupBy(F.col("date").cast("date").alias("date"), "date_granularity").agg(
+        F.sum("action_cost").alias("spend"),
+        F.sum(F.when(status == "New", F.col("action_cost")).otherwise(0)).alias("acq_spend"),
+        F.sum(F.when(status == "Existing", F.col("action_cost")).otherwise(0)).alias("ret_spend"),
+        F.sum("actions").alias("purchases"), F.sum("revenue").alias("revenue"))
+    affiliate = cutover(align_to(old, contract, measures), align_to(new, contract, measures),
+                        switch_date)
+    spend = (stack([align_to(df, contract, measures) for df in (meta, google, pin)] + [affiliate])
+             .filter(F.col("date_granularity").isin(list(grains)))
+             .groupBy("date", "date_granularity")
+             .agg(*[F.sum(m).alias(m) for m in measures])
+             .withColumn("data_type", F.lit("Actual")))
+    purchases = goal_rollup(inputs["bi"], "date", grains, {
+        "acquisitions": F.sum("ft_orders"), "first_time_sales": F.sum("ft_sales"),
+        "repurchase_sales": F.sum("ret_sales"), "total_sales": F.sum("total_sales"),
+        "repurchase_orders": F.sum("ret_orders")}).withColumn("data_type", F.lit("Actual"))
+    actual = spend.join(purchases, ["date", "date_granularity", "data_type"], purchases_how)
+
+    def goals(df, label, ret_orders):
+        out = goal_rollup(df, "date", grains, {
+            "spend": F.sum("spend"), "acq_spend": F.sum("acq_spend"),
+            "ret_spend": F.sum("spend") - F.sum("acq_spend"),
+            "acquisitions": F.sum("ft_orders"), "first_time_sales": F.sum("ft_revenue"),
+            "repurchase_sales": F.sum("ret_revenue"),
+            "total_sales": F.sum(F.col("ft_revenue") + F.col("ret_revenue")),
+            "repurchase_orders": ret_orders})
+        return out.withColumn("data_type", F.lit(label))
+
+    out_contract = [("date", "date"), ("date_granularity", "string"), ("data_type", "string"),
+                    ("spend", "double"), ("acq_spend", "double"), ("ret_spend", "double"),
+                    ("impressions", "bigint"), ("clicks", "bigint"), ("purchases", "bigint"),
+                    ("revenue", "double"), ("acquisitions", "bigint"),
+                    ("first_time_sales", "double"), ("repurchase_sales", "double"),
+                    ("total_sales", "double"), ("repurchase_orders", "bigint")]
+    parts = [actual, goals(inputs["goal"], "Goal", F.sum("ret_orders")),
+             goals(inputs["stretch"], "Stretch", F.sum(F.lit(0)))]
+    return stack([cap_at(align_to(df, out_contract), as_of) for df in parts])
+
+
+# --------------------------------------------------------------------------
+# calendar_spine_blend: every date, spend / traffic / new-vs-recurring store
+# --------------------------------------------------------------------------
+
+def calendar_spine_blend(inputs: Mapping[str, DataFrame], spine_start, as_of=None,
+                         market: str = "US", profile: str | None = None) -> DataFrame:
+    """Calendar spine left-joined to spend (on date only), then traffic and
+    store-by-type on (date, grain) (R3, R45, R43, R44, R17, Q17).
+
+    Inputs: ``meta`` (with ``campaign_country, campaign_type_default``),
+    ``google`` (with ``campaign_country``), ``bing``, ``web`` (``profile, date,
+    date_granularity, sessions``), ``store_by_type`` (``dg, date_granularity,
+    order_type, revenue, orders``). Measures stay NULL where nothing joins.
+    """
+    from blendwise.operators.calendar import cap_at, spine as make_spine
+    from blendwise.operators.classify import acquisition_spend
+    from blendwise.operators.funnel import new_vs_recurring
+
+    contract = [("date", "date"), ("date_granularity", "string"), ("acquisition_spend", "double"),
+                ("spend", "double"), ("clicks", "bigint"), ("impressions", "bigint"),
+                ("revenue", "double"), ("purchases", "bigint")]
+    measures = [c for c, _ in contract[2:]]
+    meta = inputs["meta"].filter(F.col("campaign_country") == F.lit(market)).select(
+        "date", "date_granularity",
+        acquisition_spend("campaign_type_default", "spend").alias("acquisition_spend"),
+        "spend", F.col("link_clicks").alias("clicks"), "impressions", "revenue", "purchases")
+    google = inputs["google"].filter(F.col("campaign_country") == F.lit(market))
+    spend = (stack([align_to(df, contract, measures) for df in (meta, google, inputs["bing"])])
+             .groupBy("date", "date_granularity")
+             .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in measures])
+             .withColumnRenamed("purchases", "paid_purchases"))
+    web = inputs["web"]
+    if profile is not None:
+        web = web.filter(F.col("profile") == F.lit(profile))
+    traffic = (web.groupBy(F.col("date").cast("date").alias("date"), "date_granularity")
+               .agg(F.sum("sessions").alias("traffic")))
+    store = new_vs_recurring(inputs["store_by_type"],
+                             [F.col("dg").cast("date").alias("date"), "date_granularity"])
+    spine = make_spine(inputs["web"].sparkSession, spine_start, as_of)
+    out = (spine.join(spend, ["date"], "left")
+           .join(traffic, ["date", "date_granularity"], "left")
+           .join(store, ["date", "date_granularity"], "left"))
+    out = cap_at(out, as_of)
+    return out.select("date", "date_granularity", "spend", "acquisition_spend", "clicks",
+                      "impressions", "revenue", "paid_purchases", "traffic", "new_revenue",
+                      "returning_revenue", "new_purchases", "returning_purchases")
+
+
+# --------------------------------------------------------------------------
+# subsource_stack: stack same-schema upstream relations
+# --------------------------------------------------------------------------
+
+def subsource_stack(inputs: Mapping[str, DataFrame]) -> DataFrame:
+    """Stack upstream sub-source relations that share one schema."""
+    from blendwise.operators.blend import stack_relations
+    return stack_relations(list(inputs.values()))
+
+
+# --------------------------------------------------------------------------
+# attributed_campaign_blend / attributed_spend_blend
+# --------------------------------------------------------------------------
+
+def _attributed_store(inputs, channel_rules, measures, exact_scale):
+    from blendwise.operators.attribution import attribute_measures, linear_attribution
+    touches = linear_attribution(inputs["touches"], inputs["orders"], channel_rules)
+    return attribute_measures(inputs["store_order"], touches, measures, exact_scale=exact_scale)
+
+
+def _daily_paid(df, channel, clicks_col, extra=()):
+    """Day-grain paid rows with any activity, summed per campaign."""
+    from blendwise.operators.blend import active_rows
+    day = df.filter(F.col("date_granularity") == "day")
+    day = active_rows(day, ["spend", clicks_col, "impressions"])
+    return day.groupBy(F.lit(channel).alias("channel"),
+                       F.col("campaign_id").cast("string").alias("campaign_id"), "campaign_name",
+                       F.col("date").cast("date").alias("date")).agg(
+        F.sum("spend").alias("spend"), F.sum("impressions").alias("impressions"),
+        F.sum(clicks_col).alias("clicks"), *[F.sum(src).alias(dst) for src, dst in extra])
+
+
+def attributed_campaign_blend(inputs: Mapping[str, DataFrame], exact_scale: int | None = None,
+                              dedupe_names: bool = False) -> DataFrame:
+    """Linear-attributed store revenue by campaign, blended with paid, web and
+    tracker facts in a chain of full outer joins with shrinking keys
+    (R6, R8, R10, R9, R11, R7, R43, R12, R13; Q10, Q11, Q12).
+
+    Inputs: ``touches``, ``orders`` (``order_id, order_date``), ``store_order``
+    (order grain), ``meta`` (campaign grain, period facts), ``meta_ads``
+    (ad grain: campaign ids and names for the name lookup), ``google``,
+    ``web`` (``date, session_source_medium, session_campaign_id, sessions,
+    engaged_sessions, conversions_purchase, purchase_revenue``), ``tracker``.
+    """
+    from blendwise.operators.blend import campaign_dimension
+    from blendwise.operators.commerce import sales_components
+
+    rules = [("facebook-ads", "Facebook", True), ("google-ads", "Google Ads", False)]
+    c, f = sales_components(), sales_components("first_order_")
+    measures = {
+        "revenue": c["sales_amount"], "total_revenue": c["total_sales_amount"],
+        "new_revenue": f["sales_amount"], "total_new_revenue": f["total_sales_amount"],
+        "refunds": c["refund_amount"], "total_refunds": c["total_refund_amount"],
+        "new_refunds": f["refund_amount"], "total_new_refunds": f["total_refund_amount"],
+        "net_revenue": c["sales_amount"] - c["refund_amount"],
+        "total_net_revenue": c["total_sales_amount"] - c["total_refund_amount"],
+        "purchases": F.col("orders"), "new_purchases": F.col("first_orders")}
+    conv = _attributed_store(inputs, rules, measures, exact_scale)
+    dim = campaign_dimension([(inputs["meta_ads"], "Facebook", "campaign_id", "campaign_name"),
+                              (inputs["google"], "Google Ads", "campaign_id", "campaign_name")],
+                             dedupe_names=dedupe_names)
+    conversion = conv.join(dim, ["channel", "campaign_id"], "left")
+    paid = stack([
+        _daily_paid(inputs["meta"], "Facebook", "link_clicks",
+                    [("purchases", "paid_purchases"), ("revenue", "paid_revenue")]),
+        _daily_paid(inputs["google"], "Google Ads", "clicks",
+                    [("purchases", "paid_purchases"), ("revenue", "paid_revenue")])])
+    medium = F.col("session_source_medium")
+    web = inputs["web"].groupBy(
+        F.col("date").cast("date").alias("date"),
+        F.when(medium == "facebook / cpc", F.lit("Facebook"))
+        .when(medium == "google / cpc", F.lit("Google Ads")).otherwise(F.lit("Other")).alias("channel"),
+        F.col("session_campaign_id").cast("string").alias("campaign_id")).agg(
+        F.sum("sessions").alias("sessions"), F.sum("engaged_sessions").alias("engaged_sessions"),
+        F.sum("conversions_purchase").alias("ga4_purchases"),
+        F.sum("purchase_revenue").alias("ga4_revenue"))
+    tracker = inputs["tracker"].groupBy(
+        F.col("date").cast("date").alias("date"), F.lit("Other").alias("channel"),
+        F.lit("(not set)").alias("campaign_id")).agg(
+        F.sum("forecasted_spend").alias("forecasted_spend"),
+        F.sum("forecasted_revenue").alias("forecasted_revenue"),
+        F.sum("actual_total_spend").alias("tw_spend"), F.sum("sessions").alias("tw_sessions"))
+    k3 = ["date", "channel", "campaign_id"]
+    blended = full_outer_blend([(conversion, None), (paid, k3 + ["campaign_name"]),
+                                (web, k3), (tracker, k3)])
+    z = lambda n: F.coalesce(F.col(n), F.lit(0))
+    return blended.select(
+        "date", "channel", "campaign_id", "campaign_name",
+        *[z(n).alias(n) for n in ("spend", "impressions", "clicks", "paid_purchases",
+                                  "paid_revenue", "net_revenue", "revenue", "total_net_revenue",
+                                  "total_revenue")],
+        (z("new_revenue") - z("new_refunds")).alias("net_new_revenue"), z("new_revenue").alias("new_revenue"),
+        (z("total_new_revenue") - z("total_new_refunds")).alias("total_net_new_revenue"),
+        z("total_new_revenue").alias("total_new_revenue"),
+        *[z(n).alias(n) for n in ("purchases", "new_purchases", "sessions", "engaged_sessions",
+                                  "ga4_purchases", "ga4_revenue", "forecasted_spend",
+                                  "forecasted_revenue", "tw_spend", "tw_sessions")])
+
+
+def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | None = None,
+                           pmax_pattern: str = "Pmax") -> DataFrame:
+    """Attributed store revenue blended with three paid platforms, one of which
+    reports money as text and soft-deletes rows (R8-R11, R7, M5, F3, F12).
+
+    Inputs: ``touches``, ``orders``, ``store_order``, ``meta_ads`` (ad grain),
+    ``google`` (campaign grain), ``google_ads`` (ad grain), ``network``
+    (``day, campaign_id_external, campaign, cost, impressions, clicks,
+    _fivetran_deleted``). Sales here are the full totals (with tax and
+    shipping); refunds the full refund totals.
+    """
+    from blendwise.functions.numeric import parse_money
+    from blendwise.operators.blend import campaign_dimension, soft_delete
+    from blendwise.operators.commerce import sales_components
+
+    rules = [("facebook-ads", "Facebook", True), ("applovin", "App Lovin", True),
+             ("google-ads", "Google Ads", False)]
+    c, f = sales_components(), sales_components("first_order_")
+    sales, first = c["total_sales_amount"], f["total_sales_amount"]
+    refund, first_refund = c["total_refund_amount"], f["total_refund_amount"]
+    measures = {"revenue": sales, "new_revenue": first, "refunds": refund,
+                "new_refunds": first_refund, "net_revenue": sales - refund,
+                "purchases": F.col("orders"), "new_purchases": F.col("first_orders")}
+    conv = _attributed_store(inputs, rules, measures, exact_scale)
+    network = soft_delete(inputs["network"])
+    net_named = network.select(F.col("campaign_id_external").cast("string").alias("campaign_id"),
+                               F.col("campaign").alias("campaign_name"))
+    dim = campaign_dimension([(inputs["meta_ads"], "Facebook", "campaign_id", "campaign_name"),
+                              (inputs["google"], "Google Ads", "campaign_id", "campaign_name"),
+                              (net_named, "App Lovin", "campaign_id", "campaign_name")])
+    conversion = conv.join(dim, ["channel", "campaign_id"], "left")
+    from blendwise.functions.text import imatch
+    pmax = inputs["google"].filter(imatch("campaign_name", pmax_pattern))
+    net_paid = network.groupBy(
+        F.lit("App Lovin").alias("channel"),
+        F.col("campaign_id_external").cast("string").alias("campaign_id"),
+        F.col("campaign").alias("campaign_name"), F.col("day").cast("date").alias("date")).agg(
+        F.sum(parse_money("cost")).alias("spend"), F.sum("impressions").alias("impressions"),
+        F.sum("clicks").alias("clicks"))
+    paid = stack([_daily_paid(inputs["meta_ads"], "Facebook", "link_clicks"),
+                  _daily_paid(pmax, "Google Ads", "clicks"),
+                  _daily_paid(inputs["google_ads"], "Google Ads", "clicks"), net_paid])
+    blended = full_outer_blend([(conversion, None),
+                                (paid, ["date", "channel", "campaign_id", "campaign_name"])])
+    z = lambda n: F.coalesce(F.col(n), F.lit(0))
+    return blended.select(
+        "date", "channel", "campaign_id", "campaign_name",
+        *[z(n).alias(n) for n in ("spend", "impressions", "clicks", "net_revenue", "revenue")],
+        (z("new_revenue") - z("new_refunds")).alias("net_new_revenue"),
+        *[z(n).alias(n) for n in ("new_revenue", "purchases", "new_purchases")])
+
+
+# --------------------------------------------------------------------------
+# crm_lead_funnel: CRM funnel per grain stacked with two platforms
+# --------------------------------------------------------------------------
+
+CRM_MEASURES = ("spend", "impressions", "clicks", "crm_leads", "crm_replied", "crm_appointments",
+                "platform_appointments", "platform_leads", "booked_appointment",
+                "completed_appointment", "booking_complete")
+CRM_KEYS = ("date", "date_granularity", "channel", "location", "campaign_type", "campaign_name",
+            "adset_name", "ad_name", "service")
+
+
+def crm_lead_funnel(inputs: Mapping[str, DataFrame], service_rules: Sequence[tuple],
+                    meta_buckets: Mapping[str, Sequence[str]], search_rules: Sequence[tuple],
+                    grains: Sequence[str] = GRAINS) -> DataFrame:
+    """CRM leads per grain beside social and search platform facts.
+
+    Inputs: ``leads`` (CRM sheet), ``meta`` (ad grain with ``location,
+    service, appointments_scheduled, leads, booked_appointment,
+    completed_appointment, booking_complete``), ``google`` (campaign grain with
+    ``appointments_scheduled``). Social campaign types come from exact-name
+    buckets (default 'Other'), search types from keyword rules (no default).
+    Leads of other mediums drop out (Q41).
+    """
+    from blendwise.operators.classify import bucket_exact, classify
+    from blendwise.operators.funnel import crm_funnel
+
+    funnel = crm_funnel(inputs["leads"], service_rules, grains).withColumnsRenamed(
+        {"leads": "crm_leads", "replied": "crm_replied", "appointments": "crm_appointments"})
+    contract = [(k, "date" if k == "date" else "string") for k in CRM_KEYS] + [
+        (m, "double" if m == "spend" else "bigint") for m in CRM_MEASURES]
+    crm_cols = ["crm_leads", "crm_replied", "crm_appointments"]
+
+    def block(platform, crm, type_col):
+        crm = crm.withColumn("campaign_type", type_col)
+        stacked = stack([align_to(platform.withColumn("campaign_type", type_col), contract,
+                                  CRM_MEASURES),
+                         align_to(crm, contract, CRM_MEASURES)])
+        return stacked.groupBy(*CRM_KEYS).agg(*_coalesce_sum(CRM_MEASURES))
+
+    meta = inputs["meta"].filter(F.col("date_granularity").isin(list(grains))).select(
+        F.col("date").cast("date").alias("date"), "date_granularity", "location", "campaign_name",
+        "adset_name", "ad_name", "service", "spend", "impressions",
+        F.col("link_clicks").alias("clicks"),
+        F.col("appointments_scheduled").alias("platform_appointments"),
+        F.col("leads").alias("platform_leads"), "booked_appointment", "completed_appointment",
+        "booking_complete").withColumn("channel", F.lit("Facebook"))
+    fb_crm = (funnel.filter(F.col("channel") == "Facebook")
+              .groupBy(*[k for k in CRM_KEYS if k != "campaign_type"])
+              .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in crm_cols]))
+    fb = block(meta, fb_crm, bucket_exact("campaign_name", meta_buckets, "Other"))
+
+    google = inputs["google"].filter(F.col("date_granularity").isin(list(grains))).select(
+        F.col("date").cast("date").alias("date"), "date_granularity", "campaign_name", "spend",
+        "impressions", "clicks", F.col("appointments_scheduled").alias("platform_appointments")
+    ).withColumn("channel", F.lit("Google"))
+    g_crm = (funnel.filter(F.col("channel") == "Google")
+             .groupBy("date", "date_granularity", "channel", "campaign_name")
+             .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in crm_cols]))
+    adw = block(google, g_crm, classify("campaign_name", search_rules))
+    # The two blocks differ in channel, and each is unique per key, so UNION
+    # ALL equals the reference's UNION (Q40).
+    return stack([fb, adw]).select(*CRM_KEYS, *CRM_MEASURES)
+
+
+# --------------------------------------------------------------------------
+# app_install_blend: paid app campaigns vs MMP installs with a SKAN correction
+# --------------------------------------------------------------------------
+
+APP_CHANNELS = (("Facebook Ads", "Meta"), ("googleadwords_int", "Google Ads"),
+                ("tiktokglobal_int", "Tiktok Ads"))
+
+
+def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple],
+                      grains: Sequence[str] = GRAINS, week_start: str = "sunday") -> DataFrame:
+    """Paid app campaigns full-outer-joined to MMP installs with the SKAN
+    offset, at every grain with Sunday weeks (R2, R36, R4, R37, R38; Q29-Q31).
+
+    Inputs: ``mmp`` (``date, app, source, campaign_name, sessions, installs,
+    rc_trial_started_users, rc_trial_converted_users, rc_initial_purchase_users,
+    revenue``), ``skan`` (``date, source, campaign_name, installs``), ``meta``
+    and ``google`` (period facts with app measures), ``video_raw``
+    (``stat_time_day, campaign_id, campaign_name, spend, clicks, impressions,
+    skan_app_install, skan_start_trial``). ``app_rules`` map campaign names to
+    an app platform (default 'Other').
+    """
+    from blendwise.functions.aggs import sum_ as s_
+    from blendwise.operators.classify import classify
+
+    self_attr = [src for src, _ in APP_CHANNELS]
+
+    def channel_of(src):
+        out = None
+        for value, label in APP_CHANNELS:
+            out = F.when(src == value, F.lit(label)) if out is None else out.when(src == value, F.lit(label))
+        return out.otherwise(src)
+
+    src = F.col("source")
+    mmp_keys = [F.col("app"), channel_of(src).alias("channel"), F.col("campaign_name")]
+    mmp = granularity_rollup(inputs["mmp"], "date", mmp_keys, {
+        "sessions": s_("sessions"),
+        "apps_installs": s_(F.when(src.isin(self_attr), F.lit(0)).otherwise(F.col("installs"))),
+        "apps_trial_started": s_("rc_trial_started_users"),
+        "apps_trial_converted": s_("rc_trial_converted_users"),
+        "apps_initial_purchase": s_("rc_initial_purchase_users"),
+        "apps_revenue": s_("revenue")}, grains=grains, week_start=week_start)
+    skan_keys = [F.lit("iOS").alias("app"), channel_of(src).alias("channel"),
+                 F.when(src == "af_app_invites", F.lit("not set")).otherwise(F.col("campaign_name"))
+                 .alias("campaign_name")]
+    skan = granularity_rollup(inputs["skan"], "date", skan_keys,
+                              {"apps_installs": s_("installs")}, grains=grains,
+                              week_start=week_start)
+    offset = granularity_rollup(inputs["skan"], "date",
+                                [F.lit("iOS").alias("app"), F.lit("af_app_invites").alias("channel"),
+                                 F.lit("not set").alias("campaign_name")],
+                                {"apps_installs": s_(-F.col("installs"))}, grains=grains,
+                                week_start=week_start)
+    mmp_measures = ["sessions", "apps_installs", "apps_trial_started", "apps_trial_converted",
+                    "apps_initial_purchase", "apps_revenue"]
+    k5 = ["date_granularity", "date", "app", "channel", "campaign_name"]
+    mmp_contract = [("date_granularity", "string"), ("date", "date"), ("app", "string"),
+                    ("channel", "string"), ("campaign_name", "string")] + \
+        [(m, "double" if m == "apps_revenue" else "bigint") for m in mmp_measures]
+    mmp_all = (stack([align_to(d, mmp_contract, mmp_measures) for d in (mmp, skan, offset)])
+               .groupBy(*k5).agg(*[F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m)
+                                   for m in mmp_measures]))
+
+    app = classify("campaign_name", app_rules, "Other")
+    paid_measures = ["spend", "clicks", "impressions", "installs", "trial_started",
+                     "trial_converted", "initial_purchase", "trial_converted_value",
+                     "initial_purchase_value"]
+    paid_contract = [("channel", "string"), ("campaign_id", "string"), ("campaign_name", "string"),
+                     ("date", "date"), ("date_granularity", "string"), ("app", "string")] + \
+        [(m, "bigint" if m not in ("spend", "trial_converted_value", "initial_purchase_value")
+          else "double") for m in paid_measures]
+    platform = []
+    for key, label, clicks in (("meta", "Meta", "link_clicks"), ("google", "Google Ads", "clicks")):
+        df = inputs[key].filter(F.col("date_granularity").isin(list(grains)))
+        platform.append(align_to(df.select(
+            F.lit(label).alias("channel"), F.col("campaign_id").cast("string").alias("campaign_id"),
+            "campaign_name", F.col("date").cast("date").alias("date"), "date_granularity",
+            app.alias("app"), "spend", F.col(clicks).alias("clicks"), "impressions",
+            F.col("app_install").alias("installs"), "trial_started", "trial_converted",
+            "initial_purchase", "trial_converted_value", "initial_purchase_value"),
+            paid_contract, paid_measures))
+    raw = granularity_rollup(
+        inputs["video_raw"], "stat_time_day",
+        [F.lit("Tiktok Ads").alias("channel"), F.col("campaign_id").cast("string").alias("campaign_id"),
+         "campaign_name", app.alias("app")],
+        {"spend": s_("spend", fill=0), "clicks": s_("clicks", fill=0),
+         "impressions": s_("impressions", fill=0), "installs": s_("skan_app_install", fill=0),
+         "trial_started": s_("skan_start_trial", fill=0)},
+        grains=grains, week_start=week_start)
+    platform.append(align_to(raw, paid_contract, paid_measures))
+    pkeys = [c for c, _ in paid_contract[:6]]
+    paid = stack(platform).groupBy(*pkeys).agg(
+        *[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in paid_measures[:7]],
+        (F.coalesce(F.sum("trial_converted_value"), F.lit(0))
+         + F.coalesce(F.sum("initial_purchase_value"), F.lit(0))).alias("revenue"))
+
+    blended = full_outer_blend([(paid, None),
+                                (mmp_all, ["channel", "date", "date_granularity", "campaign_name", "app"])])
+    out_measures = ["spend", "clicks", "impressions", "installs", "sessions", "revenue",
+                    "apps_revenue", "initial_purchase", "trial_converted", "trial_started",
+                    "apps_installs", "apps_initial_purchase", "apps_trial_converted",
+                    "apps_trial_started"]
+    agg = blended.groupBy("channel", "campaign_name",
+                          F.coalesce(F.col("campaign_id"), F.lit("(not set)")).alias("campaign_id"),
+                          "date", "date_granularity", "app").agg(
+        *[F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in out_measures])
+    return agg.select("channel", "app", "campaign_name", "campaign_id", "date", "date_granularity",
+                      *out_measures)
+
+
+# --------------------------------------------------------------------------
+# regional_commerce_forecast: regional paid spend + store metrics vs forecast
+# --------------------------------------------------------------------------
+
+def regional_commerce_forecast(inputs: Mapping[str, DataFrame], spend_branches: Sequence[Mapping],
+                               regions: Mapping[str, Mapping], families: Mapping[str, Mapping],
+                               forecasts: Sequence[tuple], spine_start, as_of=None) -> DataFrame:
+    """Paid spend by region, store orders / revenue / product units by region,
+    on a calendar spine, stacked with unpivoted regional forecasts
+    (R23, R24, R25, R26, R27, R17, R19, R18; Q36-Q39).
+
+    ``spend_branches``: dicts with ``df`` (``date, region, spend, revenue,
+    purchases``), optional ``where`` (row filter), ``paid`` (Column for
+    ``paid_spend``; default spend). Regions 'Other' are dropped.
+    ``regions[name]``: ``orders`` (order rows) and ``lines`` (line rows) frames
+    and ``revenue`` = ``'tax_net'`` (orders netted of tax) or ``'lines'``
+    (gross minus discounts from line sales, counts from lines).
+    ``families[name]``: product-unit rules per family for that region (R27).
+    ``forecasts``: ``(sheet, mapping)`` pairs for ``unpivot_regions``.
+    The spine runs from ``spine_start`` to ``as_of``; spend joins it on date,
+    store rows on (date, region), so region comes from spend (Q36).
+    """
+    from blendwise.functions.numeric import tax_net
+    from blendwise.operators.calendar import cap_at, spine as make_spine
+    from blendwise.operators.commerce import order_counts, product_units
+    from blendwise.operators.scenario import unpivot_regions
+
+    spend_cols = ["spend", "paid_spend", "paid_revenue", "paid_purchases"]
+    parts = []
+    for b in spend_branches:
+        df = b["df"] if b.get("where") is None else b["df"].filter(b["where"])
+        parts.append(df.select(F.col("date").cast("date").alias("date"), "region",
+                               F.col("spend").cast("double").alias("spend"),
+                               (b.get("paid") if b.get("paid") is not None else F.col("spend"))
+                               .cast("double").alias("paid_spend"),
+                               F.col("revenue").cast("double").alias("paid_revenue"),
+                               F.col("purchases").cast("long").alias("paid_purchases")))
+    spend = (stack(parts).filter(F.col("region") != F.lit("Other")).groupBy("region", "date")
+             .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in spend_cols]))
+
+    family_names = list(next(iter(families.values())).keys())
+    store_parts = []
+    for region, cfg in regions.items():
+        lines = cfg["lines"].withColumn("date", F.col("date").cast("date"))
+        if cfg.get("revenue", "tax_net") == "lines":
+            data = order_counts(lines, ["date"], "order_id", F.col("customer_order_index") == 1,
+                                extra={"gross_revenue": F.coalesce(F.sum("gross_sales"), F.lit(0)),
+                                       "total_discounts": F.coalesce(
+                                           F.sum(F.col("gross_sales") - F.col("subtotal_sales")),
+                                           F.lit(0))})
+        else:
+            o = cfg["orders"].withColumn("date", F.col("date").cast("date"))
+            net = lambda c: tax_net(c, "total_tax", "total_revenue")
+            data = order_counts(o, ["date"], "order_id", F.col("customer_order_index") == 1,
+                                extra={"gross_revenue": F.coalesce(F.sum(net("gross_revenue")), F.lit(0)),
+                                       "total_discounts": F.coalesce(F.sum(net("subtotal_discount")),
+                                                                     F.lit(0))})
+        units = product_units("product_title", "quantity", families[region])
+        prod = lines.groupBy("date").agg(*[c.alias(n) for n, c in units.items()])
+        joined = data.join(prod, ["date"], "left")
+        store_parts.append(joined.select(
+            F.lit(region).alias("region"), "date",
+            F.coalesce(F.col("orders"), F.lit(0)).alias("orders"),
+            F.coalesce(F.col("first_orders"), F.lit(0)).alias("first_orders"),
+            F.coalesce(F.col("gross_revenue") - F.col("total_discounts"), F.lit(0.0)).alias("revenue"),
+            *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in family_names]))
+    store_measures = ["orders", "first_orders", "revenue", *family_names]
+    store = (stack(store_parts).groupBy("region", "date")
+             .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in store_measures]))
+
+    spark = spend.sparkSession
+    actual = (make_spine(spark, spine_start, as_of).join(spend, ["date"], "left")
+              .join(store, ["date", "region"], "left"))
+    actual = cap_at(actual, as_of, start=spine_start).withColumn("type", F.lit("Actual"))
+
+    measures = [*spend_cols, *store_measures]
+    forecast_parts = []
+    for sheet, mapping in forecasts:
+        long = unpivot_regions(sheet.withColumn("date", F.col("date").cast("date")), ["date"],
+                               mapping, measures)
+        forecast_parts.append(long)
+    forecast = (stack(forecast_parts).groupBy("region", "date")
+                .agg(*[F.sum(m).alias(m) for m in measures]).withColumn("type", F.lit("Forecasted")))
+    cols = ["type", "region", "date", *measures]
+    contract = [("type", "string"), ("region", "string"), ("date", "date")] + \
+        [(m, "double") for m in measures]
+    return stack([align_to(actual.select(*cols), contract), align_to(forecast.select(*cols), contract)])
+
+
+# --------------------------------------------------------------------------
+# touch_orders_fee_allocation: touch orders + five paid branches + fee pool
+# --------------------------------------------------------------------------
+
+SE_KEYS = ("channel", "date", "date_granularity", "market", "product", "google_campaign",
+           "bing_campaign", "utm_campaign", "campaign_type", "utm_content", "utm_term")
+SE_MEASURES = ("spend", "impressions", "clicks", "add_to_cart", "checkout_initiated", "leads",
+               "purchases", "VS-01 WK", "revenue", "ft_orders", "lt_orders")
+
+
+def default_campaign_type_rules():
+    """Touch campaign types from Google / Bing names and the utm (C4); first match wins."""
+    from blendwise.functions.text import imatch as m
+    g, b, u, ch = "google_campaign", "bing_campaign", "utm_campaign", "channel"
+    return [
+        (m(g, "amazon") | m(b, "amazon"), "Amazon"),
+        (m(g, "demand") | m(u, "demand"), "Demand Gen"),
+        (m(g, "YT") | m(ch, "youtube"), "Youtube"),
+        ((m(g, "Shopping") & m(g, "Brand")) | (m(b, "Shopping") & m(b, "Brand")), "Shopping - Brand"),
+        (m(g, "Shopping") & ~m(g, "Brand"), "Shopping - Non Brand"),
+        (m(g, "Performance Max") | m(g, "PMax"), "PMax"),
+        (m(g, "NB") | m(b, "NB"), "Non Brand"),
+        (m(g, "Brand") | m(b, "Brand"), "Branded"),
+        (m(u, "Prospect") | m(u, "Interest"), "Prospecting"),
+        (m(u, "Retarget"), "Retargeting"),
+    ]
+
+
+def touch_orders_fee_allocation(
+    inputs: Mapping[str, DataFrame], product_rules: Sequence[tuple],
+    grains: Sequence[str] = GRAINS, utm_renames: Mapping[str, str] | None = None,
+    content_replacements: Sequence[tuple] = (("A SC", "A+SC"), ("USA CAN", "USA+CAN")),
+    term_cut: str = "- Copy", utm_rewrite: tuple | None = None,
+    google_rename: tuple | None = None, campaign_type_rules=None,
+    share_within_grain: bool = False, pool_switch="2025-08-01",
+) -> DataFrame:
+    """First/last-touch subscription orders per grain, stacked with five paid
+    branches that borrow utm fields from the touches, summed at 11 keys, with
+    the monthly fee pool allocated by share of spend
+    (R30, R31, R35, R32, R3, A10, R33, W2, R34; Q23-Q28, Q43, Q44).
+
+    Inputs: ``touch_export`` (``activation_date, channel, utm_campaign,
+    utm_content, utm_term, fta_subs, lta_subs``), ``utm_map`` (``channel,
+    campaign_name, utm_campaign``), ``meta`` (ad grain with ``product,
+    adset_name, ad_name, add_to_cart, leads, "VS-01 WK"``), ``google``
+    (campaign grain with ``country, product, campaign_type_custom,
+    checkout_initiated, add_to_cart``), ``bing``.
+    ``utm_rewrite`` = ``(must_match, must_not_match_list, replacement)``;
+    ``google_rename`` = ``(content, campaign, new_campaign)``.
+    """
+    from blendwise.functions.text import imatch, replace_all, split_part
+    from blendwise.operators.allocate import allocate_fee, video_masks
+    from blendwise.operators.attribution import join_spend_to_touch, map_utm
+    from blendwise.operators.classify import classify
+
+    touches = inputs["touch_export"].filter(F.col("utm_campaign").isNotNull())
+    mapped = map_utm(touches, inputs["utm_map"])
+    utm = F.col("utm_campaign").cast("string")
+    fixed_utm = utm
+    for old, new in (utm_renames or {}).items():
+        fixed_utm = F.when(utm == F.lit(old), F.lit(new)).otherwise(fixed_utm)
+    rules = campaign_type_rules or default_campaign_type_rules()
+    keys = [fixed_utm.alias("utm_campaign"), "google_campaign", "bing_campaign", "utm_content",
+            "utm_term",
+            classify("channel", [("meta", "Meta"), ("google", "Google Ads"), ("youtube", "Youtube"),
+                                 ("bing", "Bing")]).alias("channel_adj"),
+            F.when(imatch("utm_campaign", "INTL"), F.lit("INTL")).otherwise(F.lit("US")).alias("market"),
+            classify("utm_campaign", product_rules, "Other").alias("product"),
+            classify(None, rules, "Other").alias("campaign_type")]
+    s3 = granularity_rollup(mapped, "activation_date", keys,
+                            {"ft_orders": sum_("fta_subs", fill=0), "lt_orders": sum_("lta_subs", fill=0)},
+                            grains=grains)
+    from blendwise.session import reuse
+    s3 = reuse(s3)  # four consumers below
+
+    contract = [(k, "date" if k == "date" else "string") for k in SE_KEYS] + \
+        [(m, "double" if m in ("spend", "revenue") else "bigint") for m in SE_MEASURES]
+
+    meta = inputs["meta"].filter(F.col("date_granularity").isin(list(grains))).select(
+        F.lit("Meta").alias("channel"), F.col("date").cast("date").alias("date"), "date_granularity",
+        "product", F.col("campaign_name").cast("string").alias("utm_campaign"),
+        classify("campaign_name", [(imatch("campaign_name", "Prospect") | imatch("campaign_name", "Interest"),
+                                    "Prospecting"), ("Retarget", "Retargeting")]).alias("campaign_type"),
+        F.col("adset_name").alias("utm_content"), F.col("ad_name").alias("utm_term"),
+        "spend", "impressions", F.col("link_clicks").alias("clicks"), "add_to_cart", "leads",
+        "purchases", "`VS-01 WK`")
+
+    google = inputs["google"].filter(F.col("date_granularity").isin(list(grains)))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
+            ("spend", "impressions", "clicks", "checkout_initiated", "add_to_cart", "purchases",
+             "revenue")]
+    gk = ["date", "date_granularity", F.col("country").alias("market"), "product",
+          F.col("campaign_type_custom").alias("campaign_type")]
+    search = join_spend_to_touch(google.filter(F.col("campaign_type_custom") != "Youtube"),
+                                 s3, "campaign_name", "google_campaign", ["utm_campaign"])
+    search = search.withColumn("google_campaign", F.when(
+        F.col("campaign_type_custom") == "Amazon", F.col("campaign_name").cast("string"))
+        .otherwise(F.coalesce(F.col("google_campaign").cast("string"),
+                              F.col("campaign_name").cast("string"))))
+    search = search.groupBy(*gk, "google_campaign", "utm_campaign").agg(*sums) \
+        .withColumn("channel", F.lit("Google Ads"))
+    yt_side = s3.select("utm_campaign").distinct()
+    yt = google.filter(F.col("campaign_type_custom") == "Youtube")
+    yt = (yt.join(yt_side, yt["campaign_id"].cast("string") == yt_side["utm_campaign"], "left")
+          .groupBy(*gk, F.col("campaign_name").cast("string").alias("google_campaign"), "utm_campaign")
+          .agg(*sums).withColumn("channel", F.lit("Google Ads")))
+    bing_src = inputs["bing"].filter(F.col("date_granularity").isin(list(grains)))
+    bing = join_spend_to_touch(bing_src, s3, "campaign_name", "bing_campaign", ["utm_campaign"])
+    bing = bing.withColumn("bing_campaign", F.when(F.col("utm_campaign").isNotNull(),
+                                                   F.col("campaign_name").cast("string")))
+    bing = (bing.groupBy("date", "date_granularity", F.col("country").cast("string").alias("market"),
+                         F.col("product").cast("string").alias("product"), "bing_campaign",
+                         "utm_campaign",
+                         F.col("campaign_type_custom").cast("string").alias("campaign_type"))
+            .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in
+                   ("spend", "impressions", "clicks", "purchases", "revenue")])
+            .withColumn("channel", F.lit("Bing")))
+
+    ch = F.when(F.col("channel_adj").isin("Google Ads", "Youtube"), F.lit("Google Ads")) \
+        .otherwise(F.col("channel_adj"))
+    searchy = ch.isin("Google Ads", "Bing")
+    g_name = F.col("google_campaign")
+    if google_rename is not None:
+        content, campaign, new_campaign = google_rename
+        g_name = F.when((F.col("utm_content") == F.lit(content)) & (g_name == F.lit(campaign)),
+                        F.lit(new_campaign)).otherwise(g_name)
+    new_utm = replace_all("utm_campaign", [("A SC", "A+SC")])
+    if utm_rewrite is not None:
+        must, must_not, replacement = utm_rewrite
+        cond = imatch("utm_campaign", must)
+        for p in must_not:
+            cond = cond & ~imatch("utm_campaign", p)
+        new_utm = F.when(cond, F.lit(replacement)).otherwise(new_utm)
+    touch_rows = s3.select(
+        ch.alias("channel"), "date", "date_granularity", "market", "product",
+        g_name.alias("google_campaign"), "bing_campaign", new_utm.alias("utm_campaign"),
+        "campaign_type",
+        F.when(searchy, F.lit(None)).otherwise(replace_all("utm_content", content_replacements))
+        .alias("utm_content"),
+        F.when(searchy, F.lit(None)).otherwise(split_part("utm_term", term_cut, 1)).alias("utm_term"),
+        "ft_orders", "lt_orders")
+
+    measures = list(SE_MEASURES)
+    stacked = stack([align_to(df, contract, measures) for df in (meta, search, yt, bing, touch_rows)])
+    final = stacked.groupBy(*SE_KEYS).agg(
+        *[F.coalesce(F.sum(f"`{m}`"), F.lit(0)).alias(m) for m in measures])
+    video, image = video_masks("channel", "market", "campaign_type", "google_campaign")
+    return allocate_fee(final, video, image, share_within_grain=share_within_grain,
+                        pool_switch=pool_switch)
