@@ -331,7 +331,9 @@ def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
 
 def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
                         switch_date="2025-04-28", grains: Sequence[str] = GRAINS,
-                        purchases_how: str = "left") -> DataFrame:
+                        purchases_how: str = "left", social_retention_pattern: str = "react",
+                        search_brand_pattern: str = "brand", brand_acq_share: float = 0.34
+                        ) -> DataFrame:
     """Actual spend (acquisition / retention split) and purchases beside goal and
     stretch sheets, capped at ``as_of`` (R1, R21, R22, R20, R18, F7, J2).
 
@@ -358,8 +360,8 @@ def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
                          acq.alias("acq_spend"), ret.alias("ret_spend"), "impressions",
                          F.col(clicks).alias("clicks"), "purchases", "revenue")
 
-    meta = platform(inputs["meta"], "react", 0.0, "zero", "link_clicks")
-    google = platform(inputs["google"], "brand", 0.34, "null")
+    meta = platform(inputs["meta"], social_retention_pattern, 0.0, "zero", "link_clicks")
+    google = platform(inputs["google"], search_brand_pattern, brand_acq_share, "null")
     pin = inputs["pinterest"].select(F.col("date").cast("date").alias("date"), "date_granularity",
                                      "spend", F.col("spend").alias("acq_spend"),
                                      F.lit(0.0).alias("ret_spend"), "impressions", "clicks",
