@@ -94,6 +94,7 @@ def main(argv=None) -> int:
 
     p = argparse.ArgumentParser()
     p.add_argument("--sf", default="/root/testdata/sf0.01")
+    p.add_argument("--exact", action="store_true", help="compare doubles without rounding")
     p.add_argument("names", nargs="*")
     a = p.parse_args(argv)
     spark = local_session()
@@ -105,7 +106,7 @@ def main(argv=None) -> int:
         try:
             df = qs[n](spark, a.sf)
             if n in sqls:
-                r = compare(spark, df, sqls[n], a.sf)
+                r = compare(spark, df, sqls[n], a.sf, exact=a.exact)
             else:
                 r = {"match": None, "spark_rows": df.count()}
         except Exception as e:  # report and continue

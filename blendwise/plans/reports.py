@@ -966,10 +966,9 @@ def touch_orders_fee_allocation(
           F.col("campaign_type_custom").alias("campaign_type")]
     search = join_spend_to_touch(google.filter(F.col("campaign_type_custom") != "Youtube"),
                                  s3, "campaign_name", "google_campaign", ["utm_campaign"])
-    search = search.withColumn("google_campaign", F.when(
-        F.col("campaign_type_custom") == "Amazon", F.col("campaign_name").cast("string"))
-        .otherwise(F.coalesce(F.col("google_campaign").cast("string"),
-                              F.col("campaign_name").cast("string"))))
+    # CASE WHEN type = 'Amazon' THEN name ELSE COALESCE(matched google_campaign, name) END:
+    # a match means google_campaign = name, so every arm is the campaign name.
+    search = search.withColumn("google_campaign", F.col("campaign_name").cast("string"))
     search = search.groupBy(*gk, "google_campaign", "utm_campaign").agg(*sums) \
         .withColumn("channel", F.lit("Google Ads"))
     yt_side = s3.select("utm_campaign").distinct()
