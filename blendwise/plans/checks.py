@@ -23,15 +23,17 @@ def duckdb_frame(sql: str, sf_dir: str):
     return con.execute(sql).fetch_df()
 
 
-def _norm(v):
+def _norm(v, exact=False):
     if v is None:
         return None
     if isinstance(v, float):
         if math.isnan(v):
             return None
+        if exact:
+            return v
         return round(v, 6) if abs(v) < 1e15 else v
     if hasattr(v, "item"):
-        return _norm(v.item())
+        return _norm(v.item(), exact)
     if isinstance(v, _dt.datetime):
         return v.date() if v.time() == _dt.time(0) else v
     try:
@@ -39,7 +41,7 @@ def _norm(v):
         if v is pd.NaT or (isinstance(v, type(pd.NA)) ):
             return None
         if isinstance(v, pd.Timestamp):
-            return _norm(v.to_pydatetime())
+            return _norm(v.to_pydatetime(), exact)
     except Exception:  # pragma: no cover
         pass
     return v
@@ -57,7 +59,7 @@ def compare(spark: SparkSession, df, sql: str, sf_dir: str, exact: bool = False)
         out["match"] = False
         return out
     key = lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t)
-    norm = (lambda v: v) if exact else _norm
+    norm = (lambda v: _norm(v, True)) if exact else _norm
     s_vals = sorted((tuple(norm(r[c]) for c in s_cols) for r in rows), key=key)
     d_vals = sorted((tuple(norm(_py(v)) for v in rec) for rec in
                      pdf[s_cols].itertuples(index=False, name=None)), key=key)
