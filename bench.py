@@ -21,6 +21,9 @@ from blendwise.session import local_session  # noqa: E402
 
 HEADLINE = [
     "campaign_web_store",
+    "attributed_campaign_blend",
+    "actual_vs_forecast",
+    "crm_lead_funnel",
     "granularity_rollup_lineitem",
     "full_outer_blend_chain",
     "attribute_measures",

@@ -720,11 +720,11 @@ def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple
     skan = granularity_rollup(inputs["skan"], "date", skan_keys,
                               {"apps_installs": s_("installs")}, grains=grains,
                               week_start=week_start)
-    offset = granularity_rollup(inputs["skan"], "date",
-                                [F.lit("iOS").alias("app"), F.lit("af_app_invites").alias("channel"),
-                                 F.lit("not set").alias("campaign_name")],
-                                {"apps_installs": s_(-F.col("installs"))}, grains=grains,
-                                week_start=week_start)
+    # The negated SKAN total per period, merged from the SKAN roll-up (no second scan).
+    offset = (skan.groupBy("date", "date_granularity")
+              .agg((-F.sum("apps_installs")).alias("apps_installs"))
+              .withColumns({"app": F.lit("iOS"), "channel": F.lit("af_app_invites"),
+                            "campaign_name": F.lit("not set")}))
     mmp_measures = ["sessions", "apps_installs", "apps_trial_started", "apps_trial_converted",
                     "apps_initial_purchase", "apps_revenue"]
     k5 = ["date_granularity", "date", "app", "channel", "campaign_name"]
@@ -1016,6 +1016,9 @@ def touch_orders_fee_allocation(
     stacked = stack([align_to(df, contract, measures) for df in (meta, search, yt, bing, touch_rows)])
     final = stacked.groupBy(*SE_KEYS).agg(
         *[F.coalesce(F.sum(f"`{m}`"), F.lit(0)).alias(m) for m in measures])
+    # The fee step reads this aggregate twice (rows and share totals) with
+    # different column needs, so the plans would not share an exchange; keep it.
+    final = reuse(final)
     video, image = video_masks("channel", "market", "campaign_type", "google_campaign")
     return allocate_fee(final, video, image, share_within_grain=share_within_grain,
                         pool_switch=pool_switch)
