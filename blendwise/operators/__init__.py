@@ -8,9 +8,11 @@ from blendwise.operators.attribution import (
     touch_orders, trial_revenue,
 )
 from blendwise.operators.blend import (
-    active_rows, align_to, campaign_dimension, full_outer, full_outer_blend, soft_delete,
-    split_channels, stack, stack_channels, stack_relations, store_block,
+    active_rows, align_to, app_blend, campaign_dimension, full_outer, full_outer_blend,
+    regional_paid_spend, soft_delete, split_channels, stack, stack_channels, stack_relations,
+    store_block,
 )
+from blendwise.operators.blend import split_channels as split_account_channels
 from blendwise.operators.calendar import cap_at, cutover, granularity_rollup, spine, spine_join
 from blendwise.operators.classify import (
     acquisition_spend, bucket_exact, classify, label_unpaid, normalise_channel, repair_names,

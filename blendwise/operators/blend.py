@@ -201,3 +201,38 @@ def store_block(sales: DataFrame, contract, measures: Sequence[str],
     """Store rows as a pseudo-channel with zero paid measures."""
     const = {"channel": "Shopify", **dict(const or {})}
     return stack_channels([{"df": sales, "rename": rename, "const": const}], contract, measures)
+
+
+def app_blend(paid: DataFrame, mmp: DataFrame, keys: Sequence[str], measures: Sequence[str],
+              id_col: str = "campaign_id", not_set: str = "(not set)") -> DataFrame:
+    """Paid app campaigns full-outer-joined to MMP facts on ``keys``; missing ids
+    become ``not_set`` and measures are zero-filled sums per key and id (R38).
+    """
+    blended = full_outer_blend([(paid, None), (mmp, keys)])
+    return (blended.groupBy(*keys, F.coalesce(F.col(id_col), F.lit(not_set)).alias(id_col))
+            .agg(*[F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in measures]))
+
+
+def regional_paid_spend(branches: Sequence[Mapping], keys: Sequence[str] = ("region", "date"),
+                        drop_region: str | None = "Other") -> DataFrame:
+    """Paid spend per region and day with a per-branch 'paid' definition.
+
+    Each branch: ``df`` (``date, region, spend, revenue, purchases``), optional
+    ``where`` (row filter, e.g. region whitelist and name exclusions) and
+    ``paid`` (Column for ``paid_spend``, default the spend). Rows of region
+    ``drop_region`` are dropped; measures are zero-filled sums.
+    """
+    parts = []
+    for b in branches:
+        df = b["df"] if b.get("where") is None else b["df"].filter(b["where"])
+        paid = b.get("paid") if b.get("paid") is not None else F.col("spend")
+        parts.append(df.select(F.col("date").cast("date").alias("date"), "region",
+                               F.col("spend").cast("double").alias("spend"),
+                               paid.cast("double").alias("paid_spend"),
+                               F.col("revenue").cast("double").alias("paid_revenue"),
+                               F.col("purchases").cast("long").alias("paid_purchases")))
+    out = stack(parts)
+    if drop_region is not None:
+        out = out.filter(F.col("region") != F.lit(drop_region))
+    cols = ["spend", "paid_spend", "paid_revenue", "paid_purchases"]
+    return out.groupBy(*keys).agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in cols])

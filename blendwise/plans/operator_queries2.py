@@ -323,25 +323,21 @@ def q_regional_paid_spend(spark, sf):
         _od().alias("date"), F.col("o_orderstatus").alias("status"),
         F.col("o_orderpriority").alias("campaign_name"), _region_of().alias("region"),
         money("o_totalprice").alias("spend"))
+    from blendwise.operators import regional_paid_spend
+    ro = ro.withColumns({"revenue": F.lit(0.0), "purchases": F.lit(0)})
     name, status, region = F.col("campaign_name"), F.col("status"), F.col("region")
     core = region.isin("US", "AUS") & not_imatch(name, "not specified")
     other = region.isin("EU", "UK")
-    contract = [("region", "string"), ("date", "date"), ("spend", "double"),
-                ("paid_spend", "double")]
     s = F.col("spend")
     branches = [
-        {"df": ro.withColumn("paid_spend", F.when(not_imatch(name, "urgent") & ~name.isin("5-LOW"), s)
-                             .otherwise(F.lit(0.0))), "where": (status == "F") & core},
-        {"df": ro.withColumn("paid_spend", F.when(not_imatch(name, "high"), s).otherwise(F.lit(0.0))),
-         "where": (status == "O") & core},
-        {"df": ro.withColumn("paid_spend", s), "where": status.isin("F", "O") & other},
-        {"df": ro.withColumn("paid_spend", s),
-         "where": (status == "P") & region.isin("US", "AUS", "UK")},
+        {"df": ro, "where": (status == "F") & core,
+         "paid": F.when(not_imatch(name, "urgent") & ~name.isin("5-LOW"), s).otherwise(F.lit(0.0))},
+        {"df": ro, "where": (status == "O") & core,
+         "paid": F.when(not_imatch(name, "high"), s).otherwise(F.lit(0.0))},
+        {"df": ro, "where": status.isin("F", "O") & other},
+        {"df": ro, "where": (status == "P") & region.isin("US", "AUS", "UK")},
     ]
-    stacked = stack_channels(branches, contract, ["spend", "paid_spend"])
-    return (stacked.filter(F.col("region") != "Other").groupBy("region", "date")
-            .agg(F.coalesce(F.sum("spend"), F.lit(0.0)).alias("spend"),
-                 F.coalesce(F.sum("paid_spend"), F.lit(0.0)).alias("paid_spend")))
+    return regional_paid_spend(branches).select("region", "date", "spend", "paid_spend")
 
 
 SQL["regional_paid_spend"] = """

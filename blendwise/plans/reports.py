@@ -261,7 +261,7 @@ def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequ
 # --------------------------------------------------------------------------
 
 def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] = GRAINS,
-                       excluded_campaigns: Sequence[str] = ()) -> DataFrame:
+                       excluded_campaigns: Sequence[str] = (), sort: bool = False) -> DataFrame:
     """Actual spend and store results beside a forecast sheet and its adjusted
     version, at every grain (R10, R16, R3, R1, R18).
 
@@ -321,8 +321,9 @@ def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
                     ("original_spend", "double"), ("spend", "double"), ("first_orders", "bigint"),
                     ("returning_orders", "bigint"), ("total_sales", "double"),
                     ("first_total_sales", "double")]
-    return stack([align_to(df, out_contract) for df in
-                  (actual, sheet("", "Forecasted"), sheet("adjusted_", "Adjusted Forecasted"))])
+    out = stack([align_to(df, out_contract) for df in
+                 (actual, sheet("", "Forecasted"), sheet("adjusted_", "Adjusted Forecasted"))])
+    return out.orderBy(F.desc("date")) if sort else out
 
 
 # --------------------------------------------------------------------------
@@ -332,8 +333,8 @@ def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
 def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
                         switch_date="2025-04-28", grains: Sequence[str] = GRAINS,
                         purchases_how: str = "left", social_retention_pattern: str = "react",
-                        search_brand_pattern: str = "brand", brand_acq_share: float = 0.34
-                        ) -> DataFrame:
+                        search_brand_pattern: str = "brand", brand_acq_share: float = 0.34,
+                        sort: bool = False) -> DataFrame:
     """Actual spend (acquisition / retention split) and purchases beside goal and
     stretch sheets, capped at ``as_of`` (R1, R21, R22, R20, R18, F7, J2).
 
@@ -407,7 +408,8 @@ def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
                     ("total_sales", "double"), ("repurchase_orders", "bigint")]
     parts = [actual, goals(inputs["goal"], "Goal", F.sum("ret_orders")),
              goals(inputs["stretch"], "Stretch", F.sum(F.lit(0)))]
-    return stack([cap_at(align_to(df, out_contract), as_of) for df in parts])
+    out = stack([cap_at(align_to(df, out_contract), as_of) for df in parts])
+    return out.orderBy(F.desc("date")) if sort else out  # O1, presentation only
 
 
 # --------------------------------------------------------------------------
@@ -768,16 +770,13 @@ def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple
         (F.coalesce(F.sum("trial_converted_value"), F.lit(0))
          + F.coalesce(F.sum("initial_purchase_value"), F.lit(0))).alias("revenue"))
 
-    blended = full_outer_blend([(paid, None),
-                                (mmp_all, ["channel", "date", "date_granularity", "campaign_name", "app"])])
+    from blendwise.operators.blend import app_blend
     out_measures = ["spend", "clicks", "impressions", "installs", "sessions", "revenue",
                     "apps_revenue", "initial_purchase", "trial_converted", "trial_started",
                     "apps_installs", "apps_initial_purchase", "apps_trial_converted",
                     "apps_trial_started"]
-    agg = blended.groupBy("channel", "campaign_name",
-                          F.coalesce(F.col("campaign_id"), F.lit("(not set)")).alias("campaign_id"),
-                          "date", "date_granularity", "app").agg(
-        *[F.sum(F.coalesce(F.col(m), F.lit(0))).alias(m) for m in out_measures])
+    agg = app_blend(paid, mmp_all, ["channel", "date", "date_granularity", "campaign_name", "app"],
+                    out_measures)
     return agg.select("channel", "app", "campaign_name", "campaign_id", "date", "date_granularity",
                       *out_measures)
 
@@ -788,7 +787,8 @@ def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple
 
 def regional_commerce_forecast(inputs: Mapping[str, DataFrame], spend_branches: Sequence[Mapping],
                                regions: Mapping[str, Mapping], families: Mapping[str, Mapping],
-                               forecasts: Sequence[tuple], spine_start, as_of=None) -> DataFrame:
+                               forecasts: Sequence[tuple], spine_start, as_of=None,
+                               sort: bool = False) -> DataFrame:
     """Paid spend by region, store orders / revenue / product units by region,
     on a calendar spine, stacked with unpivoted regional forecasts
     (R23, R24, R25, R26, R27, R17, R19, R18; Q36-Q39).
@@ -809,18 +809,10 @@ def regional_commerce_forecast(inputs: Mapping[str, DataFrame], spend_branches:
     from blendwise.operators.commerce import order_counts, product_units
     from blendwise.operators.scenario import unpivot_regions
 
+    from blendwise.operators.blend import regional_paid_spend
+
     spend_cols = ["spend", "paid_spend", "paid_revenue", "paid_purchases"]
-    parts = []
-    for b in spend_branches:
-        df = b["df"] if b.get("where") is None else b["df"].filter(b["where"])
-        parts.append(df.select(F.col("date").cast("date").alias("date"), "region",
-                               F.col("spend").cast("double").alias("spend"),
-                               (b.get("paid") if b.get("paid") is not None else F.col("spend"))
-                               .cast("double").alias("paid_spend"),
-                               F.col("revenue").cast("double").alias("paid_revenue"),
-                               F.col("purchases").cast("long").alias("paid_purchases")))
-    spend = (stack(parts).filter(F.col("region") != F.lit("Other")).groupBy("region", "date")
-             .agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in spend_cols]))
+    spend = regional_paid_spend(spend_branches)
 
     family_names = list(next(iter(families.values())).keys())
     store_parts = []
@@ -868,7 +860,8 @@ def regional_commerce_forecast(inputs: Mapping[str, DataFrame], spend_branches:
     cols = ["type", "region", "date", *measures]
     contract = [("type", "string"), ("region", "string"), ("date", "date")] + \
         [(m, "double") for m in measures]
-    return stack([align_to(actual.select(*cols), contract), align_to(forecast.select(*cols), contract)])
+    out = stack([align_to(actual.select(*cols), contract), align_to(forecast.select(*cols), contract)])
+    return out.orderBy(F.desc("date")) if sort else out  # O1, presentation only
 
 
 # --------------------------------------------------------------------------
