@@ -18,6 +18,7 @@ from blendwise.functions.dates import GRAINS
 from blendwise.operators.blend import align_to, full_outer_blend, stack, stack_channels
 from blendwise.operators.calendar import granularity_rollup
 from blendwise.operators.classify import label_unpaid
+from blendwise.sources import contracts as C
 
 PAID_MEASURES = ("spend", "clicks", "impressions", "paid_purchases", "paid_revenue")
 STORE_MEASURES = ("shopify_first_orders", "shopify_orders", "shopify_first_sales",
@@ -134,6 +135,15 @@ def campaign_web_store(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
     conversions_purchase, purchase_revenue``), ``store`` (store_period).
     The store's refund-adjusted columns are the projected net columns (Q14).
     """
+    C.validate(inputs["web"], C.WEB_SESSIONS, ["date", "session_campaign_id", "sessions",
+                                               "engaged_sessions", "conversions_purchase",
+                                               "purchase_revenue"])
+    C.validate(inputs["store"], C.STORE_PERIOD, ["date", "date_granularity", "orders", "first_orders",
+                                                 "total_net_sales", "first_order_total_net_sales",
+                                                 "net_sales", "first_order_net_sales"])
+    for k in ("meta", "google"):
+        C.validate(inputs[k], C.ADS, ["date", "date_granularity", "campaign_id", "campaign_name",
+                                      "spend", "impressions", "purchases", "revenue"])
     branches = [paid_branch(inputs["meta"], "Meta"), paid_branch(inputs["google"], "Google Ads")]
     return paid_web_store(branches, inputs["web"], inputs["store"], grains,
                           web_strategy=web_strategy)
@@ -476,6 +486,10 @@ def subsource_stack(inputs: Mapping[str, DataFrame]) -> DataFrame:
 
 def _attributed_store(inputs, channel_rules, measures, exact_scale):
     from blendwise.operators.attribution import attribute_measures, linear_attribution
+    C.validate(inputs["touches"], C.TOUCHES, ["order_id", "source", "campaign_id", "click_date",
+                                              "type", "_fivetran_deleted"])
+    C.validate(inputs["orders"], C.ORDERS)
+    C.validate(inputs["store_order"], C.STORE_ORDER)
     touches = linear_attribution(inputs["touches"], inputs["orders"], channel_rules)
     return attribute_measures(inputs["store_order"], touches, measures, exact_scale=exact_scale)
 

@@ -264,3 +264,14 @@ def test_allocate_fee_pool_switch_and_null_mask(spark):
     assert r.monthly_fee_pool == 17000.0
     assert r.spend_with_fees == 0.0        # Q25: NULL name fails both mask arms
     assert r.dg_breakdown == "Other"
+
+
+def test_contract_validation_reports_missing_and_mistyped(spark):
+    from blendwise.sources import contracts as C
+    df = spark.createDataFrame([("1", "x")], "order_id string, order_date string")
+    with pytest.raises(ValueError, match="order_date"):
+        C.validate(df, C.ORDERS)
+    ok = spark.createDataFrame([("1", dt.datetime(2024, 1, 1))], "order_id string, order_date timestamp")
+    assert C.validate(ok, C.ORDERS) is ok
+    with pytest.raises(ValueError, match="missing"):
+        C.validate(ok.drop("order_date"), C.ORDERS)
