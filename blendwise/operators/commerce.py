@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blendwise.functions.aggs import Agg  # noqa: F401  (type of ``extra``)
 from blendwise.functions.columns import as_col, zero
 from blendwise.functions.text import imatch
 
@@ -55,25 +56,28 @@ def returning_orders(orders, first_orders) -> Column:
 
 def order_counts(lines: DataFrame, keys: Sequence[str], order_col: str, is_first: Column,
                  orders_name: str = "orders", first_name: str = "first_orders",
-                 extra: Mapping[str, Column] | None = None) -> DataFrame:
+                 extra: Mapping[str, "Agg"] | None = None) -> DataFrame:
     """Distinct orders and distinct first orders per key.
 
     Equivalent to ``COUNT(DISTINCT order_id)`` and
-    ``COUNT(DISTINCT CASE WHEN is_first THEN order_id END)``. NULL order ids
-    are not counted. ``extra`` adds plain sums over the raw rows.
+    ``COUNT(DISTINCT CASE WHEN is_first THEN order_id END)``, computed as two
+    map-side-combined aggregates: one row per (keys, order) first, then plain
+    counts. ``extra`` adds decomposable measures (``Agg`` specs such as
+    ``sum_(x, fill=0)``) over all rows, including rows without an order id,
+    carried through the same two steps, so the input is read once.
     """
     extra = dict(extra or {})
-    per_order = (lines.filter(F.col(order_col).isNotNull())
-                 .groupBy(*keys, order_col)
-                 .agg(F.max(F.when(is_first, 1).otherwise(0)).alias("__first")))
-    counts = per_order.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias(orders_name), F.sum("__first").cast("long").alias(first_name))
-    if not extra:
-        return counts
-    sums = lines.groupBy(*keys).agg(*[e.alias(n) for n, e in extra.items()])
-    return sums.join(counts, list(keys), "left").select(
-        *keys, F.coalesce(F.col(orders_name), F.lit(0)).alias(orders_name),
-        F.coalesce(F.col(first_name), F.lit(0)).alias(first_name), *extra)
+    oid = F.col(order_col)
+    partial = {f"__x{i}": a for i, a in enumerate(extra.values())}
+    per_order = lines.groupBy(*keys, order_col).agg(
+        F.max(F.when(is_first, 1).otherwise(0)).alias("__first"),
+        *[a.partial().alias(n) for n, a in partial.items()])
+    out = per_order.groupBy(*keys).agg(
+        F.count(oid).alias(orders_name),
+        F.coalesce(F.sum(F.when(oid.isNotNull(), F.col("__first"))), F.lit(0)).cast("long")
+        .alias(first_name),
+        *[a.merge(n).alias(name) for (n, a), name in zip(partial.items(), extra)])
+    return out
 
 
 def product_units(title, quantity, families: Mapping[str, Sequence]) -> dict[str, Column]:

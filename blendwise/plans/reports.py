@@ -834,17 +834,15 @@ def regional_commerce_forecast(inputs: Mapping[str, DataFrame], spend_branches:
         lines = cfg["lines"].withColumn("date", F.col("date").cast("date"))
         if cfg.get("revenue", "tax_net") == "lines":
             data = order_counts(lines, ["date"], "order_id", F.col("customer_order_index") == 1,
-                                extra={"gross_revenue": F.coalesce(F.sum("gross_sales"), F.lit(0)),
-                                       "total_discounts": F.coalesce(
-                                           F.sum(F.col("gross_sales") - F.col("subtotal_sales")),
-                                           F.lit(0))})
+                                extra={"gross_revenue": sum_("gross_sales", fill=0),
+                                       "total_discounts": sum_(F.col("gross_sales")
+                                                               - F.col("subtotal_sales"), fill=0)})
         else:
             o = cfg["orders"].withColumn("date", F.col("date").cast("date"))
             net = lambda c: tax_net(c, "total_tax", "total_revenue")
             data = order_counts(o, ["date"], "order_id", F.col("customer_order_index") == 1,
-                                extra={"gross_revenue": F.coalesce(F.sum(net("gross_revenue")), F.lit(0)),
-                                       "total_discounts": F.coalesce(F.sum(net("subtotal_discount")),
-                                                                     F.lit(0))})
+                                extra={"gross_revenue": sum_(net("gross_revenue"), fill=0),
+                                       "total_discounts": sum_(net("subtotal_discount"), fill=0)})
         units = product_units("product_title", "quantity", families[region])
         prod = lines.groupBy("date").agg(*[c.alias(n) for n, c in units.items()])
         joined = data.join(prod, ["date"], "left")

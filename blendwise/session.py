@@ -67,15 +67,17 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the session's checkpoint folder, setting a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only a session without it (tests, local runs) gets a fresh temporary
-    folder.
+    is; a cluster session without it is an error. Only a local session without
+    it (tests, local runs) gets a fresh temporary folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = spark.sparkContext.getCheckpointDir() if hasattr(
             spark.sparkContext, "getCheckpointDir") else None
     if not current:
-        current = tempfile.mkdtemp(prefix="blendwise-ckpt-")
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
+        current = tempfile.mkdtemp(prefix="blendwise-ckpt-")  # local runs and tests only
         spark.conf.set("spark.checkpoint.dir", current)
     spark.sparkContext.setCheckpointDir(current)
     return current
