@@ -34,3 +34,24 @@ def test_entry_smoke(spark):
     df = mod.entry(spark)
     assert df.count() > 0
     assert df.columns[:4] == ["channel", "campaign_name", "date", "date_granularity"]
+
+
+_DUCK_TO_SPARK = {"BIGINT": "bigint", "DOUBLE": "double", "VARCHAR": "string", "DATE": "date",
+                  "INTEGER": "int", "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz"}
+
+
+@pytest.fixture(scope="module")
+def duck():
+    import duckdb
+    from blendwise.plans.checks import TABLES
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_DIR}/{t}.parquet')")
+    return con
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_query_types_match_oracle(spark, duck, name):
+    spark_types = {f.name: f.dataType.simpleString() for f in QUERIES[name](spark, SF_DIR).schema.fields}
+    duck_types = {r[0]: _DUCK_TO_SPARK.get(r[1], r[1]) for r in duck.execute(f"DESCRIBE {SQL[name]}").fetchall()}
+    assert spark_types == duck_types
