@@ -509,3 +509,19 @@ SQL["granularity_rollup_lineitem"] = per_grain(
     "SELECT " + trunc("{g}", "l_shipdate") + " AS date, '{g}' AS date_granularity, "
     "l_suppkey AS supplier, COUNT(*) AS lines, CAST(SUM(CAST(l_quantity AS BIGINT)) AS BIGINT) "
     "AS quantity, SUM(floor(l_extendedprice)::DOUBLE) AS spend FROM lineitem GROUP BY 1, 2, 3")
+
+
+# ------------------------------------------------------------------- D10 --
+
+@query("date_parts")
+def q_date_parts(spark, sf):
+    from blendwise.functions.dates import with_date_parts
+    o = tables(spark, sf)["orders"].select(F.col("o_orderdate").cast("date").alias("d")).distinct()
+    return with_date_parts(o, "d")
+
+
+SQL["date_parts"] = """
+SELECT d, d AS day, CAST(date_trunc('week', d) AS DATE) AS week,
+       CAST(date_trunc('month', d) AS DATE) AS month, CAST(date_trunc('quarter', d) AS DATE) AS quarter,
+       CAST(date_trunc('year', d) AS DATE) AS year
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders)"""

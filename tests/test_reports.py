@@ -50,3 +50,37 @@ def test_adset_store_blend_pads_google_adsets(spark):
     assert (got["Google Ads"].adset_id, got["Google Ads"].adset_name) == ("(not set)", "(not set)")
     assert got["Shopify"].shopify_sales == 30.0 and got["Shopify"].campaign_id == "(not set)"
     assert out.agg(F.sum("spend")).first()[0] == 3.0
+
+
+def test_channel_store_web_stack_labels_shared_items_and_sales_filter(spark):
+    # a numeric campaign id beyond 32 bits; J4: the inner join to the optional sales_adj.
+    big = 1861822514294002
+    video = spark.createDataFrame([(D, "day", big, 1.0, 1, 1, 0, 0.0), (D, "day", 7, 2.0, 1, 1, 0, 0.0)],
+                                  "date date, date_granularity string, campaign_num bigint, spend double, "
+                                  "clicks bigint, impressions bigint, purchases bigint, revenue double")
+    meta = spark.createDataFrame([(D, "day", "DTC", "sale", 3.0, 1, 1, 1, 2.0, None, None),
+                                  (D, "day", "DTC", "traffic", 4.0, 1, 1, None, None, 2, 5.0)],
+                                 "date date, date_granularity string, account string, campaign_name string, "
+                                 "spend double, link_clicks bigint, impressions bigint, purchases bigint, "
+                                 "revenue double, purchases_shared_items bigint, revenue_shared_items double")
+    from blendwise.functions import imatch, not_imatch
+    rules = [("meta", "Meta", (F.col("account") == "DTC") & not_imatch("campaign_name", "traffic")),
+             ("meta", "Meta with Traffic", (F.col("account") == "DTC") & imatch("campaign_name", "traffic")),
+             ("video", "Tiktok", F.col("campaign_num") != F.lit(big)),
+             ("video", "Tiktok Special", F.col("campaign_num") == F.lit(big))]
+    store = spark.createDataFrame([(D, "day", 2, 1, 50.0, 5.0, 40.0, 45.0),
+                                   (dt.date(2024, 1, 2), "day", 9, 9, 9.0, 0.0, 9.0, 9.0)],
+                                  "date date, date_granularity string, orders bigint, first_orders bigint, "
+                                  "gross_sales double, subtotal_discount double, net_sales double, "
+                                  "total_net_sales double")
+    web = spark.createDataFrame([(D, "day", 10)], "date date, date_granularity string, sessions bigint")
+    sales_adj = spark.createDataFrame([(D, "day")], "date date, date_granularity string")
+    out = reports.channel_store_web_stack({"paid": {"meta": meta, "video": video}, "store": store,
+                                           "web": web, "sales_adj": sales_adj}, rules)
+    got = {r.channel: r for r in out.collect()}
+    assert set(got) == {"Meta", "Meta with Traffic", "Tiktok", "Tiktok Special", "Shopify", "GA4"}
+    assert got["Tiktok Special"].spend == 1.0 and got["Tiktok"].spend == 2.0
+    assert (got["Meta"].paid_purchases, got["Meta"].paid_revenue) == (1, 2.0)
+    assert (got["Meta with Traffic"].paid_purchases, got["Meta with Traffic"].paid_revenue) == (2, 5.0)
+    assert got["Shopify"].shopify_subtotal_sales_adj == 45.0 and got["Shopify"].shopify_orders == 2
+    assert got["GA4"].ga4_sessions_adjusted == 8.0
