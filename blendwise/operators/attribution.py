@@ -35,6 +35,7 @@ def linear_attribution(
     type_col: str = "type",
     deleted_col: str | None = "_fivetran_deleted",
     cap_at_order_date: bool = False,
+    materialize: str | None = "persist",
 ) -> DataFrame:
     """Surviving touches per order with their touch count.
 
@@ -59,6 +60,14 @@ def linear_attribution(
     kept = joined.filter(cond).select(
         F.col(order_col), F.col(order_date_col), F.col(click_col),
         channel.alias("channel"), campaign.alias("campaign_id"))
+    # The surviving touches feed both the per-order count and the join back.
+    # The two branches need different columns, so Spark would plan (scan and
+    # shuffle) the touches twice; materialise them once (``persist``: memory and
+    # disk, recomputed from lineage on executor loss; ``checkpoint``: shared
+    # folder). ``None`` leaves it to the planner.
+    from blendwise.session import reuse
+    if materialize is not None:
+        kept = reuse(kept, materialize)
     counts = kept.groupBy(order_col).agg(F.count(F.lit(1)).alias("order_index"))
     return kept.join(counts, order_col, "inner")
 

@@ -83,6 +83,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
+_REUSED: list[DataFrame] = []
+
+
+def release_reused() -> None:
+    """Unpersist everything ``reuse`` persisted (call after the result is written)."""
+    while _REUSED:
+        _REUSED.pop().unpersist()
+
+
 def reuse(df: DataFrame, how: str = "persist") -> DataFrame:
     """Mark a DataFrame that several branches consume.
 
@@ -94,5 +103,7 @@ def reuse(df: DataFrame, how: str = "persist") -> DataFrame:
         ensure_checkpoint_dir(df.sparkSession)
         return df.checkpoint(eager=True)
     if how == "persist":
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = df.persist(StorageLevel.MEMORY_AND_DISK)
+        _REUSED.append(out)
+        return out
     return df

@@ -44,3 +44,5 @@ def publish(df: DataFrame, target: str, partition_by: str | None = "date_granula
         writer.save(path)
     else:
         writer.saveAsTable(target)
+    from blendwise.session import release_reused
+    release_reused()  # intermediates persisted for this result are no longer needed
