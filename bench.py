@@ -51,7 +51,7 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=cpus)
     qs = registry.queries()
     builders = {n: (lambda n=n: qs[n](spark, sf_dir)) for n in HEADLINE}
-    for strategy in ("union", "cascade", "explode"):
+    for strategy in ("union", "cascade", "cascade_union", "explode"):
         builders[f"rollup_lineitem_{strategy}"] = (
             lambda s=strategy: lineitem_rollup(spark, sf_dir, strategy=s))
     for build in builders.values():  # warm-up: JIT, file listing, caches

@@ -7,12 +7,16 @@ are aggregated, and the grains are stacked.
 Strategies (all give the same rows):
 
 ``cascade`` (default when every measure is decomposable)
-    Aggregate raw rows once to day grain; the day rows are the day output and
-    every coarser grain merges them. The source is scanned once and the day
-    shuffle is shared by all grains (Spark reuses the identical exchange), so
-    total shuffle volume equals the union form's while I/O is one scan instead
-    of one per grain. Partial (map-side) aggregation runs before every shuffle,
-    so a hot key never reaches one task as raw rows.
+    Aggregate raw rows once to day grain (map-side combined), fan each day row
+    out to its period starts with one generator, and merge in one aggregate.
+    One scan and two shuffles, the second over day rows, which are far fewer
+    than raw rows. A filter that a consumer puts on the period start or grain
+    cannot move below the generator, so the source is still read once.
+``cascade_union``
+    As ``cascade`` but each coarser grain merges the day aggregate in its own
+    branch. Spark shares the day exchange between branches, unless a later
+    filter on the date is pushed into the branches differently; then every
+    branch scans the source again.
 ``explode``
     Fan every raw row out to its grains and aggregate once. One scan, one
     shuffle; the only choice for ``COUNT(DISTINCT ...)``.
@@ -111,10 +115,15 @@ def granularity_rollup(
                 .agg(*[a.one_step().alias(n) for n, a in rebound.items()])
                 .select(*out_cols))
 
-    if strategy == "cascade":
+    if strategy in ("cascade", "cascade_union"):
         partial_names = {n: f"__p_{i}" for i, n in enumerate(rebound)}
         daily = (projected.groupBy("__day", *key_names)
                  .agg(*[a.partial().alias(partial_names[n]) for n, a in rebound.items()]))
+        if strategy == "cascade":
+            return (daily.select("*", fan)
+                    .groupBy(date_name, grain_name, *key_names)
+                    .agg(*[a.merge(partial_names[n]).alias(n) for n, a in rebound.items()])
+                    .select(*out_cols))
         parts = []
         for g in grains:
             if g == "day":

@@ -43,16 +43,19 @@ def unpivot_regions(df: DataFrame, id_cols: Sequence[str],
 
 def goal_rollup(df: DataFrame, date_col: str, grains: Sequence[str], sums: Mapping[str, Column],
                 week_start: str = "monday") -> DataFrame:
-    """Roll a goal sheet to every grain with arbitrary aggregate expressions.
+    """Roll a sheet to every grain with arbitrary aggregate expressions.
 
     ``sums`` maps names to aggregate Columns such as
-    ``F.sum('spend') - F.sum('acq_spend')``. Period columns are derived per
-    grain from ``date_col``. Output: ``date, date_granularity, *sums``.
+    ``F.sum('spend') - F.sum('acq_spend')``. Each row is fanned out to its
+    period starts by one generator and aggregated once: one scan, one shuffle,
+    and a later filter on the date cannot split the plan into one scan per
+    grain. Output: ``date, date_granularity, *sums``.
     """
     from blendwise.functions.dates import period_start
-    parts = []
-    for g in grains:
-        parts.append(df.groupBy(period_start(date_col, g, week_start).alias("date"))
-                     .agg(*[e.alias(n) for n, e in sums.items()])
-                     .select("date", F.lit(g).alias("date_granularity"), *sums))
-    return stack(parts)
+    fan = F.inline(F.array(*[
+        F.struct(F.lit(g).alias("__grain"), period_start(date_col, g, week_start).alias("__period"))
+        for g in grains]))
+    return (df.select("*", fan).groupBy("__period", "__grain")
+            .agg(*[e.alias(n) for n, e in sums.items()])
+            .select(F.col("__period").alias("date"), F.col("__grain").alias("date_granularity"),
+                    *sums))

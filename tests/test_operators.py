@@ -47,7 +47,7 @@ def test_days_in_period(spark):
     assert got[D(2023, 11, 5)] == (30, 92, 365)
 
 
-@pytest.mark.parametrize("strategy", ["union", "cascade", "explode"])
+@pytest.mark.parametrize("strategy", ["union", "cascade", "cascade_union", "explode"])
 def test_rollup_strategies_agree_and_totals_equal_per_grain(spark, strategy):
     df = spark.createDataFrame(
         [(D(2024, 1, 1), "a", 1.0), (D(2024, 1, 1), "a", 2.0), (D(2024, 1, 8), "a", 3.0),
