@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from blendwise.plans import registry  # noqa: E402
 from blendwise.plans.operator_queries import lineitem_rollup  # noqa: E402
-from blendwise.session import local_session  # noqa: E402
+from blendwise.session import local_session, release_reused  # noqa: E402
 
 HEADLINE = [
     "campaign_web_store",
@@ -39,6 +39,8 @@ HEADLINE = [
 
 
 def run(df) -> float:
+    release_reused()  # no persisted intermediate survives from an earlier run
+    df.sparkSession.catalog.clearCache()
     t0 = time.perf_counter()
     df.write.format("noop").mode("overwrite").save()
     return time.perf_counter() - t0
