@@ -12,11 +12,9 @@ import datetime as _dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from blendwise.constants import GRAINS
 from blendwise.functions.columns import as_col
 
-# The granularity names and their order, as the reports use them.
-GRAINS = ("day", "week", "month", "quarter", "year")
-
 
 def to_date(c) -> Column:
     """Cast a date, timestamp or ISO text column to DateType."""

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from blendwise.constants import SESSION_FACTOR
 from blendwise.functions.columns import as_col, safe_div, zero
 
 
@@ -43,7 +44,7 @@ def merge_shared_items(own, shared) -> Column:
     return zero(own) + zero(shared)
 
 
-def scale_estimate(c, factor: float = 0.8) -> Column:
+def scale_estimate(c, factor: float = SESSION_FACTOR) -> Column:
     """A measure scaled by a constant, e.g. ``0.8 * SUM(sessions)``."""
     return F.lit(float(factor)) * as_col(c)
 

@@ -16,6 +16,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blendwise import constants as K
 from blendwise.functions.columns import as_col, safe_div
 from blendwise.functions.dates import (
     date_lit, days_in_month, days_in_quarter, days_in_year, to_date,
@@ -82,10 +83,10 @@ def allocate_fee(
     mask: Column,
     image_mask: Column,
     share_keys: Sequence = ("channel", "market", "dg_breakdown"),
-    pool_before: float = 10000.0,
-    pool_after: float = 17000.0,
-    pool_switch="2025-08-01",
-    uplift: float = 1.02565,
+    pool_before: float = K.FEE_POOL_BEFORE,
+    pool_after: float = K.FEE_POOL_AFTER,
+    pool_switch=K.FEE_POOL_SWITCH,
+    uplift: float = K.FEE_UPLIFT,
     share_within_grain: bool = False,
     date_col: str = "date",
     grain_col: str = "date_granularity",
@@ -103,7 +104,8 @@ def allocate_fee(
     base = days_in_period(df, date_col).withColumns({
         "monthly_fee_pool": F.when(d < date_lit(pool_switch), F.lit(float(pool_before)))
         .otherwise(F.lit(float(pool_after))),
-        "dg_breakdown": F.when(mask, F.lit("DG Video")).otherwise(F.lit("Other")),
+        "dg_breakdown": F.when(mask, F.lit(K.FEE_BREAKDOWN_LABELS[0]))
+        .otherwise(F.lit(K.FEE_BREAKDOWN_LABELS[1])),
     })
     partition = [*share_keys, F.trunc(to_date(date_col), "month")]
     if share_within_grain:
@@ -112,9 +114,10 @@ def allocate_fee(
     pool = F.col("monthly_fee_pool")
     dim = F.col("days_in_month")
     g = F.col(grain_col)
-    per_grain = (F.when(g == "day", pool / dim).when(g == "week", pool / dim * 7)
-                 .when(g == "month", pool).when(g == "quarter", pool * 3)
-                 .when(g == "year", pool * 12).otherwise(pool / dim))
+    factor = dict(K.FEE_GRAIN_FACTORS)
+    per_grain = (F.when(g == "day", pool / dim).when(g == "week", pool / dim * factor["week"])
+                 .when(g == "month", pool).when(g == "quarter", pool * factor["quarter"])
+                 .when(g == "year", pool * factor["year"]).otherwise(pool / dim))
     s = F.col(spend_col)
     fees = (F.when(mask, s * F.lit(uplift) + safe_div(s, F.col("total_spend")) * per_grain)
             .when(image_mask, s * F.lit(uplift)).otherwise(F.lit(0.0)))
@@ -122,9 +125,9 @@ def allocate_fee(
 
 
 def video_masks(channel, market, campaign_type, campaign_name,
-                channel_value: str = "Google Ads", market_value: str = "US",
-                types: Sequence[str] = ("Demand Gen", "Youtube"),
-                image_pattern: str = "image") -> tuple[Column, Column]:
+                channel_value: str = K.FEE_CHANNEL, market_value: str = K.FEE_MARKET,
+                types: Sequence[str] = K.FEE_CAMPAIGN_TYPES,
+                image_pattern: str = K.FEE_IMAGE_PATTERN) -> tuple[Column, Column]:
     """The two arms of the fee mask: video campaigns, and image campaigns (Q25)."""
     base = ((as_col(channel) == F.lit(channel_value)) & (as_col(market) == F.lit(market_value))
             & as_col(campaign_type).isin(list(types)))

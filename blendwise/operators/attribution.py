@@ -16,6 +16,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blendwise import constants as K
 from blendwise.functions.columns import as_col, zero
 from blendwise.functions.dates import GRAINS, period_start, to_date
 from blendwise.operators.classify import normalise_channel
@@ -25,8 +26,8 @@ def linear_attribution(
     touches: DataFrame,
     orders: DataFrame,
     channel_rules: Sequence[tuple],
-    lookback_days: int = 28,
-    model_type: str | None = "ORDERS_LINEAR_ALL",
+    lookback_days: int = K.LOOKBACK_DAYS,
+    model_type: str | None = K.LINEAR_MODEL,
     order_col: str = "order_id",
     order_date_col: str = "order_date",
     click_col: str = "click_date",
@@ -78,8 +79,8 @@ def attribute_measures(
     measures: Mapping[str, Column],
     date_col: str = "date",
     order_col: str = "order_id",
-    other: str = "Other",
-    not_set: str = "(not set)",
+    other: str = K.OTHER,
+    not_set: str = K.NOT_SET,
     keys=("date", "channel", "campaign_id"),
     exact_scale: int | None = None,
 ) -> DataFrame:
@@ -160,7 +161,7 @@ def touch_orders(touches: DataFrame, date_col: str, keys: Sequence, grains=GRAIN
 
 def skan_offset(mmp: DataFrame, skan: DataFrame, keys: Sequence[str], installs_col: str,
                 self_attributing: Sequence[str], source_col: str = "source",
-                offset_channel: str = "af_app_invites", offset_keys: Mapping[str, object] | None = None,
+                offset_channel: str = K.SKAN_OFFSET_CHANNEL, offset_keys: Mapping[str, object] | None = None,
                 channel_col: str = "channel") -> DataFrame:
     """SKAN install correction.
 

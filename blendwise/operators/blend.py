@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
+from blendwise import constants as K
 from blendwise.functions.columns import any_positive, as_col
 
 
@@ -199,12 +200,12 @@ def campaign_dimension(sources: Sequence[tuple[DataFrame, str, str, str]],
 def store_block(sales: DataFrame, contract, measures: Sequence[str],
                 rename: Mapping[str, str], const: Mapping[str, object] | None = None) -> DataFrame:
     """Store rows as a pseudo-channel with zero paid measures."""
-    const = {"channel": "Shopify", **dict(const or {})}
+    const = {"channel": K.STORE_CHANNEL, **dict(const or {})}
     return stack_channels([{"df": sales, "rename": rename, "const": const}], contract, measures)
 
 
 def app_blend(paid: DataFrame, mmp: DataFrame, keys: Sequence[str], measures: Sequence[str],
-              id_col: str = "campaign_id", not_set: str = "(not set)") -> DataFrame:
+              id_col: str = "campaign_id", not_set: str = K.NOT_SET) -> DataFrame:
     """Paid app campaigns full-outer-joined to MMP facts on ``keys``; missing ids
     become ``not_set`` and measures are zero-filled sums per key and id (R38).
     """

@@ -13,6 +13,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from blendwise import constants as K
 from blendwise.functions.columns import as_col
 from blendwise.functions.text import imatch, replace_all, split_part
 
@@ -61,7 +62,7 @@ def bucket_exact(c, buckets: Mapping[str, Sequence[str]], default=None) -> Colum
 
 
 def normalise_channel(source, campaign_id, channel_rules: Sequence[tuple],
-                      other: str = "Other", not_set: str = "(not set)") -> tuple[Column, Column]:
+                      other: str = K.OTHER, not_set: str = K.NOT_SET) -> tuple[Column, Column]:
     """Attribution source to (channel, campaign_id).
 
     ``channel_rules`` holds ``(source_value, channel_label, needs_id)``. A rule
@@ -98,7 +99,7 @@ def repair_names(c, replacements: Sequence[tuple[str, str]] = (), cut_at: str |
 
 
 def label_unpaid(df: DataFrame, name_col: str = "campaign_name", channel_col: str = "channel",
-                 label: str = "Not Paid") -> DataFrame:
+                 label: str = K.NOT_PAID) -> DataFrame:
     """``channel := label`` when the campaign name is NULL after a blend.
 
     Also hits paid rows whose name is NULL (reference behaviour).
@@ -107,7 +108,7 @@ def label_unpaid(df: DataFrame, name_col: str = "campaign_name", channel_col: st
                          .otherwise(F.col(channel_col)))
 
 
-def acquisition_spend(type_col, spend, patterns: Sequence[str] = ("prospecting", "retargeting")) -> Column:
+def acquisition_spend(type_col, spend, patterns: Sequence[str] = K.ACQUISITION_TYPE_PATTERNS) -> Column:
     """Spend when the campaign type matches any pattern, else 0."""
     cond = None
     for p in patterns:

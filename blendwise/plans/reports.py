@@ -18,6 +18,7 @@ from blendwise.functions.dates import GRAINS
 from blendwise.operators.blend import align_to, full_outer_blend, stack, stack_channels
 from blendwise.operators.calendar import granularity_rollup
 from blendwise.operators.classify import label_unpaid
+from blendwise import constants as K
 from blendwise.sources import contracts as C
 
 PAID_MEASURES = ("spend", "clicks", "impressions", "paid_purchases", "paid_revenue")
@@ -118,7 +119,7 @@ def paid_web_store(paid_branches: Sequence[Mapping], web: DataFrame, store: Data
         store = store.filter(F.col("date_granularity").isin(list(grains)))
     fill = (lambda c: F.coalesce(F.col(c), F.lit(0))) if store_fill else F.col
     store_rows = store.select(
-        F.lit("Shopify").alias("channel"), F.lit("(not set)").alias("campaign_name"),
+        F.lit(K.STORE_CHANNEL).alias("channel"), F.lit(K.NOT_SET).alias("campaign_name"),
         F.col("date").cast("date").alias("date"), "date_granularity",
         *[fill(src).alias(out) for out, src in store_map])
     return stack([align_to(paid_web, out_contract, [*all_measures, *STORE_MEASURES]),
@@ -187,12 +188,12 @@ def adset_store_blend(inputs: Mapping[str, DataFrame]) -> DataFrame:
     measures = [*PAID_MEASURES, *STORE_MEASURES]
     contract = [(k, "date" if k == "date" else "string") for k in keys] + _typed(measures)
     branches = [paid_branch(inputs["meta"], "Meta"),
-                paid_branch(inputs["google"], "Google Ads", adset_id="(not set)",
-                            adset_name="(not set)")]
+                paid_branch(inputs["google"], "Google Ads", adset_id=K.NOT_SET,
+                            adset_name=K.NOT_SET)]
     paid = (stack_channels(branches, contract, measures)
             .groupBy(*keys).agg(*_coalesce_sum(PAID_MEASURES)))
     store = inputs["store"].select(
-        F.lit("Shopify").alias("channel"), *[F.lit("(not set)").alias(k) for k in keys[1:5]],
+        F.lit(K.STORE_CHANNEL).alias("channel"), *[F.lit(K.NOT_SET).alias(k) for k in keys[1:5]],
         F.col("date").cast("date").alias("date"), "date_granularity",
         *[F.col(src).alias(out) for out, src in STORE_GROSS_MAP])
     stacked = stack([align_to(paid, contract, measures), align_to(store, contract, measures)])
@@ -204,7 +205,7 @@ def adset_store_blend(inputs: Mapping[str, DataFrame]) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequence[tuple],
-                            session_factor: float = 0.8) -> DataFrame:
+                            session_factor: float = K.SESSION_FACTOR) -> DataFrame:
     """Paid channels split from shared sources by labelled filters, a store block
     and a web block, stacked without blending (R40, R41, R15, R42).
 
@@ -252,7 +253,7 @@ def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequ
         store = store.join(inputs["sales_adj"].select("date", "date_granularity").distinct(),
                            ["date", "date_granularity"], "inner")
     store_rows = store.select(
-        F.lit("Shopify").alias("channel"), F.col("date").cast("date").alias("date"),
+        F.lit(K.STORE_CHANNEL).alias("channel"), F.col("date").cast("date").alias("date"),
         "date_granularity", F.col("total_net_sales").alias("shopify_total_sales"),
         F.col("orders").alias("shopify_orders"), F.col("first_orders").alias("shopify_first_orders"),
         (F.col("gross_sales") - F.col("subtotal_discount")).alias("shopify_subtotal_sales_adj"),
@@ -261,7 +262,7 @@ def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequ
         F.coalesce(F.sum("sessions"), F.lit(0)).alias("ga4_sessions"),
         # one-argument COALESCE leaves NULL where its sibling gives 0 (Q21)
         (F.lit(float(session_factor)) * F.coalesce(F.sum("sessions"))).alias("ga4_sessions_adjusted"))
-    web = web.withColumn("channel", F.lit("GA4"))
+    web = web.withColumn("channel", F.lit(K.WEB_CHANNEL))
     return stack([align_to(paid, contract, measures), align_to(store_rows, contract, measures),
                   align_to(web, contract, measures)])
 
@@ -341,9 +342,11 @@ def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
 # --------------------------------------------------------------------------
 
 def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
-                        switch_date="2025-04-28", grains: Sequence[str] = GRAINS,
-                        purchases_how: str = "left", social_retention_pattern: str = "react",
-                        search_brand_pattern: str = "brand", brand_acq_share: float = 0.34,
+                        switch_date=K.AFFILIATE_SWITCH_DATE, grains: Sequence[str] = GRAINS,
+                        purchases_how: str = "left",
+                        social_retention_pattern: str = K.SOCIAL_RETENTION_PATTERN,
+                        search_brand_pattern: str = K.SEARCH_BRAND_PATTERN,
+                        brand_acq_share: float = K.BRAND_ACQUISITION_SHARE,
                         sort: bool = False) -> DataFrame:
     """Actual spend (acquisition / retention split) and purchases beside goal and
     stretch sheets, capped at ``as_of`` (R1, R21, R22, R20, R18, F7, J2).
@@ -521,7 +524,7 @@ def attributed_campaign_blend(inputs: Mapping[str, DataFrame], exact_scale: int
     from blendwise.operators.blend import campaign_dimension
     from blendwise.operators.commerce import sales_components
 
-    rules = [("facebook-ads", "Facebook", True), ("google-ads", "Google Ads", False)]
+    rules = K.ATTRIBUTION_CHANNELS_TWO
     c, f = sales_components(), sales_components("first_order_")
     measures = {
         "revenue": c["sales_amount"], "total_revenue": c["total_sales_amount"],
@@ -541,18 +544,18 @@ def attributed_campaign_blend(inputs: Mapping[str, DataFrame], exact_scale: int
                     [("purchases", "paid_purchases"), ("revenue", "paid_revenue")]),
         _daily_paid(inputs["google"], "Google Ads", "clicks",
                     [("purchases", "paid_purchases"), ("revenue", "paid_revenue")])])
-    medium = F.col("session_source_medium")
+    from blendwise.operators.classify import bucket_exact
+    web_channel = bucket_exact("session_source_medium",
+                               {label: [medium] for medium, label in K.WEB_MEDIUM_CHANNELS}, K.OTHER)
     web = inputs["web"].groupBy(
-        F.col("date").cast("date").alias("date"),
-        F.when(medium == "facebook / cpc", F.lit("Facebook"))
-        .when(medium == "google / cpc", F.lit("Google Ads")).otherwise(F.lit("Other")).alias("channel"),
+        F.col("date").cast("date").alias("date"), web_channel.alias("channel"),
         F.col("session_campaign_id").cast("string").alias("campaign_id")).agg(
         F.sum("sessions").alias("sessions"), F.sum("engaged_sessions").alias("engaged_sessions"),
         F.sum("conversions_purchase").alias("ga4_purchases"),
         F.sum("purchase_revenue").alias("ga4_revenue"))
     tracker = inputs["tracker"].groupBy(
         F.col("date").cast("date").alias("date"), F.lit("Other").alias("channel"),
-        F.lit("(not set)").alias("campaign_id")).agg(
+        F.lit(K.NOT_SET).alias("campaign_id")).agg(
         F.sum("forecasted_spend").alias("forecasted_spend"),
         F.sum("forecasted_revenue").alias("forecasted_revenue"),
         F.sum("actual_total_spend").alias("tw_spend"), F.sum("sessions").alias("tw_sessions"))
@@ -588,8 +591,7 @@ def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | N
     from blendwise.operators.blend import campaign_dimension, soft_delete
     from blendwise.operators.commerce import sales_components
 
-    rules = [("facebook-ads", "Facebook", True), ("applovin", "App Lovin", True),
-             ("google-ads", "Google Ads", False)]
+    rules = K.ATTRIBUTION_CHANNELS_THREE
     c, f = sales_components(), sales_components("first_order_")
     sales, first = c["total_sales_amount"], f["total_sales_amount"]
     refund, first_refund = c["total_refund_amount"], f["total_refund_amount"]
@@ -693,12 +695,11 @@ def crm_lead_funnel(inputs: Mapping[str, DataFrame], service_rules: Sequence[tup
 # app_install_blend: paid app campaigns vs MMP installs with a SKAN correction
 # --------------------------------------------------------------------------
 
-APP_CHANNELS = (("Facebook Ads", "Meta"), ("googleadwords_int", "Google Ads"),
-                ("tiktokglobal_int", "Tiktok Ads"))
+APP_CHANNELS = K.APP_CHANNELS
 
 
 def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple],
-                      grains: Sequence[str] = GRAINS, week_start: str = "sunday") -> DataFrame:
+                      grains: Sequence[str] = GRAINS, week_start: str = K.APP_WEEK_START) -> DataFrame:
     """Paid app campaigns full-outer-joined to MMP installs with the SKAN
     offset, at every grain with Sunday weeks (R2, R36, R4, R37, R38; Q29-Q31).
 
@@ -731,7 +732,7 @@ def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple
         "apps_initial_purchase": s_("rc_initial_purchase_users"),
         "apps_revenue": s_("revenue")}, grains=grains, week_start=week_start)
     skan_keys = [F.lit("iOS").alias("app"), channel_of(src).alias("channel"),
-                 F.when(src == "af_app_invites", F.lit("not set")).otherwise(F.col("campaign_name"))
+                 F.when(src == K.SKAN_OFFSET_CHANNEL, F.lit(K.NOT_SET_BARE)).otherwise(F.col("campaign_name"))
                  .alias("campaign_name")]
     skan = granularity_rollup(inputs["skan"], "date", skan_keys,
                               {"apps_installs": s_("installs")}, grains=grains,
@@ -739,8 +740,8 @@ def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple
     # The negated SKAN total per period, merged from the SKAN roll-up (no second scan).
     offset = (skan.groupBy("date", "date_granularity")
               .agg((-F.sum("apps_installs")).alias("apps_installs"))
-              .withColumns({"app": F.lit("iOS"), "channel": F.lit("af_app_invites"),
-                            "campaign_name": F.lit("not set")}))
+              .withColumns({"app": F.lit("iOS"), "channel": F.lit(K.SKAN_OFFSET_CHANNEL),
+                            "campaign_name": F.lit(K.NOT_SET_BARE)}))
     mmp_measures = ["sessions", "apps_installs", "apps_trial_started", "apps_trial_converted",
                     "apps_initial_purchase", "apps_revenue"]
     k5 = ["date_granularity", "date", "app", "channel", "campaign_name"]
@@ -887,30 +888,41 @@ SE_MEASURES = ("spend", "impressions", "clicks", "add_to_cart", "checkout_initia
 
 
 def default_campaign_type_rules():
-    """Touch campaign types from Google / Bing names and the utm (C4); first match wins."""
+    """Touch campaign types from Google / Bing names and the utm (C4); first match wins.
+
+    Keywords come from ``constants.CAMPAIGN_TYPE_KEYWORDS``; this function only
+    says which fields each keyword is tested on.
+    """
     from blendwise.functions.text import imatch as m
+    kw = {entry[0]: entry[1:] for entry in K.CAMPAIGN_TYPE_KEYWORDS}
     g, b, u, ch = "google_campaign", "bing_campaign", "utm_campaign", "channel"
+
+    def either(cols, pattern):
+        return m(cols[0], pattern) | m(cols[1], pattern)
+
+    shop, brand = kw["Shopping - Brand"]
     return [
-        (m(g, "amazon") | m(b, "amazon"), "Amazon"),
-        (m(g, "demand") | m(u, "demand"), "Demand Gen"),
-        (m(g, "YT") | m(ch, "youtube"), "Youtube"),
-        ((m(g, "Shopping") & m(g, "Brand")) | (m(b, "Shopping") & m(b, "Brand")), "Shopping - Brand"),
-        (m(g, "Shopping") & ~m(g, "Brand"), "Shopping - Non Brand"),
-        (m(g, "Performance Max") | m(g, "PMax"), "PMax"),
-        (m(g, "NB") | m(b, "NB"), "Non Brand"),
-        (m(g, "Brand") | m(b, "Brand"), "Branded"),
-        (m(u, "Prospect") | m(u, "Interest"), "Prospecting"),
-        (m(u, "Retarget"), "Retargeting"),
+        (either((g, b), kw["Amazon"][0]), "Amazon"),
+        (either((g, u), kw["Demand Gen"][0]), "Demand Gen"),
+        (m(g, kw["Youtube"][0]) | m(ch, kw["Youtube"][1]), "Youtube"),
+        ((m(g, shop) & m(g, brand)) | (m(b, shop) & m(b, brand)), "Shopping - Brand"),
+        (m(g, kw["Shopping - Non Brand"][0]) & ~m(g, kw["Shopping - Non Brand"][1]),
+         "Shopping - Non Brand"),
+        (m(g, kw["PMax"][0]) | m(g, kw["PMax"][1]), "PMax"),
+        (either((g, b), kw["Non Brand"][0]), "Non Brand"),
+        (either((g, b), kw["Branded"][0]), "Branded"),
+        (m(u, kw["Prospecting"][0]) | m(u, kw["Prospecting"][1]), "Prospecting"),
+        (m(u, kw["Retargeting"][0]), "Retargeting"),
     ]
 
 
 def touch_orders_fee_allocation(
     inputs: Mapping[str, DataFrame], product_rules: Sequence[tuple],
     grains: Sequence[str] = GRAINS, utm_renames: Mapping[str, str] | None = None,
-    content_replacements: Sequence[tuple] = (("A SC", "A+SC"), ("USA CAN", "USA+CAN")),
-    term_cut: str = "- Copy", utm_rewrite: tuple | None = None,
+    content_replacements: Sequence[tuple] = K.CONTENT_REPLACEMENTS,
+    term_cut: str = K.TERM_CUT, utm_rewrite: tuple | None = None,
     google_rename: tuple | None = None, campaign_type_rules=None,
-    share_within_grain: bool = False, pool_switch="2025-08-01",
+    share_within_grain: bool = False, pool_switch=K.FEE_POOL_SWITCH,
 ) -> DataFrame:
     """First/last-touch subscription orders per grain, stacked with five paid
     branches that borrow utm fields from the touches, summed at 11 keys, with
@@ -1001,7 +1013,7 @@ def touch_orders_fee_allocation(
         content, campaign, new_campaign = google_rename
         g_name = F.when((F.col("utm_content") == F.lit(content)) & (g_name == F.lit(campaign)),
                         F.lit(new_campaign)).otherwise(g_name)
-    new_utm = replace_all("utm_campaign", [("A SC", "A+SC")])
+    new_utm = replace_all("utm_campaign", K.UTM_REPLACEMENTS)
     if utm_rewrite is not None:
         must, must_not, replacement = utm_rewrite
         cond = imatch("utm_campaign", must)

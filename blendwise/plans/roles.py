@@ -158,5 +158,4 @@ def attribution_orders(tables) -> DataFrame:
 
 
 # Attribution channels: (source, channel, needs a non-blank campaign id).
-ATTRIBUTION_CHANNELS = [("facebook-ads", "Facebook", True), ("applovin", "App Lovin", True),
-                        ("google-ads", "Google Ads", False)]
+from blendwise.constants import ATTRIBUTION_CHANNELS_THREE as ATTRIBUTION_CHANNELS  # noqa: E402
