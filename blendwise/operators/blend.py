@@ -189,9 +189,9 @@ def campaign_dimension(sources: Sequence[tuple[DataFrame, str, str, str]],
     """
     parts = [df.select(F.lit(label).alias("channel"),
                        F.col(id_col).cast("string").alias("campaign_id"),
-                       F.col(name_col).cast("string").alias("campaign_name")).distinct()
+                       F.col(name_col).cast("string").alias("campaign_name"))
              for df, label, id_col, name_col in sources]
-    dim = stack(parts).distinct()
+    dim = stack(parts).distinct()  # one shuffle; duplicates are dropped map-side first
     if dedupe_names:
         dim = dim.groupBy("channel", "campaign_id").agg(F.min("campaign_name").alias("campaign_name"))
     return dim

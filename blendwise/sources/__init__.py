@@ -17,11 +17,18 @@ DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
 
 
-def read_table(spark: SparkSession, name: str, base: str | None = None, fmt: str = "parquet") -> DataFrame:
-    """Read one relation: a catalog table (S1, S3) or ``{base}/{name}.{fmt}``."""
+def read_table(spark: SparkSession, name: str, base: str | None = None, fmt: str = "parquet",
+               options: dict | None = None) -> DataFrame:
+    """Read one relation: a catalog table (S1, S3) or ``{base}/{name}.{fmt}``.
+
+    ``options`` go to the reader (e.g. ``header`` for CSV, or ``url`` /
+    ``dbtable`` with ``fmt='jdbc'``, in which case ``base`` is ignored).
+    """
+    if fmt == "jdbc":
+        return spark.read.format("jdbc").options(**(options or {})).load()
     if base is None:
         return spark.table(name)
-    return spark.read.format(fmt).load(f"{base.rstrip('/')}/{name}.{fmt}")
+    return spark.read.format(fmt).options(**(options or {})).load(f"{base.rstrip('/')}/{name}.{fmt}")
 
 
 def read_tables(spark: SparkSession, base: str, names: Iterable[str] = DRIVER_TABLES,
