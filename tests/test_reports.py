@@ -2,6 +2,8 @@
 
 import datetime as dt
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from blendwise.plans import reports
@@ -84,3 +86,74 @@ def test_channel_store_web_stack_labels_shared_items_and_sales_filter(spark):
     assert (got["Meta with Traffic"].paid_purchases, got["Meta with Traffic"].paid_revenue) == (2, 5.0)
     assert got["Shopify"].shopify_subtotal_sales_adj == 45.0 and got["Shopify"].shopify_orders == 2
     assert got["GA4"].ga4_sessions_adjusted == 8.0
+
+
+def test_orders_without_date_lose_their_touches(spark):
+    # Q10: LEFT JOIN orders + predicate on order_date acts as an inner join.
+    from blendwise.operators import linear_attribution
+    ts = dt.datetime(2024, 1, 10)
+    touches = spark.createDataFrame(
+        [("o1", "google-ads", "5", ts, "ORDERS_LINEAR_ALL", 1, False),
+         ("o2", "google-ads", "6", ts, "ORDERS_LINEAR_ALL", 1, False)],
+        "order_id string, source string, campaign_id string, click_date timestamp_ntz, type string, "
+        "index int, _fivetran_deleted boolean")
+    orders = spark.createDataFrame([("o1", dt.datetime(2024, 1, 20)), ("o2", None)],
+                                   "order_id string, order_date timestamp_ntz")
+    att = linear_attribution(touches, orders, [("google-ads", "Google Ads", False)])
+    assert [r.order_id for r in att.collect()] == ["o1"]
+
+
+def test_calendar_spine_blend_joins_spend_on_date_only(spark):
+    # Q17: a spine date without spend keeps no grain, so its traffic and store rows are lost.
+    day1, day2 = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    meta = spark.createDataFrame([(day1, "day", "US", "Prospecting", 10.0, 1, 1, 0.0, 0)],
+                                 "date date, date_granularity string, campaign_country string, "
+                                 "campaign_type_default string, spend double, link_clicks bigint, "
+                                 "impressions bigint, revenue double, purchases bigint")
+    google = spark.createDataFrame([], "date date, date_granularity string, campaign_country string, "
+                                       "spend double, clicks bigint, impressions bigint, revenue double, "
+                                       "purchases bigint")
+    bing = spark.createDataFrame([], "date date, date_granularity string, spend double, clicks bigint, "
+                                     "impressions bigint, revenue double, purchases bigint")
+    web = spark.createDataFrame([("p", day1, "day", 5), ("p", day2, "day", 7)],
+                                "profile string, date date, date_granularity string, sessions bigint")
+    store = spark.createDataFrame([(day2, "day", "new", 9.0, 1)],
+                                  "dg date, date_granularity string, order_type string, revenue double, orders bigint")
+    out = reports.calendar_spine_blend({"meta": meta, "google": google, "bing": bing, "web": web,
+                                        "store_by_type": store}, spine_start=day1, as_of=day2)
+    got = {r.date: r for r in out.collect()}
+    assert got[day1].spend == 10.0 and got[day1].acquisition_spend == 10.0 and got[day1].traffic == 5
+    assert got[day2].date_granularity is None and got[day2].traffic is None
+    assert got[day2].new_revenue is None          # store row of day 2 is lost (as-is)
+    assert got[day1].new_revenue is None           # no 'new' orders on day 1: NULL, not 0 (A9)
+
+
+def test_fee_share_total_spans_grains_by_default(spark):
+    # Q24: without share_within_grain, day and month rows of one month share one total.
+    from blendwise.operators import allocate_fee, video_masks
+    rows = [("Google Ads", "US", "Youtube", "v", dt.date(2024, 3, 1), "month", 100.0),
+            ("Google Ads", "US", "Youtube", "v", dt.date(2024, 3, 5), "day", 100.0)]
+    df = spark.createDataFrame(rows, "channel string, market string, campaign_type string, "
+                                     "google_campaign string, date date, date_granularity string, "
+                                     "spend double")
+    video, image = video_masks("channel", "market", "campaign_type", "google_campaign")
+    diluted = {r.date_granularity: r for r in allocate_fee(df, video, image).collect()}
+    assert diluted["month"].total_spend == 200.0
+    assert diluted["month"].spend_with_fees == pytest.approx(100 * 1.02565 + 0.5 * 10000.0)
+    within = {r.date_granularity: r for r in allocate_fee(df, video, image, share_within_grain=True).collect()}
+    assert within["month"].total_spend == 100.0
+    assert within["day"].spend_with_fees == pytest.approx(100 * 1.02565 + 10000.0 / 31)
+
+
+def test_adjusted_sessions_stay_null_without_sessions(spark):
+    # Q21: COALESCE(SUM(x)) with one argument leaves NULL while its sibling gives 0.
+    paid = {"google": spark.createDataFrame([], "date date, date_granularity string, spend double, "
+                                                "clicks bigint, impressions bigint, purchases bigint, "
+                                                "revenue double")}
+    store = spark.createDataFrame([], "date date, date_granularity string, orders bigint, "
+                                      "first_orders bigint, gross_sales double, subtotal_discount double, "
+                                      "net_sales double, total_net_sales double")
+    web = spark.createDataFrame([(D, "day", None)], "date date, date_granularity string, sessions bigint")
+    out = reports.channel_store_web_stack({"paid": paid, "store": store, "web": web},
+                                          [("google", "Google Ads", F.lit(True))]).collect()
+    assert len(out) == 1 and out[0].ga4_sessions == 0 and out[0].ga4_sessions_adjusted is None
