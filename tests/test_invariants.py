@@ -92,3 +92,37 @@ def test_publish_partitions_by_grain(spark, tmp_path):
         sorted(["day", "week", "month", "quarter", "year"])
     assert back.count() == df.count()
     assert os.path.isdir(os.path.join(path, "date_granularity=month"))
+
+
+def test_reuse_checkpoint_uses_session_folder(spark):
+    from blendwise.session import ensure_checkpoint_dir, release_reused, reuse
+    folder = ensure_checkpoint_dir(spark)
+    assert folder and spark.conf.get("spark.checkpoint.dir") == folder
+    df = Q["granularity_rollup"](spark, SF)
+    cut = reuse(df, "checkpoint")
+    assert cut.count() == df.count()
+    kept = reuse(df)  # persisted
+    assert kept.is_cached
+    release_reused()
+    assert not kept.is_cached
+
+
+def test_cluster_session_requires_shared_checkpoint_folder():
+    from blendwise.session import ensure_checkpoint_dir
+
+    class _Ctx:
+        master = "spark://cluster:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class _Conf:
+        def get(self, key, default=None):
+            return default
+
+    class _Session:
+        sparkContext = _Ctx()
+        conf = _Conf()
+
+    with pytest.raises(ValueError, match="shared"):
+        ensure_checkpoint_dir(_Session())
