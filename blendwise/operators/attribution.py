@@ -95,8 +95,18 @@ def attribute_measures(
     """
     s = sales.select(F.col(order_col), to_date(date_col).alias("date"),
                      *[expr.alias(f"__v_{name}") for name, expr in measures.items()])
-    j = s.join(attributed.select(order_col, "channel", "campaign_id", "order_index"),
-               order_col, "left")
+    touches = attributed.select(order_col, "channel", "campaign_id", "order_index")
+    # ``sales LEFT JOIN touches`` written as inner join + anti join: an order with
+    # a huge number of touches sits on the touches side, which AQE can split in
+    # an inner join but not as the right side of a left outer join. Orders
+    # without touches are found against the distinct order ids (one row per key).
+    # A NULL order id never matches, so it stays an untouched order.
+    matched = s.join(touches, order_col, "inner")
+    untouched = (s.join(touches.select(order_col).distinct(), order_col, "left_anti")
+                 .withColumns({"channel": F.lit(None).cast("string"),
+                               "campaign_id": F.lit(None).cast("string"),
+                               "order_index": F.lit(None).cast("long")}))
+    j = matched.unionByName(untouched)
     n = F.coalesce(F.col("order_index"), F.lit(1)).cast("double")
     j = j.withColumns({"channel": F.coalesce(F.col("channel"), F.lit(other)),
                        "campaign_id": F.coalesce(F.col("campaign_id"), F.lit(not_set))})
