@@ -95,27 +95,23 @@ def attribute_measures(
     """
     s = sales.select(F.col(order_col), to_date(date_col).alias("date"),
                      *[expr.alias(f"__v_{name}") for name, expr in measures.items()])
-    touches = attributed.select(order_col, "channel", "campaign_id", "order_index")
-    # ``sales LEFT JOIN touches`` written as inner join + anti join: an order with
-    # a huge number of touches sits on the touches side, which AQE can split in
-    # an inner join but not as the right side of a left outer join. Orders
-    # without touches are found against the distinct order ids (one row per key).
-    # A NULL order id never matches, so it stays an untouched order.
-    matched = s.join(touches, order_col, "inner")
-    untouched = (s.join(touches.select(order_col).distinct(), order_col, "left_anti")
-                 .withColumns({"channel": F.lit(None).cast("string"),
-                               "campaign_id": F.lit(None).cast("string"),
-                               "order_index": F.lit(None).cast("long")}))
-    j = matched.unionByName(untouched)
+    # An order's touches only matter per (order, channel, campaign): collapse them
+    # to a touch count k first (map-side combined, and the input is already
+    # partitioned by order id), so even an order with a huge number of touches
+    # joins as a handful of rows. Each contribution is value / n, k times.
+    touches = (attributed.groupBy(order_col, "channel", "campaign_id")
+               .agg(F.count(F.lit(1)).alias("__k"), F.max("order_index").alias("order_index")))
+    j = s.join(touches, order_col, "left")
     n = F.coalesce(F.col("order_index"), F.lit(1)).cast("double")
+    k = F.coalesce(F.col("__k"), F.lit(1))
     j = j.withColumns({"channel": F.coalesce(F.col("channel"), F.lit(other)),
                        "campaign_id": F.coalesce(F.col("campaign_id"), F.lit(not_set))})
 
     def weighted(name):
         w = F.col(f"__v_{name}").cast("double") / n
         if exact_scale is None:
-            return F.sum(w)
-        return F.sum(w.cast(f"decimal(18,{exact_scale})")).cast("double")
+            return F.sum(w * k)
+        return F.sum(w.cast(f"decimal(18,{exact_scale})") * k).cast("double")
 
     return j.groupBy(*keys).agg(*[weighted(name).alias(name) for name in measures])
 
