@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, StructType
 
 from blendwise import constants as K
-from blendwise.functions.columns import any_positive, as_col
+from blendwise.functions.columns import any_positive
 
 
 # ---------------------------------------------------------------- contracts --

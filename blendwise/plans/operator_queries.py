@@ -13,15 +13,12 @@ from pyspark.sql import functions as F
 
 from blendwise.functions.aggs import count_, sum_
 from blendwise.functions.columns import typed_null
-from blendwise.functions.dates import period_start, to_date
-from blendwise.functions.numeric import exact_sum, parse_money, count_unparsed, micro_units, tax_net
+from blendwise.functions.dates import period_start
 from blendwise.operators import (
     active_rows, attribute_measures, bucket_exact, campaign_dimension, cap_at, classify,
-    cutover, full_outer_blend, goal_rollup, granularity_rollup, label_unpaid, linear_attribution,
-    normalise_channel, repair_names, sales_components, soft_delete, spine, spine_join,
-    split_spend, stack_channels, stack_scenarios, store_block, unpivot_regions,
+    granularity_rollup, label_unpaid, linear_attribution, normalise_channel, repair_names,
+    sales_components, soft_delete, stack_channels,
 )
-from blendwise.operators.blend import stack
 from blendwise.plans import roles
 from blendwise.plans.oracle import (
     ORDERS_FIRST_CTE, SQL, per_grain, sunday_week, trunc,

@@ -8,13 +8,12 @@ from blendwise.functions.aggs import count_, sum_
 from blendwise.functions.columns import typed_null
 from blendwise.functions.dates import GRAINS, period_start
 from blendwise.functions.numeric import count_unparsed, exact_sum, micro_units, parse_money, tax_net
-from blendwise.functions.text import imatch, not_imatch
+from blendwise.functions.text import not_imatch
 from blendwise.operators import (
     cutover, full_outer_blend, goal_rollup, granularity_rollup, order_counts, product_units,
     returning_orders, spine, spine_join, split_spend, stack_channels, stack_scenarios,
     store_block, unpivot_regions,
 )
-from blendwise.operators.blend import stack
 from blendwise.plans import roles
 from blendwise.plans.oracle import NAMES_CTE, SQL, per_grain, store_cte, trunc
 from blendwise.plans.queries import query, tables
