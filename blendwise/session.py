@@ -36,10 +36,30 @@ SCALE_CONF = {
 }
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the runtime settings above to an existing session."""
+def shuffle_partitions_for(shuffle_bytes: int, target_bytes: int = 128 * 1024 * 1024,
+                           minimum: int = 200) -> int:
+    """Initial shuffle partition count so each partition holds about ``target_bytes``.
+
+    AQE can merge small shuffle partitions but cannot split large ones (other
+    than skewed join partitions), so the initial count must fit the largest
+    shuffle: 100 TB at 128 MB each is about 800,000 partitions.
+    """
+    return max(minimum, -(-int(shuffle_bytes) // int(target_bytes)))
+
+
+def configure(spark: SparkSession, expected_shuffle_bytes: int | None = None) -> SparkSession:
+    """Apply the runtime settings above to an existing session.
+
+    With ``expected_shuffle_bytes`` (the largest shuffle of the job, e.g. the
+    raw fact volume before the first aggregation) the shuffle partition count
+    is raised to fit it; AQE then coalesces the partitions that end up small.
+    """
     for key, value in {**CORRECTNESS_CONF, **SCALE_CONF}.items():
         spark.conf.set(key, value)
+    if expected_shuffle_bytes:
+        wanted = shuffle_partitions_for(expected_shuffle_bytes)
+        current = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+        spark.conf.set("spark.sql.shuffle.partitions", str(max(current, wanted)))
     return spark
 
 

@@ -126,3 +126,10 @@ def test_cluster_session_requires_shared_checkpoint_folder():
 
     with pytest.raises(ValueError, match="shared"):
         ensure_checkpoint_dir(_Session())
+
+
+def test_shuffle_partitions_sized_for_volume():
+    from blendwise.session import shuffle_partitions_for
+    tb = 1024 ** 4
+    assert shuffle_partitions_for(100 * tb) == 819200
+    assert shuffle_partitions_for(10 * 1024 ** 2) == 200
