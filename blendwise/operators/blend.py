@@ -221,17 +221,28 @@ def regional_paid_spend(branches: Sequence[Mapping], keys: Sequence[str] = ("reg
     Each branch: ``df`` (``date, region, spend, revenue, purchases``), optional
     ``where`` (row filter, e.g. region whitelist and name exclusions) and
     ``paid`` (Column for ``paid_spend``, default the spend). Rows of region
-    ``drop_region`` are dropped; measures are zero-filled sums.
+    ``drop_region`` are dropped; measures are zero-filled sums. Branches that
+    share one source DataFrame are evaluated in a single pass over it: each row
+    is emitted once per branch whose filter it satisfies (UNION ALL semantics).
     """
-    parts = []
+    groups: dict[int, list] = {}
     for b in branches:
-        df = b["df"] if b.get("where") is None else b["df"].filter(b["where"])
-        paid = b.get("paid") if b.get("paid") is not None else F.col("spend")
+        groups.setdefault(id(b["df"]), []).append(b)
+    parts = []
+    for group in groups.values():
+        df = group[0]["df"]
+        arms = []
+        for b in group:
+            cond = b.get("where") if b.get("where") is not None else F.lit(True)
+            paid = b.get("paid") if b.get("paid") is not None else F.col("spend")
+            arms.append(F.when(cond, F.struct(paid.cast("double").alias("p"))))
+        chosen = F.explode(F.filter(F.array(*arms), lambda x: x.isNotNull())).alias("__arm")
         parts.append(df.select(F.col("date").cast("date").alias("date"), "region",
                                F.col("spend").cast("double").alias("spend"),
-                               paid.cast("double").alias("paid_spend"),
                                F.col("revenue").cast("double").alias("paid_revenue"),
-                               F.col("purchases").cast("long").alias("paid_purchases")))
+                               F.col("purchases").cast("long").alias("paid_purchases"), chosen)
+                     .select("date", "region", "spend", F.col("__arm.p").alias("paid_spend"),
+                             "paid_revenue", "paid_purchases"))
     out = stack(parts)
     if drop_region is not None:
         out = out.filter(F.col("region") != F.lit(drop_region))
