@@ -26,8 +26,8 @@ _DIMS = {
     "adset_id": (lambda: F.col("p_type"), "p_type"),
     "adset_name": (lambda: F.concat(F.lit("adset "), F.col("p_type")), "'adset ' || p_type"),
     "ad_name": (lambda: F.col("p_name"), "p_name"),
-    "account": (lambda: F.when(F.col("l_linestatus") == "F", F.lit("DTC")).otherwise(F.lit("Sephora")),
-                "CASE WHEN l_linestatus = 'F' THEN 'DTC' ELSE 'Sephora' END"),
+    "account": (lambda: F.when(F.col("l_linestatus") == "F", F.lit("Direct")).otherwise(F.lit("Retail")),
+                "CASE WHEN l_linestatus = 'F' THEN 'Direct' ELSE 'Retail' END"),
     "campaign_country": (lambda: F.when(F.col("s_nationkey") < 12, F.lit("US")).otherwise(F.lit("CA")),
                          "CASE WHEN s_nationkey < 12 THEN 'US' ELSE 'CA' END"),
     "country": (lambda: F.when(F.col("l_linestatus") == "F", F.lit("US")).otherwise(F.lit("INTL")),

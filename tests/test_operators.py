@@ -125,12 +125,12 @@ def test_split_spend_null_names(spark):
 
 def test_split_channels_keeps_union_semantics(spark):
     # Overlapping rules emit the row once per rule; NULL names match neither arm (Q22).
-    df = spark.createDataFrame([("DTC", "traffic ad", 1.0), ("DTC", "sale", 2.0),
-                                ("DTC", None, 4.0)], "account string, name string, spend double")
+    df = spark.createDataFrame([("Direct", "traffic ad", 1.0), ("Direct", "sale", 2.0),
+                                ("Direct", None, 4.0)], "account string, name string, spend double")
     from blendwise.functions import imatch, not_imatch
-    out = split_channels(df, [("Meta", (F.col("account") == "DTC") & not_imatch("name", "traffic")),
-                              ("Traffic", (F.col("account") == "DTC") & imatch("name", "traffic")),
-                              ("All", F.col("account") == "DTC")])
+    out = split_channels(df, [("Meta", (F.col("account") == "Direct") & not_imatch("name", "traffic")),
+                              ("Traffic", (F.col("account") == "Direct") & imatch("name", "traffic")),
+                              ("All", F.col("account") == "Direct")])
     got = rows(out.groupBy("channel").agg(F.sum("spend").alias("s")), "channel", "s")
     assert got == [("All", 7.0), ("Meta", 2.0), ("Traffic", 1.0)]
 
@@ -224,13 +224,13 @@ def test_order_counts_distinct_first(spark):
 
 
 def test_product_units_bundle_multiplier(spark):
-    df = spark.createDataFrame([("Swaddle 3 Pack", 2), ("Swaddle", 1), ("SNOObear plush", 4), ("x", 9)],
+    df = spark.createDataFrame([("Blanket 3 Pack", 2), ("Blanket", 1), ("Bear plush", 4), ("x", 9)],
                                "t string, q int")
-    units = product_units("t", "q", {"sleepea": [{"titles": ["Swaddle"]},
-                                                 {"title": "Swaddle 3 Pack", "multiplier": 3}],
-                                     "bear": [{"pattern": "snoobear"}]})
+    units = product_units("t", "q", {"blankets": [{"titles": ["Blanket"]},
+                                                 {"title": "Blanket 3 Pack", "multiplier": 3}],
+                                     "bear": [{"pattern": "bear"}]})
     got = df.agg(*[c.alias(n) for n, c in units.items()]).first()
-    assert (got.sleepea, got.bear) == (7, 4)
+    assert (got.blankets, got.bear) == (7, 4)
 
 
 # ------------------------------------------------------------ fees --

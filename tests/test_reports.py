@@ -60,14 +60,14 @@ def test_channel_store_web_stack_labels_shared_items_and_sales_filter(spark):
     video = spark.createDataFrame([(D, "day", big, 1.0, 1, 1, 0, 0.0), (D, "day", 7, 2.0, 1, 1, 0, 0.0)],
                                   "date date, date_granularity string, campaign_num bigint, spend double, "
                                   "clicks bigint, impressions bigint, purchases bigint, revenue double")
-    meta = spark.createDataFrame([(D, "day", "DTC", "sale", 3.0, 1, 1, 1, 2.0, None, None),
-                                  (D, "day", "DTC", "traffic", 4.0, 1, 1, None, None, 2, 5.0)],
+    meta = spark.createDataFrame([(D, "day", "Direct", "sale", 3.0, 1, 1, 1, 2.0, None, None),
+                                  (D, "day", "Direct", "traffic", 4.0, 1, 1, None, None, 2, 5.0)],
                                  "date date, date_granularity string, account string, campaign_name string, "
                                  "spend double, link_clicks bigint, impressions bigint, purchases bigint, "
                                  "revenue double, purchases_shared_items bigint, revenue_shared_items double")
     from blendwise.functions import imatch, not_imatch
-    rules = [("meta", "Meta", (F.col("account") == "DTC") & not_imatch("campaign_name", "traffic")),
-             ("meta", "Meta with Traffic", (F.col("account") == "DTC") & imatch("campaign_name", "traffic")),
+    rules = [("meta", "Meta", (F.col("account") == "Direct") & not_imatch("campaign_name", "traffic")),
+             ("meta", "Meta with Traffic", (F.col("account") == "Direct") & imatch("campaign_name", "traffic")),
              ("video", "Tiktok", F.col("campaign_num") != F.lit(big)),
              ("video", "Tiktok Special", F.col("campaign_num") == F.lit(big))]
     store = spark.createDataFrame([(D, "day", 2, 1, 50.0, 5.0, 40.0, 45.0),
