@@ -26,6 +26,7 @@ from pyspark.sql import types as T
 
 WORDS = 400_000  # words whose ids a worker keeps
 PAIRS = 300_000  # compatibility results a worker keeps
+SIGNS = ".,;:!?#*$%&|"
 SHORT = 64  # bytes up to which a piece is matched position by position
 
 
@@ -202,6 +203,14 @@ class ByteBPE:
     def _encode_part(self, text: str) -> bytes:
         if text[1:].isalpha() and (text[0] == " " or text[0].isalpha()):  # one run of letters is one piece
             return array("I", self.encode_piece(text.encode("utf-8"))).tobytes()
+        letters = text.rstrip(SIGNS)
+        if letters != text and letters[1:].isalpha() and (letters[0] == " " or letters[0].isalpha()):
+            known = self.words.get(letters)  # the signs after a run of letters are a piece of their own
+            if known is None:
+                known = array("I", self.encode_piece(letters.encode("utf-8"))).tobytes()
+                if len(letters) <= SHORT and len(self.words) < WORDS:
+                    self.words[letters] = known
+            return known + array("I", self.encode_piece(text[len(letters):].encode())).tobytes()
         ids = []
         for piece in self.split.findall(text):
             ids += self.encode_piece(piece.encode("utf-8"))

@@ -13,6 +13,9 @@ other columns or not at all.
 
 from __future__ import annotations
 
+import os
+from array import array
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -26,7 +29,9 @@ from blendwise.llm.common import written
 WINDOW = 4096
 GROUP_PIECES = 20_000  # pieces packed together
 END_ID = 2
-WORDS = 300_000  # words whose ids a worker keeps
+WORDS = 400_000  # words whose ids a worker keeps
+MARK = "\x01"  # no letter, so a piece of its own
+SIGNS = ".,;:!?#*$%&|"
 
 
 class OpenWindows:
@@ -95,23 +100,47 @@ class WordTokenizer:
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs the tasks of a worker's cores
         self.tokenizer = Tokenizer.from_file(path)
+        (self.mark,) = self.tokenizer.encode(MARK, add_special_tokens=False).ids
         self.known: dict[str, np.ndarray] = {}
 
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words. A run of Latin letters and the signs after it are
+        separate pieces, and ASCII letters are lower-cased, so most new words are
+        made of known runs; only what is left goes through the tokenizer."""
+        known, runs, new = self.known, {}, {}
+        for w in words:
+            letters = w.rstrip(SIGNS)
+            if letters.isalpha() and (letters.isascii() or max(letters) < "\u0250"):
+                run, signs = letters.lower() if letters.isascii() else letters, w[len(letters):]
+                runs[w] = run, signs
+                if run not in known:
+                    new[run] = None
+                if signs and signs not in known:
+                    new[signs] = None
+            else:
+                new[w] = None
+        plain = [w for w in new if w.isalpha()]
+        for lo in range(0, len(plain), 2048):  # many words in one call, told apart by a mark between them
+            part = plain[lo:lo + 2048]
+            ids = np.array(self.tokenizer.encode(f" {MARK} ".join(part), add_special_tokens=False).ids, "<u4")
+            raw, at = ids.tobytes(), 0
+            for w, end in zip(part, [*(4 * np.flatnonzero(ids == self.mark)).tolist(), len(raw)]):
+                known[w] = raw[at:end]
+                at = end + 4
+        for w in new:
+            if w not in known:
+                known[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
+        for w, (letters, signs) in runs.items():
+            known[w] = known[letters] + (known[signs] if signs else b"")
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         split = [t.split(" ") for t in texts]  # only at spaces; other white space is inside a word
-        known, missing = self.known, {}
+        known = self.known
         if len(known) > WORDS:
             known.clear()
-        for words in split:
-            for w in words:
-                if w not in known:
-                    missing[w] = None
-        new = list(missing)
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+        self._learn(list({w for words in split for w in words if w not in known}))
         return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
 
 
