@@ -23,7 +23,8 @@ from pyspark.sql import functions as F
 
 SAMPLES = 64
 BLOCK = 2048  # (term, weight) pairs drawn at once
-RANGE_BYTES = 16 << 20  # text per range of documents
+RANGE_BYTES = 4 << 20  # text per range of documents
+MAX_RANGES = 5000  # beyond it ranges grow: they are sorted with spill and read as a stream
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -131,7 +132,7 @@ def edited(text: str, following: str) -> str:
 def _ranges(docs: DataFrame, size: int) -> list[int]:
     """doc_ids that begin a range of documents, about ``size`` bytes of text each."""
     total, n = docs.agg(F.sum(F.octet_length("text")), F.count("doc_id")).first()
-    parts = min(int((total or 0) // size), n or 0)
+    parts = min(int((total or 0) // size), n or 0, MAX_RANGES)
     if parts < 2:
         return []
     cuts = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 20 * parts)).first()[0]
@@ -144,8 +145,8 @@ def with_neighbours(docs: DataFrame, per_range, schema: str, id_col: str = "doc_
 
     The documents are split at doc_ids into ranges; one shuffle brings every range
     together and sorts it (ids, then text). The first document of a range is sent to the
-    range before as well, marked ``guest``; the very first goes to the last range. So no
-    task needs more than its range, whose size does not grow with the input.
+    range before as well, marked ``guest``; the very first goes to the last range. A
+    task holds a few documents of its range at a time.
     Null ids come last.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
@@ -160,7 +161,7 @@ def with_neighbours(docs: DataFrame, per_range, schema: str, id_col: str = "doc_
                      F.struct(before.alias("part"), F.lit(True).alias("guest")))
     dealt = (source.withColumn("p", F.explode(F.filter(places, lambda x: x["part"].isNotNull())))
              .select("doc_id", "text", F.col("p.part").alias("part"), F.col("p.guest").alias("guest")))
-    ordered = dealt.repartition(max(1, last + 1), "part").sortWithinPartitions(
+    ordered = dealt.repartitionById(last + 1, F.col("part")).sortWithinPartitions(
         "part", "guest", F.col("doc_id").asc_nulls_last(), "text")
     return ordered.mapInArrow(per_range, schema)
 
