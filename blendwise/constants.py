@@ -61,7 +61,7 @@ SKAN_OFFSET_CHANNEL = "af_app_invites"
 APP_WEEK_START = "sunday"
 
 # Touch-export text repairs.
-CONTENT_REPLACEMENTS = (("A SC", "A+SC"), ("USA CAN", "USA+CAN"))
+CONTENT_REPLACEMENTS = (("A SC", "A+SC"), ("USA CAN", "USA+CAN"), ("UnsubscribedEmail SMS", "UnsubscribedEmail+SMS"))
 UTM_REPLACEMENTS = (("A SC", "A+SC"),)
 TERM_CUT = "- Copy"
 

@@ -8,8 +8,7 @@ Scale notes
 * ``full_outer_blend`` expects each input to be unique on its join keys (the
   callers aggregate first, which is also map-side combined). A key is then at
   most one row per side, so a hot dimension value cannot pile up in one join
-  task. Rows whose key holds a NULL never match anything; an extra hash key
-  spreads them over all partitions instead of one.
+  task. Rows whose key holds a NULL never match anything.
 """
 
 from __future__ import annotations
@@ -133,33 +132,16 @@ def soft_delete(df: DataFrame, flag_col: str = "_fivetran_deleted") -> DataFrame
 
 # ------------------------------------------------------------------ blends --
 
-def _null_key(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
-
-
 def full_outer(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """``left FULL OUTER JOIN right USING (keys)``, safe against NULL-key skew.
-
-    Same rows and column order as the SQL (keys first, then left, then right).
-    Rows with a NULL in any key never match, but a plain hash join would still
-    send all of them to the one task that owns the NULL hash. Each side gets one
-    extra join key: 0 for ordinary rows, a deterministic hash of the row for
-    NULL-key rows. Ordinary rows join exactly as before; NULL-key rows stay
-    unmatched and spread over all partitions. Each input is read once, and a
-    recomputed task produces the same values.
+    """``left FULL OUTER JOIN right USING (keys)``: keys first, then left, then right.
+
+    Inputs aggregated on the join keys keep their partitioning, so the join adds no
+    shuffle. Rows with a NULL in a key match nothing and spread by their other keys.
     """
     keys = list(keys)
-    spread = "__null_spread"
-
-    def tag(df: DataFrame) -> DataFrame:
-        any_null = _null_key(keys)
-        row_hash = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-        return df.withColumn(spread, F.when(any_null, row_hash).otherwise(F.lit(0).cast("long")))
-
     out_cols = keys + [c for c in left.columns if c not in keys] + \
         [c for c in right.columns if c not in keys]
-    joined = tag(left).join(tag(right), keys + [spread], "full")
-    return joined.select(*[F.col(f"`{c}`") for c in out_cols])
+    return left.join(right, keys, "full").select(*[F.col(f"`{c}`") for c in out_cols])
 
 
 def full_outer_blend(inputs: Sequence[tuple[DataFrame, Sequence[str]]],

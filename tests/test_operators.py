@@ -275,3 +275,21 @@ def test_contract_validation_reports_missing_and_mistyped(spark):
     assert C.validate(ok, C.ORDERS) is ok
     with pytest.raises(ValueError, match="missing"):
         C.validate(ok.drop("order_date"), C.ORDERS)
+
+
+def test_content_replacements_cover_every_fixed_repair(spark):
+    from blendwise import constants as K
+    from blendwise.functions.text import replace_all
+    df = spark.createDataFrame([("UnsubscribedEmail SMS",), ("A SC USA CAN",)], "c string")
+    got = [r[0] for r in df.select(replace_all("c", K.CONTENT_REPLACEMENTS)).collect()]
+    assert got == ["UnsubscribedEmail+SMS", "A+SC USA+CAN"]
+
+
+def test_full_outer_adds_no_shuffle_and_no_key(spark):
+    from pyspark.sql import functions as F
+    from blendwise.operators.blend import full_outer
+    rows = spark.range(100).select((F.col("id") % 7).alias("k"), F.col("id").cast("double").alias("x"))
+    left = rows.groupBy("k").agg(F.sum("x").alias("a"))
+    right = rows.groupBy("k").agg(F.max("x").alias("b"))
+    plan = full_outer(left, right, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(k") == 2 and plan.count("Exchange") == 2
