@@ -78,6 +78,33 @@ def _mins_joined(pairs: DataFrame) -> DataFrame:
     return pairs.withColumn("k", F.bitwise_not("u")).join(mins, "k").select("u", "v", "m")
 
 
+def _ordered(edges: DataFrame) -> DataFrame:
+    return edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
+
+
+def _star_round(current: DataFrame) -> DataFrame:
+    """One large-star and one small-star step over edges (u, v) with u > v; components stay."""
+    both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    large = (_mins_joined(both).where("v > u")
+             .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
+    small = _mins_joined(large).select(
+        F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
+                          F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
+    ).select("e.u", "e.v").where("u <> v").distinct()
+    return checkpointed(small)
+
+
+def contracted(edges: DataFrame, rounds: int = 2) -> DataFrame:
+    """``edges (a, b)`` of the same components after some star rounds, a > b.
+
+    Most nodes then have one edge, to the smallest node of their component.
+    """
+    current = _ordered(edges)
+    for _ in range(rounds):
+        current = _star_round(current)
+    return current.select(F.col("u").alias("a"), F.col("v").alias("b"))
+
+
 def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """Connected components of ``edges (a long, b long)`` as ``(node, root)``.
 
@@ -86,19 +113,10 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     minima and two joins, and is checkpointed to the shared folder. Self loops
     and repeated edges do no harm; an empty input gives an empty result.
     """
-    current = checkpointed(
-        edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .where("u <> v").distinct())
+    current = checkpointed(_ordered(edges))
     before = None
     for _ in range(max_rounds):
-        both = current.unionByName(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (_mins_joined(both).where("v > u")
-                 .select(F.col("v").alias("u"), F.least("m", "u").alias("v")).distinct())
-        small = _mins_joined(large).select(
-            F.explode(F.array(F.struct(F.col("u"), F.col("m").alias("v")),
-                              F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")
-        ).select("e.u", "e.v").where("u <> v").distinct()
-        current = checkpointed(small)
+        current = _star_round(current)
         now = current.agg(F.count("*"), F.bit_xor(F.xxhash64("u", "v"))).first()
         if before is not None and tuple(now) == before:
             break
