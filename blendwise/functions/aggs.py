@@ -34,7 +34,7 @@ class Agg:
 
     @property
     def decomposable(self) -> bool:
-        return self.kind in ("sum", "count", "min", "max")
+        return self.kind in ("sum", "exact_sum", "count", "min", "max")
 
     def _input(self) -> Column:
         return F.lit(1) if self.expr is None else as_col(self.expr)
@@ -42,10 +42,16 @@ class Agg:
     def _fill(self, c: Column) -> Column:
         return c if self.fill is None else F.coalesce(c, F.lit(self.fill))
 
+    @staticmethod
+    def _exact(c: Column) -> Column:
+        return F.sum(c.cast("decimal(38,12)"))
+
     def one_step(self) -> Column:
         """The aggregate computed directly on raw rows."""
         if self.kind == "sum":
             agg = F.sum(self._input())
+        elif self.kind == "exact_sum":
+            agg = self._exact(self._input()).cast("double")
         elif self.kind == "count":
             agg = F.count(F.lit(1)) if self.expr is None else F.count(as_col(self.expr))
         elif self.kind == "count_distinct":
@@ -62,23 +68,33 @@ class Agg:
         """First step of a two-step aggregation (no fill yet)."""
         if not self.decomposable:
             raise ValueError(f"{self.kind} cannot be aggregated in two steps")
+        if self.kind == "exact_sum":
+            return self._exact(self._input())
         return Agg(self.kind, self.expr).one_step()
 
     def merge(self, partial_col: str) -> Column:
         """Second step over the partial results."""
         c = F.col(partial_col)
+        if self.kind == "exact_sum":
+            return self._fill(self._exact(c).cast("double"))
         merged = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[self.kind](c)
         return self._fill(merged)
 
     def finish(self, partial_col: str) -> Column:
         """A partial result used as the final value (same grain)."""
-        return self._fill(F.col(partial_col))
+        c = F.col(partial_col)
+        return self._fill(c.cast("double") if self.kind == "exact_sum" else c)
 
 
 def sum_(expr, fill=None) -> Agg:
     return Agg("sum", expr, fill)
 
 
+def exact_sum_(expr, fill=None) -> Agg:
+    """A sum of doubles whose result does not depend on the order of adding."""
+    return Agg("exact_sum", expr, fill)
+
+
 def count_(expr=None, fill=None) -> Agg:
     return Agg("count", expr, fill)
 

@@ -14,14 +14,15 @@ def as_double(c) -> Column:
     return as_col(c).cast("double")
 
 
-def parse_money(c) -> Column:
+def parse_money(c, strict: bool = False) -> Column:
     """Money text such as ``'$1,234.50'`` to double (M5).
 
     ``try_cast`` turns blanks and junk into NULL instead of failing the job
     under ANSI mode; ``count_unparsed`` reports how many values that hit.
+    ``strict`` fails the job on the first such value, as a plain cast does.
     """
     cleaned = F.replace(F.replace(as_col(c), F.lit("$"), F.lit("")), F.lit(","), F.lit(""))
-    return cleaned.try_cast("double")
+    return cleaned.cast("double") if strict else cleaned.try_cast("double")
 
 
 def count_unparsed(c) -> Column:
@@ -49,12 +50,11 @@ def scale_estimate(c, factor: float = SESSION_FACTOR) -> Column:
     return F.lit(float(factor)) * as_col(c)
 
 
-def exact_sum(c, scale: int = 2) -> Column:
-    """Order-independent sum of a money column.
+def exact_sum(c, scale: int = 12) -> Column:
+    """Order-independent sum, added as ``decimal(38, scale)`` and returned as double.
 
-    Each addend is rounded to ``scale`` decimals and summed as a decimal, then
-    returned as double. The result does not depend on partitioning or on the
-    order in which partial sums meet, so every run (and any other engine doing
-    the same) gives identical digits.
+    The result does not depend on partitioning or on the order in which partial
+    sums meet. Only digits beyond ``scale`` decimals of an addend are rounded; an
+    addend or total of 10^(38 - scale) or more fails the job under ANSI mode.
     """
-    return F.sum(as_col(c).cast(f"decimal(18,{scale})")).cast("double")
+    return F.sum(as_col(c).cast(f"decimal(38,{scale})")).cast("double")

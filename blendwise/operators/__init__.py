@@ -4,7 +4,7 @@ from blendwise.operators.allocate import (
     allocate_fee, days_in_period, share_of_total, split_spend, video_masks,
 )
 from blendwise.operators.attribution import (
-    attribute_measures, join_spend_to_touch, linear_attribution, map_utm, skan_offset,
+    attribute_measures, join_spend_to_touch, linear_attribution, lookback, map_utm, skan_offset,
     touch_orders, trial_revenue,
 )
 from blendwise.operators.blend import (

@@ -1,24 +1,22 @@
 """Attribution operators.
 
-``linear_attribution`` keeps the surviving touches of each order and counts
-them (``order_index``); ``attribute_measures`` spreads every order's measures
-evenly over its touches. The touch count is an aggregate joined back on
-``order_id`` rather than a window: the aggregate is combined map-side, so an
-order with a huge number of touches never lands whole in one task, and the
-join back reuses the ``order_id`` partitioning of the preceding join (no extra
-shuffle). AQE's skew-join handling splits a hot ``order_id`` on the big side.
+``linear_attribution`` counts the surviving touches of each order per channel
+and campaign; ``attribute_measures`` spreads every order's measures evenly over
+its touches. Touches are counted per (order, day, channel, campaign) before they
+join the orders (map-side combined), so an order with a huge number of touches is
+a handful of rows in the join and in the window that adds up its touch count.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from blendwise import constants as K
 from blendwise.functions.columns import as_col, zero
-from blendwise.functions.dates import GRAINS, period_start, to_date
+from blendwise.functions.dates import GRAINS, to_date
 from blendwise.operators.classify import normalise_channel
 
 
@@ -36,7 +34,7 @@ def linear_attribution(
     type_col: str = "type",
     deleted_col: str | None = "_fivetran_deleted",
     cap_at_order_date: bool = False,
-    materialize: str | None = "persist",
+    per_touch: bool = False,
 ) -> DataFrame:
     """Surviving touches per order with their touch count.
 
@@ -44,33 +42,37 @@ def linear_attribution(
     ``order_date - lookback_days`` (no upper bound unless
     ``cap_at_order_date``). The reference writes a LEFT JOIN to orders followed
     by a predicate on the order date, which is an inner join; it is written as
-    one here. Output: ``order_id, order_date, click_date, channel, campaign_id,
-    order_index``.
+    one here. Output: ``order_id, channel, campaign_id, touches, order_index``,
+    where ``touches`` counts those of the channel and campaign and
+    ``order_index`` those of the order. ``per_touch`` gives one row per touch
+    and click day instead, ``order_id, click_date, channel, campaign_id,
+    order_index``; a hot order's touches are then generated in one task.
     """
     t = touches
     if deleted_col is not None:
         t = t.filter(F.col(f"`{deleted_col}`") == F.lit(False))
     if model_type is not None:
         t = t.filter(F.col(type_col) == F.lit(model_type))
-    joined = t.join(orders.select(order_col, order_date_col), order_col, "inner")
-    click_day, order_day = to_date(click_col), to_date(order_date_col)
-    cond = click_day >= F.date_sub(order_day, lookback_days)
-    if cap_at_order_date:
-        cond = cond & (click_day <= order_day)
     channel, campaign = normalise_channel(source_col, campaign_col, channel_rules)
-    kept = joined.filter(cond).select(
-        F.col(order_col), F.col(order_date_col), F.col(click_col),
-        channel.alias("channel"), campaign.alias("campaign_id"))
-    # The surviving touches feed both the per-order count and the join back.
-    # The two branches need different columns, so Spark would plan (scan and
-    # shuffle) the touches twice; materialise them once (``persist``: memory and
-    # disk, recomputed from lineage on executor loss; ``checkpoint``: shared
-    # folder). ``None`` leaves it to the planner.
-    from blendwise.session import reuse
-    if materialize is not None:
-        kept = reuse(kept, materialize)
-    counts = kept.groupBy(order_col).agg(F.count(F.lit(1)).alias("order_index"))
-    return kept.join(counts, order_col, "inner")
+    t = (t.groupBy(F.col(order_col), to_date(click_col).alias("click_date"), channel.alias("channel"),
+                   campaign.alias("campaign_id"))
+         .agg(F.count(F.lit(1)).alias("touches")))
+    joined = t.join(orders.select(order_col, to_date(order_date_col).alias("__ordered")), order_col, "inner")
+    cond = lookback(F.col("click_date"), F.col("__ordered"), lookback_days)
+    if cap_at_order_date:
+        cond = cond & (F.col("click_date") <= F.col("__ordered"))
+    keys = [order_col, "channel", "campaign_id"] + (["click_date"] if per_touch else [])
+    kept = joined.filter(cond).groupBy(*keys).agg(F.sum("touches").alias("touches"))
+    kept = kept.withColumn("order_index", F.sum("touches").over(Window.partitionBy(order_col)))
+    if not per_touch:
+        return kept
+    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("touches")))
+    return kept.withColumn("__copy", copies).select(order_col, "click_date", "channel", "campaign_id", "order_index")
+
+
+def lookback(click_day: Column, order_day: Column, days: int = K.LOOKBACK_DAYS) -> Column:
+    """Clicked no earlier than ``days`` before the order (F9); NULL days fail."""
+    return click_day >= F.date_sub(order_day, days)
 
 
 def attribute_measures(
@@ -89,31 +91,29 @@ def attribute_measures(
     ``measures`` maps output names to per-order expressions over ``sales``.
     Orders without surviving touches count once under ``other`` /
     ``not_set``. Weights of one order sum to 1, so totals are preserved.
-    ``keys`` chooses the output grain (any of ``date, channel, campaign_id``);
-    ``exact_scale`` rounds each weighted addend to that many decimals and sums
-    as decimal, making the sum independent of partitioning.
+    ``keys`` chooses the output grain (any of ``date, channel, campaign_id``).
+    ``exact_scale``, the number of decimals the measures have, sums exactly: as
+    decimals per key and touch count, divided once, then added with 12 decimals,
+    so that the result depends on neither partitioning nor order. Without it the
+    weighted values are added as doubles.
     """
     s = sales.select(F.col(order_col), to_date(date_col).alias("date"),
                      *[expr.alias(f"__v_{name}") for name, expr in measures.items()])
-    # An order's touches only matter per (order, channel, campaign): collapse them
-    # to a touch count k first (map-side combined, and the input is already
-    # partitioned by order id), so even an order with a huge number of touches
-    # joins as a handful of rows. Each contribution is value / n, k times.
-    touches = (attributed.groupBy(order_col, "channel", "campaign_id")
-               .agg(F.count(F.lit(1)).alias("__k"), F.max("order_index").alias("order_index")))
+    touches = attributed.select(order_col, "channel", "campaign_id", "touches", "order_index")
     j = s.join(touches, order_col, "left")
-    n = F.coalesce(F.col("order_index"), F.lit(1)).cast("double")
-    k = F.coalesce(F.col("__k"), F.lit(1))
     j = j.withColumns({"channel": F.coalesce(F.col("channel"), F.lit(other)),
-                       "campaign_id": F.coalesce(F.col("campaign_id"), F.lit(not_set))})
-
-    def weighted(name):
-        w = F.col(f"__v_{name}").cast("double") / n
-        if exact_scale is None:
-            return F.sum(w * k)
-        return F.sum(w.cast(f"decimal(18,{exact_scale})") * k).cast("double")
-
-    return j.groupBy(*keys).agg(*[weighted(name).alias(name) for name in measures])
+                       "campaign_id": F.coalesce(F.col("campaign_id"), F.lit(not_set)),
+                       "__n": F.coalesce(F.col("order_index"), F.lit(1)),
+                       "__k": F.coalesce(F.col("touches"), F.lit(1))})
+    if exact_scale is None:
+        return j.groupBy(*keys).agg(*[
+            F.sum(F.col(f"__v_{name}").cast("double") / F.col("__n") * F.col("__k")).alias(name) for name in measures])
+    per_count = j.groupBy(*keys, "__n").agg(*[
+        F.sum(F.col(f"__v_{name}").cast(f"decimal(20,{exact_scale})") * F.col("__k").cast("decimal(10,0)")).alias(name)
+        for name in measures])
+    return per_count.groupBy(*keys).agg(*[
+        F.sum((F.col(name).cast("double") / F.col("__n")).cast("decimal(38,12)")).cast("double").alias(name)
+        for name in measures])
 
 
 def map_utm(touches: DataFrame, mapping: DataFrame, google_value: str = "google",
@@ -197,5 +197,5 @@ def trial_revenue(a, b) -> Column:
 
 __all__ = [
     "linear_attribution", "attribute_measures", "map_utm", "join_spend_to_touch",
-    "touch_orders", "skan_offset", "trial_revenue", "period_start",
+    "lookback", "touch_orders", "skan_offset", "trial_revenue",
 ]

@@ -90,7 +90,3 @@ def new_vs_recurring(df: DataFrame, keys: Sequence, type_col: str = "order_type"
         pick(recurring_value, revenue_col).alias("returning_revenue"),
         pick(new_value, orders_col).alias("new_purchases"),
         pick(recurring_value, orders_col).alias("returning_purchases"))
-
-
-def column_or(c, default) -> Column:
-    return as_col(c) if c is not None else F.lit(default)

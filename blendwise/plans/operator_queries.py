@@ -16,7 +16,7 @@ from blendwise.functions.columns import typed_null
 from blendwise.functions.dates import period_start
 from blendwise.operators import (
     active_rows, attribute_measures, bucket_exact, campaign_dimension, cap_at, classify,
-    granularity_rollup, label_unpaid, linear_attribution, normalise_channel, repair_names,
+    granularity_rollup, label_unpaid, linear_attribution, lookback, normalise_channel, repair_names,
     sales_components, soft_delete, stack_channels,
 )
 from blendwise.plans import roles
@@ -24,7 +24,7 @@ from blendwise.plans.oracle import (
     ORDERS_FIRST_CTE, SQL, per_grain, sunday_week, trunc,
 )
 from blendwise.plans.queries import query, tables
-from blendwise.plans.roles import money
+from blendwise.plans.roles import money, rounded
 
 
 def _sd():
@@ -242,8 +242,8 @@ def q_label_unpaid(spark, sf):
     facts = (t["lineitem"].groupBy(F.col("l_partkey").alias("campaign_id"))
              .agg(F.sum(money("l_extendedprice")).alias("spend"))
              .withColumn("channel", F.lit("Paid")))
-    names = (t["part"].filter(F.col("p_size") <= 25)
-             .select(F.col("p_partkey").alias("campaign_id"), F.col("p_name").alias("campaign_name")))
+    names = t["part"].select(F.col("p_partkey").alias("campaign_id"),
+                             F.when(F.col("p_size") <= 25, F.col("p_name")).alias("campaign_name"))
     blended = label_unpaid(facts.join(names, "campaign_id", "left"))
     return (blended.groupBy("channel", "campaign_name")
             .agg(F.count(F.lit(1)).alias("campaigns"), F.sum("spend").alias("spend")))
@@ -252,7 +252,7 @@ def q_label_unpaid(spark, sf):
 SQL["label_unpaid"] = """
 WITH facts AS (SELECT l_partkey AS campaign_id, SUM(floor(l_extendedprice)::DOUBLE) AS spend
                FROM lineitem GROUP BY 1),
-names AS (SELECT p_partkey AS campaign_id, p_name AS campaign_name FROM part WHERE p_size <= 25)
+names AS (SELECT p_partkey AS campaign_id, CASE WHEN p_size <= 25 THEN p_name END AS campaign_name FROM part)
 SELECT CASE WHEN campaign_name IS NULL THEN 'Not Paid' ELSE 'Paid' END AS channel, campaign_name,
        COUNT(*) AS campaigns, SUM(spend) AS spend
 FROM facts LEFT JOIN names USING (campaign_id) GROUP BY 1, 2"""
@@ -295,7 +295,7 @@ FROM lineitem WHERE (l_linestatus = 'F') = FALSE GROUP BY 1"""
 def q_lookback_filter(spark, sf):
     t = tables(spark, sf)
     j = t["lineitem"].join(t["orders"], F.col("l_orderkey") == F.col("o_orderkey"), "left")
-    kept = j.filter(_sd() >= F.date_sub(_od(), 28))
+    kept = j.filter(lookback(_sd(), _od()))
     return (kept.groupBy(_month(_od()).alias("date"))
             .agg(F.count(F.lit(1)).alias("lines"),
                  F.count_distinct("l_orderkey").alias("orders")))
@@ -354,7 +354,7 @@ tw AS (
 @query("linear_attribution")
 def q_linear_attribution(spark, sf):
     a = _attributed(tables(spark, sf))
-    return a.groupBy("order_index", "channel").agg(F.count(F.lit(1)).alias("touches"))
+    return a.groupBy("order_index", "channel").agg(F.sum("touches").alias("touches"))
 
 
 SQL["linear_attribution"] = f"""WITH {_TOUCH_SQL}
@@ -370,18 +370,17 @@ def _order_sales(t):
 @query("attribute_measures")
 def q_attribute_measures(spark, sf):
     t = tables(spark, sf)
-    return attribute_measures(_order_sales(t), _attributed(t),
-                              {"revenue": F.col("total"), "purchases": F.col("orders")},
-                              keys=("channel", "campaign_id"), exact_scale=6)
+    return rounded(attribute_measures(_order_sales(t), _attributed(t),
+                                      {"revenue": F.col("total"), "purchases": F.col("orders")},
+                                      keys=("channel", "campaign_id"), exact_scale=2))
 
 
 SQL["attribute_measures"] = f"""WITH {_TOUCH_SQL},
 s AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, floor(o_totalprice)::DOUBLE AS total,
              1 AS orders FROM orders)
 SELECT COALESCE(channel, 'Other') AS channel, COALESCE(campaign_id, '(not set)') AS campaign_id,
-       SUM(CAST(total / COALESCE(order_index, 1)::DOUBLE AS DECIMAL(18, 6)))::DOUBLE AS revenue,
-       SUM(CAST(orders::DOUBLE / COALESCE(order_index, 1)::DOUBLE AS DECIMAL(18, 6)))::DOUBLE
-         AS purchases
+       round(fsum(total / COALESCE(order_index, 1)), 4) AS revenue,
+       round(fsum(orders::DOUBLE / COALESCE(order_index, 1)), 4) AS purchases
 FROM s LEFT JOIN tw USING (order_id) GROUP BY 1, 2"""
 
 
@@ -461,8 +460,8 @@ def q_campaign_dimension(spark, sf):
     al = roles.ad_lines(t, "N").join(names, "campaign_id", "left")
     dim = campaign_dimension([(fb, "Facebook", "campaign_id", "campaign_name"),
                               (al, "App Lovin", "campaign_id", "campaign_name")])
-    conv = attribute_measures(_order_sales(t), _attributed(t), {"revenue": F.col("total")},
-                              keys=("channel", "campaign_id"), exact_scale=6)
+    conv = rounded(attribute_measures(_order_sales(t), _attributed(t), {"revenue": F.col("total")},
+                                      keys=("channel", "campaign_id"), exact_scale=2))
     return conv.join(dim, ["channel", "campaign_id"], "left")
 
 
@@ -471,7 +470,7 @@ s AS (SELECT CAST(o_orderkey AS VARCHAR) AS order_id, floor(o_totalprice)::DOUBL
       FROM orders),
 conv AS (
   SELECT COALESCE(channel, 'Other') AS channel, COALESCE(campaign_id, '(not set)') AS campaign_id,
-         SUM(CAST(total / COALESCE(order_index, 1)::DOUBLE AS DECIMAL(18, 6)))::DOUBLE AS revenue
+         round(fsum(total / COALESCE(order_index, 1)), 4) AS revenue
   FROM s LEFT JOIN tw USING (order_id) GROUP BY 1, 2),
 names AS (SELECT CAST(s_suppkey AS VARCHAR) AS campaign_id,
                  CASE WHEN s_acctbal >= 0 THEN s_name END AS campaign_name FROM supplier),

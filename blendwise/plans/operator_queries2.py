@@ -17,7 +17,7 @@ from blendwise.operators import (
 from blendwise.plans import roles
 from blendwise.plans.oracle import NAMES_CTE, SQL, per_grain, store_cte, trunc
 from blendwise.plans.queries import query, tables
-from blendwise.plans.roles import money
+from blendwise.plans.roles import money, rounded
 
 
 def _sd():
@@ -265,26 +265,22 @@ def q_split_spend_brand(spark, sf):
     spend = money("l_extendedprice")
     acq_b, ret_b = split_spend("p_name", spend, "red", 0.34, null_name="null")
     acq_k, ret_k = split_spend("p_name", spend, "blue", 0.0, null_name="zero")
-    return lp.groupBy(_month(_sd()).alias("date")).agg(
+    return rounded(lp.groupBy(_month(_sd()).alias("date")).agg(
         F.sum(spend).alias("spend"), exact_sum(acq_b).alias("acq_brand"),
         exact_sum(ret_b).alias("ret_brand"), exact_sum(acq_k).alias("acq_kw"),
-        exact_sum(ret_k).alias("ret_kw"))
+        exact_sum(ret_k).alias("ret_kw")))
 
 
 SQL["split_spend_brand"] = f"""
 WITH x AS (SELECT l_shipdate, p_name, floor(l_extendedprice)::DOUBLE AS s
            FROM lineitem JOIN part ON l_partkey = p_partkey)
 SELECT {trunc('month', 'l_shipdate')} AS date, SUM(s) AS spend,
-  SUM(CAST(CASE WHEN NOT regexp_matches(p_name, 'red', 'i') THEN s
-                ELSE (CASE WHEN regexp_matches(p_name, 'red', 'i') THEN s END) * 0.34::DOUBLE END
-           AS DECIMAL(18, 2)))::DOUBLE AS acq_brand,
-  SUM(CAST(CASE WHEN regexp_matches(p_name, 'red', 'i') THEN s * 0.66::DOUBLE ELSE 0 END
-           AS DECIMAL(18, 2)))::DOUBLE AS ret_brand,
-  SUM(CAST(CASE WHEN NOT regexp_matches(p_name, 'blue', 'i') THEN s
-                WHEN regexp_matches(p_name, 'blue', 'i') THEN s * 0.0::DOUBLE ELSE 0 END
-           AS DECIMAL(18, 2)))::DOUBLE AS acq_kw,
-  SUM(CAST(CASE WHEN regexp_matches(p_name, 'blue', 'i') THEN s * 1.0::DOUBLE ELSE 0 END
-           AS DECIMAL(18, 2)))::DOUBLE AS ret_kw
+  round(fsum(CASE WHEN NOT regexp_matches(p_name, 'red', 'i') THEN s
+                ELSE (CASE WHEN regexp_matches(p_name, 'red', 'i') THEN s END) * 0.34::DOUBLE END), 4) AS acq_brand,
+  round(fsum(CASE WHEN regexp_matches(p_name, 'red', 'i') THEN s * 0.66::DOUBLE ELSE 0 END), 4) AS ret_brand,
+  round(fsum(CASE WHEN NOT regexp_matches(p_name, 'blue', 'i') THEN s
+                WHEN regexp_matches(p_name, 'blue', 'i') THEN s * 0.0::DOUBLE ELSE 0 END), 4) AS acq_kw,
+  round(fsum(CASE WHEN regexp_matches(p_name, 'blue', 'i') THEN s * 1.0::DOUBLE ELSE 0 END), 4) AS ret_kw
 FROM x GROUP BY 1"""
 
 
@@ -385,9 +381,9 @@ def q_parse_money(spark, sf):
     o = tables(spark, sf)["orders"]
     text = F.when(F.col("o_orderstatus") == "P", F.lit("")).otherwise(
         F.concat(F.lit("$"), F.format_number("o_totalprice", 2)))
-    return (o.withColumn("cost", text).groupBy(_month(_od()).alias("date"))
-            .agg(exact_sum(parse_money("cost")).alias("spend"),
-                 count_unparsed("cost").cast("long").alias("unparsed")))
+    return rounded(o.withColumn("cost", text).groupBy(_month(_od()).alias("date"))
+                   .agg(exact_sum(parse_money("cost")).alias("spend"),
+                        count_unparsed("cost").cast("long").alias("unparsed")))
 
 
 SQL["parse_money"] = f"""
@@ -395,8 +391,7 @@ WITH x AS (SELECT o_orderdate,
                   CASE WHEN o_orderstatus = 'P' THEN ''
                        ELSE '$' || format('{{:,.2f}}', o_totalprice) END AS cost FROM orders)
 SELECT {trunc('month', 'o_orderdate')} AS date,
-       SUM(CAST(TRY_CAST(replace(replace(cost, '$', ''), ',', '') AS DOUBLE) AS DECIMAL(18, 2)))::DOUBLE
-         AS spend,
+       round(fsum(TRY_CAST(replace(replace(cost, '$', ''), ',', '') AS DOUBLE)), 4) AS spend,
        CAST(SUM(CASE WHEN cost IS NOT NULL
                       AND TRY_CAST(replace(replace(cost, '$', ''), ',', '') AS DOUBLE) IS NULL
                      THEN 1 ELSE 0 END) AS BIGINT) AS unparsed
@@ -423,8 +418,8 @@ def q_tax_net_revenue(spark, sf):
     amount = money("l_extendedprice")
     tax = money(F.col("l_extendedprice") * F.col("l_tax"))
     total = money(F.col("l_extendedprice") * F.col("l_discount"))
-    return li.groupBy(_month(_sd()).alias("date")).agg(
-        exact_sum(tax_net(amount, tax, total), 6).alias("net_revenue"))
+    return rounded(li.groupBy(_month(_sd()).alias("date")).agg(
+        exact_sum(tax_net(amount, tax, total)).alias("net_revenue")))
 
 
 SQL["tax_net_revenue"] = f"""
@@ -432,7 +427,7 @@ WITH x AS (SELECT l_shipdate, floor(l_extendedprice)::DOUBLE AS amount,
                   floor(l_extendedprice * l_tax)::DOUBLE AS tax,
                   floor(l_extendedprice * l_discount)::DOUBLE AS total FROM lineitem)
 SELECT {trunc('month', 'l_shipdate')} AS date,
-       SUM(CAST(amount * (1 - COALESCE(tax / NULLIF(total, 0), 0)) AS DECIMAL(18, 6)))::DOUBLE
+       round(fsum(amount * (1 - COALESCE(tax / NULLIF(total, 0), 0))), 4)
          AS net_revenue
 FROM x GROUP BY 1"""
 

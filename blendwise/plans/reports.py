@@ -577,7 +577,7 @@ def attributed_campaign_blend(inputs: Mapping[str, DataFrame], exact_scale: int
 
 
 def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | None = None,
-                           pmax_pattern: str = "Pmax") -> DataFrame:
+                           pmax_pattern: str = "Pmax", strict_money: bool = False) -> DataFrame:
     """Attributed store revenue blended with three paid platforms, one of which
     reports money as text and soft-deletes rows (R8-R11, R7, M5, F3, F12).
 
@@ -585,7 +585,8 @@ def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | N
     ``google`` (campaign grain), ``google_ads`` (ad grain), ``network``
     (``day, campaign_id_external, campaign, cost, impressions, clicks,
     _fivetran_deleted``). Sales here are the full totals (with tax and
-    shipping); refunds the full refund totals.
+    shipping); refunds the full refund totals. A cost text that is no number
+    counts as no cost, or fails the job with ``strict_money``.
     """
     from blendwise.functions.numeric import parse_money
     from blendwise.operators.blend import campaign_dimension, soft_delete
@@ -612,7 +613,7 @@ def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | N
         F.lit("App Lovin").alias("channel"),
         F.col("campaign_id_external").cast("string").alias("campaign_id"),
         F.col("campaign").alias("campaign_name"), F.col("day").cast("date").alias("date")).agg(
-        F.sum(parse_money("cost")).alias("spend"), F.sum("impressions").alias("impressions"),
+        F.sum(parse_money("cost", strict_money)).alias("spend"), F.sum("impressions").alias("impressions"),
         F.sum("clicks").alias("clicks"))
     paid = stack([_daily_paid(inputs["meta_ads"], "Facebook", "link_clicks"),
                   _daily_paid(pmax, "Google Ads", "clicks"),

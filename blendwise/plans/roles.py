@@ -34,6 +34,11 @@ def money(c) -> F.Column:
     return F.floor(F.col(c) if isinstance(c, str) else c).cast("double")
 
 
+def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+    """``df`` with its double columns rounded, for comparing weighted results."""
+    return df.select(*[F.round(n, digits).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes])
+
+
 def campaign_names(tables) -> DataFrame:
     """``(campaign_id, campaign_name)``; NULL name where the supplier balance is negative."""
     s = tables["supplier"]

@@ -293,3 +293,40 @@ def test_full_outer_adds_no_shuffle_and_no_key(spark):
     right = rows.groupBy("k").agg(F.max("x").alias("b"))
     plan = full_outer(left, right, ["k"])._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(k") == 2 and plan.count("Exchange") == 2
+
+
+# ------------------------------------------------------ exactness, hot order --
+
+def test_exact_sum_keeps_sub_cent_addends(spark):
+    from blendwise.functions.numeric import exact_sum
+    got = spark.range(1000).select(exact_sum(F.lit(0.004)).alias("s")).first().s
+    assert got == 4.0
+
+
+def test_parse_money_strict_fails_on_junk(spark):
+    from blendwise.functions.numeric import parse_money
+    df = spark.createDataFrame([("$1,000.50",), ("n/a",)], "cost string")
+    assert [r[0] for r in df.select(parse_money("cost")).collect()] == [1000.5, None]
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        df.select(parse_money("cost", strict=True)).collect()
+
+
+def test_hot_order_is_collapsed_before_the_join(spark):
+    # half of the touches lie on one order; thirds of 100 add up again
+    touches = spark.range(20_000).select(
+        F.when(F.col("id") % 2 == 0, F.lit("hot")).otherwise(F.concat(F.lit("o"), (F.col("id") % 3000).cast("string")))
+        .alias("order_id"), F.lit("google-ads").alias("source"), (F.col("id") % 3).cast("string").alias("campaign_id"),
+        F.lit(dt.datetime(2024, 1, 20)).alias("click_date"), F.lit("ORDERS_LINEAR_ALL").alias("type"),
+        F.lit(False).alias("_fivetran_deleted"))
+    orders = touches.select("order_id").distinct().withColumn("order_date", F.lit(D(2024, 1, 31)))
+    att = linear_attribution(touches, orders, [("google-ads", "Google Ads", False)])
+    hot = att.filter("order_id = 'hot'")
+    assert hot.count() == 3 and {r.order_index for r in hot.collect()} == {10_000}
+    plan = att._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner") < plan.index("count(1)")   # the count lies below the join
+    assert "InMemoryRelation" not in plan
+    out = attribute_measures(orders.select("order_id", F.col("order_date").alias("date"), F.lit(100.0).alias("total")),
+                             att, {"revenue": F.col("total")}, exact_scale=2)
+    assert out.agg(F.sum(F.round("revenue", 6))).first()[0] == pytest.approx(100.0 * orders.count(), abs=1e-5)
+    touch = linear_attribution(touches, orders, [("google-ads", "Google Ads", False)], per_touch=True)
+    assert touch.count() == 20_000
