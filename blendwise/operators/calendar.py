@@ -37,6 +37,40 @@ from blendwise.functions.columns import as_col
 from blendwise.functions.dates import GRAINS, calendar_spine, date_lit, period_start, to_date
 
 
+_STEPS = {"month": 1, "quarter": 3, "year": 12}
+
+
+def _next_period(start: Column, grain: str) -> Column:
+    if grain in _STEPS:
+        return F.add_months(start, _STEPS[grain])
+    return F.date_add(start, 7 if grain == "week" else 1)
+
+
+def _extreme(pick, cols: list[Column]) -> Column:
+    return pick(*cols) if len(cols) > 1 else cols[0]
+
+
+def touches_range(date, date_range, grains: Sequence[str] = GRAINS, week_start: str = "monday") -> Column:
+    """Days that some period of ``grains`` touching ``date_range`` needs.
+
+    The range ``(first day, last day)`` is widened to whole periods. The bounds are
+    constants compared with the bare column, so that they reach the scan.
+    """
+    first, last = (date_lit(d) for d in date_range)
+    low = _extreme(F.least, [period_start(first, g, week_start) for g in grains])
+    high = _extreme(F.greatest, [_next_period(period_start(last, g, week_start), g) for g in grains])
+    return (as_col(date) >= low) & (as_col(date) < high)
+
+
+def in_range(date, grain, date_range, grains: Sequence[str] = GRAINS, week_start: str = "monday") -> Column:
+    """Rows whose period, starting on ``date`` at ``grain``, touches ``date_range``."""
+    first, last = (date_lit(d) for d in date_range)
+    earliest = F.lit(None).cast("date")
+    for g in grains:
+        earliest = F.when(as_col(grain) == F.lit(g), period_start(first, g, week_start)).otherwise(earliest)
+    return (as_col(date) >= earliest) & (as_col(date) <= last)
+
+
 def _key_cols(keys) -> list[Column]:
     return [as_col(k) for k in keys]
 
@@ -61,9 +95,13 @@ def granularity_rollup(
     strategy: str = "auto",
     date_name: str = "date",
     grain_name: str = "date_granularity",
+    date_range=None,
 ) -> DataFrame:
     """Aggregate ``df`` at every grain in ``grains`` and stack the results.
 
+    ``date_range``, a pair of first and last day, keeps the periods that touch it
+    and reads only the days of those (``date_col`` must then be a date or timestamp).
+
     Output columns: ``date_name, grain_name, *keys, *aggs`` (dates are DateType).
     ``keys`` may be names or aliased Columns (computed once, before the fan-out).
     """
@@ -77,6 +115,11 @@ def granularity_rollup(
     if strategy == "cascade" and not decomposable:
         raise ValueError("cascade needs decomposable aggregates (no COUNT DISTINCT)")
 
+    if date_range is not None:
+        rolled = granularity_rollup(df.filter(touches_range(date_col, date_range, grains, week_start)), date_col, keys,
+                                    aggs, grains, week_start, strategy, date_name, grain_name)
+        return rolled.filter(in_range(date_name, grain_name, date_range, grains, week_start))
+
     # Evaluate keys and measure inputs once, before any fan-out.
     key_exprs = _key_cols(keys)
     key_names = _key_names(df, keys)

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from blendwise.functions.aggs import sum_
 from blendwise.functions.dates import GRAINS
 from blendwise.operators.blend import align_to, full_outer_blend, stack, stack_channels
-from blendwise.operators.calendar import granularity_rollup
+from blendwise.operators.calendar import granularity_rollup, in_range, touches_range
 from blendwise.operators.classify import label_unpaid
 from blendwise import constants as K
 from blendwise.sources import contracts as C
@@ -73,7 +73,7 @@ def paid_branch(df: DataFrame, channel: str, **extra) -> dict:
 def paid_web_store(paid_branches: Sequence[Mapping], web: DataFrame, store: DataFrame,
                    grains: Sequence[str] = GRAINS, extra_measures: Sequence[str] = (),
                    web_at_grain: bool = False, store_map=STORE_NET_MAP,
-                   store_fill: bool = True, web_strategy: str = "auto") -> DataFrame:
+                   store_fill: bool = True, web_strategy: str = "auto", date_range=None) -> DataFrame:
     """Paid campaigns full-outer-joined to web sessions by campaign id, plus a store block.
 
     Paid rows are stacked into one contract and summed per (channel, id,
@@ -82,7 +82,14 @@ def paid_web_store(paid_branches: Sequence[Mapping], web: DataFrame, store: Data
     rows with no campaign name become channel 'Not Paid', and the id is dropped
     by re-aggregation. Store rows are channel 'Shopify', name '(not set)',
     their measures taken per ``store_map`` (zero-filled if ``store_fill``).
+    ``date_range``, a pair of first and last day, keeps the periods that touch it;
+    every input is filtered before the joins, as no filter passes a full outer join.
     """
+    if date_range is not None:
+        cut = lambda df: df.filter(touches_range("date", date_range, grains))
+        blended = paid_web_store([{**b, "df": cut(b["df"])} for b in paid_branches], cut(web), cut(store), grains,
+                                 extra_measures, web_at_grain, store_map, store_fill, web_strategy)
+        return blended.filter(in_range("date", "date_granularity", date_range, grains))
     paid_measures = [*PAID_MEASURES[:3], *extra_measures, *PAID_MEASURES[3:]]
     keys = [("channel", "string"), ("campaign_id", "string"), ("campaign_name", "string"),
             ("date", "date"), ("date_granularity", "string")]
@@ -128,7 +135,7 @@ def paid_web_store(paid_branches: Sequence[Mapping], web: DataFrame, store: Data
 
 
 def campaign_web_store(inputs: Mapping[str, DataFrame], grains: Sequence[str] = GRAINS,
-                       web_strategy: str = "auto") -> DataFrame:
+                       web_strategy: str = "auto", date_range=None) -> DataFrame:
     """Meta and Google campaigns + web sessions + store block.
 
     Inputs: ``meta``, ``google`` (ads facts at period grain), ``web`` (daily
@@ -147,7 +154,7 @@ def campaign_web_store(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
                                       "spend", "impressions", "purchases", "revenue"])
     branches = [paid_branch(inputs["meta"], "Meta"), paid_branch(inputs["google"], "Google Ads")]
     return paid_web_store(branches, inputs["web"], inputs["store"], grains,
-                          web_strategy=web_strategy)
+                          web_strategy=web_strategy, date_range=date_range)
 
 
 def campaign_web_store_raw_grain(inputs: Mapping[str, DataFrame],
@@ -658,15 +665,6 @@ def crm_lead_funnel(inputs: Mapping[str, DataFrame], service_rules: Sequence[tup
         {"leads": "crm_leads", "replied": "crm_replied", "appointments": "crm_appointments"})
     contract = [(k, "date" if k == "date" else "string") for k in CRM_KEYS] + [
         (m, "double" if m == "spend" else "bigint") for m in CRM_MEASURES]
-    crm_cols = ["crm_leads", "crm_replied", "crm_appointments"]
-
-    def block(platform, crm, type_col):
-        crm = crm.withColumn("campaign_type", type_col)
-        stacked = stack([align_to(platform.withColumn("campaign_type", type_col), contract,
-                                  CRM_MEASURES),
-                         align_to(crm, contract, CRM_MEASURES)])
-        return stacked.groupBy(*CRM_KEYS).agg(*_coalesce_sum(CRM_MEASURES))
-
     meta = inputs["meta"].filter(F.col("date_granularity").isin(list(grains))).select(
         F.col("date").cast("date").alias("date"), "date_granularity", "location", "campaign_name",
         "adset_name", "ad_name", "service", "spend", "impressions",
@@ -674,22 +672,21 @@ def crm_lead_funnel(inputs: Mapping[str, DataFrame], service_rules: Sequence[tup
         F.col("appointments_scheduled").alias("platform_appointments"),
         F.col("leads").alias("platform_leads"), "booked_appointment", "completed_appointment",
         "booking_complete").withColumn("channel", F.lit("Facebook"))
-    fb_crm = (funnel.filter(F.col("channel") == "Facebook")
-              .groupBy(*[k for k in CRM_KEYS if k != "campaign_type"])
-              .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in crm_cols]))
-    fb = block(meta, fb_crm, bucket_exact("campaign_name", meta_buckets, "Other"))
 
     google = inputs["google"].filter(F.col("date_granularity").isin(list(grains))).select(
         F.col("date").cast("date").alias("date"), "date_granularity", "campaign_name", "spend",
         "impressions", "clicks", F.col("appointments_scheduled").alias("platform_appointments")
     ).withColumn("channel", F.lit("Google"))
-    g_crm = (funnel.filter(F.col("channel") == "Google")
-             .groupBy("date", "date_granularity", "channel", "campaign_name")
-             .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in crm_cols]))
-    adw = block(google, g_crm, classify("campaign_name", search_rules))
-    # The two blocks differ in channel, and each is unique per key, so UNION
-    # ALL equals the reference's UNION (Q40).
-    return stack([fb, adw]).select(*CRM_KEYS, *CRM_MEASURES)
+    # Search leads count by campaign alone. The channel is a key, so that one roll-up
+    # of the leads and one aggregate serve both platforms (Q40).
+    social = F.col("channel") == F.lit("Facebook")
+    crm = funnel.filter(F.col("channel").isin("Facebook", "Google")).withColumns(
+        {k: F.when(social, F.col(k)) for k in ("location", "adset_name", "ad_name", "service")})
+    stacked = stack([align_to(df, contract, CRM_MEASURES) for df in (meta, google, crm)])
+    kind = F.when(social, bucket_exact("campaign_name", meta_buckets, "Other")).otherwise(
+        classify("campaign_name", search_rules))
+    return (stacked.withColumn("campaign_type", kind).groupBy(*CRM_KEYS)
+            .agg(*_coalesce_sum(CRM_MEASURES)).select(*CRM_KEYS, *CRM_MEASURES))
 
 
 # --------------------------------------------------------------------------

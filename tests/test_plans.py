@@ -73,3 +73,16 @@ def test_filters_and_columns_reach_the_scan(spark):
     text = full_explain(qs["date_range_as_of"](spark, SF))
     assert "ReadSchema: struct<o_orderdate:timestamp_ntz>" in text
     assert "GreaterThanOrEqual(o_orderdate" in text
+
+
+def test_date_range_reaches_the_scan(spark):
+    t = read_tables(spark, SF)
+    rolled = granularity_rollup(t["orders"], "o_orderdate", [], {"n": count_()}, date_range=("1997-03-10", "1997-04-20"))
+    mode = spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("formatted")
+    plan = rolled._jdf.queryExecution().explainString(mode)
+    assert "GreaterThanOrEqual(o_orderdate,1997-01-01" in plan and "LessThan(o_orderdate,1998-01-01" in plan
+    whole = granularity_rollup(t["orders"], "o_orderdate", [], {"n": count_()})
+    rows = {(r.date.isoformat(), r.date_granularity): r.n for r in whole.collect()}
+    got = {(r.date.isoformat(), r.date_granularity): r.n for r in rolled.collect()}
+    first = {"day": "1997-03-10", "week": "1997-03-10", "month": "1997-03-01", "quarter": "1997-01-01", "year": "1997-01-01"}
+    assert got == {k: n for k, n in rows.items() if first[k[1]] <= k[0] <= "1997-04-20"}
