@@ -22,6 +22,17 @@ def trunc(g: str, col: str) -> str:
     return f"CAST(date_trunc('{g}', CAST({col} AS DATE)) AS DATE)"
 
 
+GRAIN_LIST = "grain_list AS (SELECT unnest([" + ", ".join(f"'{g}'" for g in GRAINS) + "]) AS g)"
+
+
+def period_start(g: str, col: str, sunday: bool = False) -> str:
+    """Start of the period that holds ``col``, for a column ``g`` of grain names."""
+    if sunday:
+        return (f"CASE {g} WHEN 'week' THEN CAST(date_trunc('week', CAST({col} AS DATE) + 1) AS DATE) - 1 "
+                f"ELSE CAST(date_trunc({g}, CAST({col} AS DATE)) AS DATE) END")
+    return f"CAST(date_trunc({g}, CAST({col} AS DATE)) AS DATE)"
+
+
 def sunday_week(col: str) -> str:
     return f"CAST(date_trunc('week', CAST({col} AS DATE) + 1) AS DATE) - 1"
 
