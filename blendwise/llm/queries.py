@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blendwise.llm import (bpe, cws, line_dedup, llr_rules, packing, pii, pseudo_likelihood, quality_cnn,
+from blendwise.llm import (bpe, cws, line_dedup, llr_rules, merkle, oracles, packing, pii, pseudo_likelihood, quality_cnn,
                            simhash, warc)
 from blendwise.llm.common import new_path, table
 
@@ -79,6 +79,16 @@ def op10_cws_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.weighted_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of every second document (by checksum of the id) the copy to be verified has lost its line breaks."""
+    fields = {c: F.col(c) for c in merkle.FIELDS} | {"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))}
+    changed = F.when(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0, merkle.leaf_digest(fields))
+    leaves = merkle.manifest(table(spark, sf_dir, "documents"), also={"tampered": changed})
+    folded = merkle.fold(F.coalesce("tampered", "leaf"), F.col("steps"))
+    return leaves.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("steps")).alias("proof_sha256"),
+                         folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -87,22 +97,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_byte_bpe, op3_warc_salvage, op4_simhash, op5_quality_cnn, op6_pseudo_likelihood, op7_llr_rules,
-    op8_pii_crf, op9_packing, op10_cws_fingerprint, pipeline)}
+    op8_pii_crf, op9_packing, op10_cws_fingerprint, op12_merkle_manifest, pipeline)}
 
 # Word hashing (XXH64), trained models, tokenizers and connected components have no
-# DuckDB form that could run on whole tables; the WARC result has one.
-ORACLE_SQL = {
-    "op3_warc_salvage": """
-WITH p AS (
-  SELECT page_id, coalesce(html, '') AS payload FROM pages
-), d AS (
-  SELECT page_id, CAST(octet_length(encode(payload)) AS BIGINT) AS payload_bytes, sha1(payload) AS payload_digest FROM p
-), w AS (
-  SELECT payload_digest, max(page_id) AS winner FROM d WHERE payload_bytes >= 1000 GROUP BY payload_digest
-)
-SELECT d.page_id, d.payload_bytes, d.payload_digest,
-       CASE WHEN w.winner <> d.page_id THEN 'revisit' ELSE 'response' END AS record_type,
-       CASE WHEN w.winner <> d.page_id THEN w.winner END AS refers_to
-FROM d LEFT JOIN w USING (payload_digest)
-""",
-}
+# DuckDB form that could run on whole tables.
+ORACLE_SQL = oracles.ORACLE_SQL
