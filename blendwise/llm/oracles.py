@@ -78,4 +78,52 @@ SELECT doc_id, leaf, subroot, root, sha256(replace(array_to_string(steps, ''), '
 FROM folded
 """
 
-ORACLE_SQL = {"op3_warc_salvage": WARC, "op12_merkle_manifest": MERKLE}
+_DISTANCE = "list_dot_product(a.v, a.v) - 2 * list_dot_product(a.v, c.v) + list_dot_product(c.v, c.v)"
+
+
+def _round(i: int) -> str:
+    """Nearest entries under the codebooks c{i}, and the codebooks after it."""
+    return f"""near{i} AS MATERIALIZED (
+  SELECT a.n, a.p, any_value(a.v) AS v, arg_min(c.e, ({_DISTANCE}) * 16 + c.e) AS e, min({_DISTANCE}) AS d
+  FROM parts a JOIN c{i} c USING (p) GROUP BY a.n, a.p
+), c{i + 1} AS MATERIALIZED (
+  SELECT c.p, c.e, coalesce(m.v, c.v) AS v FROM c{i} c LEFT JOIN (
+    SELECT p, e, list(x ORDER BY k) AS v FROM (
+      SELECT p, e, k, floor(sum(v[k]) / count(*)) AS x FROM near{i}, range(1, 9) AS r(k) GROUP BY p, e, k) GROUP BY p, e
+  ) m USING (p, e)
+)"""
+
+
+LLOYD = f"""
+WITH usable AS (
+  SELECT vec_id, label, embedding, list_transform(embedding, lambda x: floor(4096 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), rows AS MATERIALIZED (
+  SELECT *, row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS n FROM usable
+), parts AS MATERIALIZED (
+  SELECT n, p, list_slice(v, 8 * p + 1, 8 * p + 8) AS v FROM rows, range(8) AS r(p)
+), c0 AS MATERIALIZED (
+  SELECT p, n - 1 AS e, v FROM parts WHERE n <= 16
+), {", ".join(_round(i) for i in range(7))}, coded AS (
+  SELECT n, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, CAST(sum(d) AS BIGINT) AS error FROM near6 GROUP BY n
+), books AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY p, e, k)) AS digest
+  FROM (SELECT p, e, k, v[k] AS x FROM c6, range(1, 9) AS r(k))
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, digest AS codebooks_sha256
+FROM rows JOIN coded USING (n), books
+"""
+
+TOPK = """
+WITH rows AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v, row_number() OVER () AS n FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)
+), ranked AS (
+  SELECT q.vec_id AS query_id, x.vec_id, CAST(list_dot_product(q.v, x.v) AS BIGINT) AS score,
+         CAST(row_number() OVER (PARTITION BY q.n ORDER BY list_dot_product(q.v, x.v) DESC, x.vec_id NULLS LAST) AS INTEGER) AS rank
+  FROM rows q JOIN rows x ON x.n <> q.n WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op3_warc_salvage": WARC, "op11_dual_tree_lloyd": LLOYD, "op12_merkle_manifest": MERKLE, "op13_pivot_topk": TOPK}

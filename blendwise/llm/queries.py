@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blendwise.llm import (bpe, cws, line_dedup, llr_rules, merkle, oracles, packing, pii, pseudo_likelihood, quality_cnn,
-                           simhash, warc)
+from blendwise.llm import (bpe, cws, line_dedup, lloyd, llr_rules, merkle, oracles, packing, pii, pseudo_likelihood, quality_cnn,
+                           simhash, topk, warc)
 from blendwise.llm.common import new_path, table
 
 QUALITY_THRESHOLD = 0.3
@@ -79,6 +79,13 @@ def op10_cws_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cws.weighted_fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op11_dual_tree_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = lloyd.product_codes(table(spark, sf_dir, "embeddings"))
+    digits = F.transform("code", lambda x: F.lpad(F.lower(F.hex(x)), 2, "0"))
+    return coded.select("vec_id", F.array_join(digits, "").alias("code"), "error", "label_error",
+                        F.lit(lloyd.codebook_digest(books)).alias("codebooks_sha256"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of every second document (by checksum of the id) the copy to be verified has lost its line breaks."""
     fields = {c: F.col(c) for c in merkle.FIELDS} | {"text": F.replace(F.col("text"), F.lit("\n"), F.lit(""))}
@@ -89,6 +96,10 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
                          folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
 
 
+def op13_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -97,7 +108,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_byte_bpe, op3_warc_salvage, op4_simhash, op5_quality_cnn, op6_pseudo_likelihood, op7_llr_rules,
-    op8_pii_crf, op9_packing, op10_cws_fingerprint, op12_merkle_manifest, pipeline)}
+    op8_pii_crf, op9_packing, op10_cws_fingerprint, op11_dual_tree_lloyd, op12_merkle_manifest, op13_pivot_topk, pipeline)}
 
 # Word hashing (XXH64), trained models, tokenizers and connected components have no
 # DuckDB form that could run on whole tables.
