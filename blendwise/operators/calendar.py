@@ -12,6 +12,11 @@ Strategies (all give the same rows):
     One scan and two shuffles, the second over day rows, which are far fewer
     than raw rows. A filter that a consumer puts on the period start or grain
     cannot move below the generator, so the source is still read once.
+``lattice``
+    As ``cascade``, but every coarser grain merges the one below it (day to week; day to
+    month to quarter to year) and day rows are given out as they are. The day shuffle and the month and quarter shuffles are shared
+    by the branches, also under a consumer's filter. The cheapest form when the roll-up is the result (1.2 times the
+    union form, which scans the source five times); inside joins its branches make large plans, so ``cascade`` stays the default.
 ``cascade_union``
     As ``cascade`` but each coarser grain merges the day aggregate in its own
     branch. Spark shares the day exchange between branches, unless a later
@@ -28,6 +33,7 @@ Strategies (all give the same rows):
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -75,7 +81,7 @@ def _key_cols(keys) -> list[Column]:
     return [as_col(k) for k in keys]
 
 
-def _key_names(df: DataFrame, keys) -> list[str]:
+def key_names_of(df: DataFrame, keys) -> list[str]:
     names = []
     for k in keys:
         if isinstance(k, str):
@@ -85,6 +91,32 @@ def _key_names(df: DataFrame, keys) -> list[str]:
     return names
 
 
+def _finer(grain: str, grains: Sequence[str]) -> str:
+    """The coarsest grain of ``grains`` whose periods make up those of ``grain`` (weeks only days)."""
+    chain = ["day", "month", "quarter", "year"]
+    below = chain[:chain.index(grain)] if grain in chain else ["day"]
+    return next((g for g in reversed(below) if g in grains), "day")
+
+
+def stack_levels(daily: DataFrame, grains: Sequence[str], week_start: str, key_names: Sequence[str], merged: Sequence[Column],
+                 finished: Sequence[Column], date_name: str = "date", grain_name: str = "date_granularity") -> DataFrame:
+    """Day rows ``(__day, *keys, partials)`` merged up the lattice of grains and stacked.
+
+    Weeks merge days, months days, quarters months, years quarters; day rows are given out as they
+    are. Each level is aggregated once and its shuffle shared by its own branch and the levels above. The period start goes through a
+    generator of one row: a consumer's filter on the date stays above it, as it would otherwise reach each branch's
+    source in a form of its own and no shuffle could be shared.
+    """
+    levels = {"day": daily}
+    for g in sorted(grains, key=["day", "week", "month", "quarter", "year"].index):
+        if g != "day":
+            start = period_start("__day", g, week_start).alias("__day")
+            levels[g] = levels[_finer(g, grains)].groupBy(start, *key_names).agg(*merged)
+    parts = [levels[g].select(F.inline(F.array(F.struct(F.col("__day").alias(date_name)))), F.lit(g).alias(grain_name), *key_names, *finished)
+             for g in grains]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def granularity_rollup(
     df: DataFrame,
     date_col,
@@ -122,7 +154,7 @@ def granularity_rollup(
 
     # Evaluate keys and measure inputs once, before any fan-out.
     key_exprs = _key_cols(keys)
-    key_names = _key_names(df, keys)
+    key_names = key_names_of(df, keys)
     day = to_date(date_col).alias("__day")
     measure_inputs = {f"__m{i}": a for i, a in enumerate(aggs.values())}
     projected = df.select(
@@ -158,6 +190,14 @@ def granularity_rollup(
                 .agg(*[a.one_step().alias(n) for n, a in rebound.items()])
                 .select(*out_cols))
 
+    if strategy == "lattice":
+        partial_names = {n: f"__p_{i}" for i, n in enumerate(rebound)}
+        daily = (projected.groupBy("__day", *key_names)
+                 .agg(*[a.partial().alias(partial_names[n]) for n, a in rebound.items()]))
+        return stack_levels(daily, grains, week_start, key_names,
+                            [a.merge_partial(partial_names[n]).alias(partial_names[n]) for n, a in rebound.items()],
+                            [a.finish(partial_names[n]).alias(n) for n, a in rebound.items()], date_name, grain_name)
+
     if strategy in ("cascade", "cascade_union"):
         partial_names = {n: f"__p_{i}" for i, n in enumerate(rebound)}
         daily = (projected.groupBy("__day", *key_names)
@@ -201,6 +241,12 @@ def spine(spark: SparkSession, start, as_of=None, name: str = "date") -> DataFra
     return calendar_spine(spark, start, as_of, name)
 
 
+def spine_between(bounds: DataFrame, first: str = "first", last: str = "last", name: str = "date") -> DataFrame:
+    """Calendar over the days that the one row of ``bounds``, an aggregate over the facts, names; empty if it holds nulls."""
+    known = bounds.where(F.col(first).isNotNull() & F.col(last).isNotNull())
+    return known.select(F.explode(F.sequence(to_date(first), to_date(last))).alias(name))
+
+
 def cap_at(df: DataFrame, as_of=None, date_col: str = "date", start=None) -> DataFrame:
     """``date <= as_of`` and optionally ``date >= start``."""
     end = F.current_date() if as_of is None else date_lit(as_of)

@@ -80,13 +80,12 @@ def order_counts(lines: DataFrame, keys: Sequence[str], order_col: str, is_first
     return out
 
 
-def product_units(title, quantity, families: Mapping[str, Sequence]) -> dict[str, Column]:
-    """Units per product family.
+def unit_values(title, quantity, families: Mapping[str, Sequence]) -> dict[str, Column]:
+    """A row's units per product family.
 
     ``families`` maps a measure name to ordered rules, each a dict with one of
     ``title`` (exact), ``titles`` (list) or ``pattern`` (``~*``) and an
-    optional ``multiplier`` (a 3-pack counts 3). Rows matching no rule add 0.
-    Returns ``{name: SUM(CASE ...)}`` aggregate columns.
+    optional ``multiplier`` (a 3-pack counts 3). Rows matching no rule give 0.
     """
     t, q = as_col(title), as_col(quantity)
     out = {}
@@ -102,5 +101,10 @@ def product_units(title, quantity, families: Mapping[str, Sequence]) -> dict[str
             mult = rule.get("multiplier", 1)
             val = q if mult == 1 else q * F.lit(mult)
             expr = F.when(cond, val) if expr is None else expr.when(cond, val)
-        out[name] = F.sum(expr.otherwise(F.lit(0)))
+        out[name] = expr.otherwise(F.lit(0))
     return out
+
+
+def product_units(title, quantity, families: Mapping[str, Sequence]) -> dict[str, Column]:
+    """``{name: SUM(units)}`` aggregate columns of ``unit_values``."""
+    return {name: F.sum(value) for name, value in unit_values(title, quantity, families).items()}

@@ -19,6 +19,8 @@ from blendwise.plans.oracle import per_grain, trunc
 
 # Dimensions: name -> (Spark expression builder, SQL expression).
 _DIMS = {
+    "flag": (lambda: F.col("l_returnflag"), "l_returnflag"),
+    "status": (lambda: F.col("l_linestatus"), "l_linestatus"),
     "campaign_id": (lambda: F.col("l_suppkey").cast("string"), "CAST(l_suppkey AS VARCHAR)"),
     "campaign_num": (lambda: F.col("l_suppkey"), "l_suppkey"),
     "campaign_name": (lambda: F.when(F.col("s_acctbal") >= 0, F.col("s_name")),

@@ -487,7 +487,7 @@ SELECT * FROM conv LEFT JOIN dim USING (channel, campaign_id)"""
 
 # ---------------------------------------------------- R1 at line grain --
 
-def lineitem_rollup(spark, sf, strategy="auto"):
+def lineitem_rollup(spark, sf, strategy="lattice"):
     """Five-grain roll-up of every line by supplier (the benchmark's roll-up)."""
     li = tables(spark, sf)["lineitem"]
     return granularity_rollup(

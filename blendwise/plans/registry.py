@@ -5,8 +5,8 @@ from __future__ import annotations
 
 def _load():
     from blendwise.plans import (  # noqa: F401  (each module registers its queries)
-        operator_queries, operator_queries2, operator_queries3, report_queries, report_queries2,
-        report_queries3, report_queries4)
+        operator_queries, operator_queries2, operator_queries3, operator_queries4, report_queries,
+        report_queries2, report_queries3, report_queries4)
 
 
 def queries():

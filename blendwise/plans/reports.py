@@ -799,66 +799,78 @@ def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple
 # --------------------------------------------------------------------------
 
 def regional_commerce_forecast(inputs: Mapping[str, DataFrame], spend_branches: Sequence[Mapping],
-                               regions: Mapping[str, Mapping], families: Mapping[str, Mapping],
-                               forecasts: Sequence[tuple], spine_start, as_of=None,
-                               sort: bool = False) -> DataFrame:
+                               regions: Mapping[str, str], families: Mapping[str, Mapping],
+                               forecasts: Sequence[tuple], spine_start=None, as_of=None,
+                               regions_from: str = "spend", sort: bool = False) -> DataFrame:
     """Paid spend by region, store orders / revenue / product units by region,
     on a calendar spine, stacked with unpivoted regional forecasts
     (R23, R24, R25, R26, R27, R17, R19, R18; Q36-Q39).
 
+    Inputs: ``orders`` (order rows) and ``lines`` (line rows), both with ``region``
+    and ``date``: the region is a key, so each is read once for all regions.
     ``spend_branches``: dicts with ``df`` (``date, region, spend, revenue,
     purchases``), optional ``where`` (row filter), ``paid`` (Column for
     ``paid_spend``; default spend). Regions 'Other' are dropped.
-    ``regions[name]``: ``orders`` (order rows) and ``lines`` (line rows) frames
-    and ``revenue`` = ``'tax_net'`` (orders netted of tax) or ``'lines'``
+    ``regions[name]``: ``'tax_net'`` (orders netted of tax) or ``'lines'``
     (gross minus discounts from line sales, counts from lines).
     ``families[name]``: product-unit rules per family for that region (R27).
     ``forecasts``: ``(sheet, mapping)`` pairs for ``unpivot_regions``.
-    The spine runs from ``spine_start`` to ``as_of``; spend joins it on date,
-    store rows on (date, region), so region comes from spend (Q36).
+    The spine runs from ``spine_start`` to ``as_of``, or over the days that the one row of
+    ``inputs["days"]`` (``first, last``) names. Spend joins it on date, store
+    rows on (date, region), so region comes from spend and sales of a region without
+    spend that day are lost (Q36); ``regions_from='both'`` keeps them.
     """
     from blendwise.functions.numeric import tax_net
-    from blendwise.operators.calendar import cap_at, spine as make_spine
-    from blendwise.operators.commerce import order_counts, product_units
+    from blendwise.operators.blend import full_outer, regional_paid_spend
+    from blendwise.operators.calendar import cap_at, spine as make_spine, spine_between
+    from blendwise.operators.commerce import order_counts, unit_values
     from blendwise.operators.scenario import unpivot_regions
 
-    from blendwise.operators.blend import regional_paid_spend
-
+    if regions_from not in ("spend", "both"):
+        raise ValueError("regions_from is 'spend' or 'both'")
     spend_cols = ["spend", "paid_spend", "paid_revenue", "paid_purchases"]
     spend = regional_paid_spend(spend_branches)
 
     family_names = list(next(iter(families.values())).keys())
-    store_parts = []
-    for region, cfg in regions.items():
-        lines = cfg["lines"].withColumn("date", F.col("date").cast("date"))
-        if cfg.get("revenue", "tax_net") == "lines":
-            data = order_counts(lines, ["date"], "order_id", F.col("customer_order_index") == 1,
-                                extra={"gross_revenue": sum_("gross_sales", fill=0),
-                                       "total_discounts": sum_(F.col("gross_sales")
-                                                               - F.col("subtotal_sales"), fill=0)})
-        else:
-            o = cfg["orders"].withColumn("date", F.col("date").cast("date"))
-            net = lambda c: tax_net(c, "total_tax", "total_revenue")
-            data = order_counts(o, ["date"], "order_id", F.col("customer_order_index") == 1,
-                                extra={"gross_revenue": sum_(net("gross_revenue"), fill=0),
-                                       "total_discounts": sum_(net("subtotal_discount"), fill=0)})
-        units = product_units("product_title", "quantity", families[region])
-        prod = lines.groupBy("date").agg(*[c.alias(n) for n, c in units.items()])
-        joined = data.join(prod, ["date"], "left")
-        store_parts.append(joined.select(
-            F.lit(region).alias("region"), "date",
-            F.coalesce(F.col("orders"), F.lit(0)).alias("orders"),
-            F.coalesce(F.col("first_orders"), F.lit(0)).alias("first_orders"),
-            F.coalesce(F.col("gross_revenue") - F.col("total_discounts"), F.lit(0.0)).alias("revenue"),
-            *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in family_names]))
+    by_lines = F.col("region").isin([r for r, how in regions.items() if how == "lines"])
+    first = F.col("customer_order_index") == 1
+    day = F.col("date").cast("date").alias("date")
+    orders = inputs["orders"].where(F.col("region").isin(list(regions)) & ~by_lines).withColumn("date", day)
+    net = lambda c: tax_net(c, "total_tax", "total_revenue")
+    sold = order_counts(orders, ["region", "date"], "order_id", first,
+                        extra={"gross_revenue": sum_(net("gross_revenue"), fill=0),
+                               "total_discounts": sum_(net("subtotal_discount"), fill=0)})
+    units = {n: F.lit(0).cast("long") for n in family_names}
+    for region, rules in families.items():
+        own = unit_values("product_title", "quantity", rules)
+        units = {n: F.when(F.col("region") == region, own[n]).otherwise(units[n]) for n in family_names}
+    lines = inputs["lines"].where(F.col("region").isin(list(regions))).withColumn("date", day)
+    shipped = order_counts(lines, ["region", "date"], "order_id", first,
+                           extra={"gross_revenue": sum_("gross_sales", fill=0),
+                                  "total_discounts": sum_(F.col("gross_sales") - F.col("subtotal_sales"), fill=0),
+                                  **{n: sum_(c) for n, c in units.items()}})
+    # Units join the day's order rows; line counts and sales hold where a region takes them from lines.
+    money_cols = ["orders", "first_orders", "gross_revenue", "total_discounts"]
+    stacked = stack([
+        sold.select("region", "date", F.lit(True).alias("__sold"), *money_cols,
+                    *[F.lit(None).cast("long").alias(n) for n in family_names]),
+        shipped.select("region", "date", by_lines.alias("__sold"), *[F.when(by_lines, F.col(c)).alias(c) for c in money_cols], *family_names)])
+    merged = stacked.groupBy("region", "date").agg(F.max("__sold").alias("__sold"), *[F.sum(c).alias(c) for c in (*money_cols, *family_names)])
     store_measures = ["orders", "first_orders", "revenue", *family_names]
-    store = (stack(store_parts).groupBy("region", "date")
-             .agg(*[F.coalesce(F.sum(m), F.lit(0)).alias(m) for m in store_measures]))
+    store = merged.where("__sold").select(
+        "region", "date", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in ("orders", "first_orders")],
+        F.coalesce(F.col("gross_revenue") - F.col("total_discounts"), F.lit(0.0)).alias("revenue"),
+        *[F.coalesce(F.col(n), F.lit(0)).alias(n) for n in family_names])
 
-    spark = spend.sparkSession
-    actual = (make_spine(spark, spine_start, as_of).join(spend, ["date"], "left")
-              .join(store, ["date", "region"], "left"))
-    actual = cap_at(actual, as_of, start=spine_start).withColumn("type", F.lit("Actual"))
+    if inputs.get("days") is not None:
+        spine = spine_between(inputs["days"])
+    else:
+        spine = cap_at(make_spine(spend.sparkSession, spine_start, as_of), as_of, start=spine_start)
+    if regions_from == "both":
+        actual = spine.join(full_outer(spend, store, ["date", "region"]), ["date"], "left")
+    else:
+        actual = spine.join(spend, ["date"], "left").join(store, ["date", "region"], "left")
+    actual = actual.withColumn("type", F.lit("Actual"))
 
     measures = [*spend_cols, *store_measures]
     forecast_parts = []
@@ -920,7 +932,7 @@ def touch_orders_fee_allocation(
     content_replacements: Sequence[tuple] = K.CONTENT_REPLACEMENTS,
     term_cut: str = K.TERM_CUT, utm_rewrite: tuple | None = None,
     google_rename: tuple | None = None, campaign_type_rules=None,
-    share_within_grain: bool = False, pool_switch=K.FEE_POOL_SWITCH,
+    share_within_grain: bool = False, pool_switch=K.FEE_POOL_SWITCH, shared=None,
 ) -> DataFrame:
     """First/last-touch subscription orders per grain, stacked with five paid
     branches that borrow utm fields from the touches, summed at 11 keys, with
@@ -934,7 +946,8 @@ def touch_orders_fee_allocation(
     (campaign grain with ``country, product, campaign_type_custom,
     checkout_initiated, add_to_cart``), ``bing``.
     ``utm_rewrite`` = ``(must_match, must_not_match_list, replacement)``;
-    ``google_rename`` = ``(content, campaign, new_campaign)``.
+    ``google_rename`` = ``(content, campaign, new_campaign)``. With ``shared`` (a
+    ``session.Shared`` that the caller releases) what two steps read is written once.
     """
     from blendwise.functions.text import imatch, replace_all, split_part
     from blendwise.operators.allocate import allocate_fee, video_masks
@@ -958,8 +971,10 @@ def touch_orders_fee_allocation(
     s3 = granularity_rollup(mapped, "activation_date", keys,
                             {"ft_orders": sum_("fta_subs", fill=0), "lt_orders": sum_("lta_subs", fill=0)},
                             grains=grains)
-    from blendwise.session import reuse
-    s3 = reuse(s3)  # four consumers below
+    # The paid branches borrow utm names, which no grain changes: one small aggregate of the touches.
+    names = mapped.select(keys[0], "google_campaign", "bing_campaign").distinct()
+    if shared is not None:
+        names = shared.written(names)
 
     contract = [(k, "date" if k == "date" else "string") for k in SE_KEYS] + \
         [(m, "double" if m in ("spend", "revenue") else "bigint") for m in SE_MEASURES]
@@ -980,19 +995,19 @@ def touch_orders_fee_allocation(
     gk = ["date", "date_granularity", F.col("country").alias("market"), "product",
           F.col("campaign_type_custom").alias("campaign_type")]
     search = join_spend_to_touch(google.filter(F.col("campaign_type_custom") != "Youtube"),
-                                 s3, "campaign_name", "google_campaign", ["utm_campaign"])
+                                 names, "campaign_name", "google_campaign", ["utm_campaign"])
     # CASE WHEN type = 'Amazon' THEN name ELSE COALESCE(matched google_campaign, name) END:
     # a match means google_campaign = name, so every arm is the campaign name.
     search = search.withColumn("google_campaign", F.col("campaign_name").cast("string"))
     search = search.groupBy(*gk, "google_campaign", "utm_campaign").agg(*sums) \
         .withColumn("channel", F.lit("Google Ads"))
-    yt_side = s3.select("utm_campaign").distinct()
+    yt_side = names.select("utm_campaign").distinct()
     yt = google.filter(F.col("campaign_type_custom") == "Youtube")
     yt = (yt.join(yt_side, yt["campaign_id"].cast("string") == yt_side["utm_campaign"], "left")
           .groupBy(*gk, F.col("campaign_name").cast("string").alias("google_campaign"), "utm_campaign")
           .agg(*sums).withColumn("channel", F.lit("Google Ads")))
     bing_src = inputs["bing"].filter(F.col("date_granularity").isin(list(grains)))
-    bing = join_spend_to_touch(bing_src, s3, "campaign_name", "bing_campaign", ["utm_campaign"])
+    bing = join_spend_to_touch(bing_src, names, "campaign_name", "bing_campaign", ["utm_campaign"])
     bing = bing.withColumn("bing_campaign", F.when(F.col("utm_campaign").isNotNull(),
                                                    F.col("campaign_name").cast("string")))
     bing = (bing.groupBy("date", "date_granularity", F.col("country").cast("string").alias("market"),
@@ -1031,9 +1046,9 @@ def touch_orders_fee_allocation(
     stacked = stack([align_to(df, contract, measures) for df in (meta, search, yt, bing, touch_rows)])
     final = stacked.groupBy(*SE_KEYS).agg(
         *[F.coalesce(F.sum(f"`{m}`"), F.lit(0)).alias(m) for m in measures])
-    # The fee step reads this aggregate twice (rows and share totals) with
-    # different column needs, so the plans would not share an exchange; keep it.
-    final = reuse(final)
+    # The fee step reads this aggregate twice: rows, and share totals that need few of its columns.
+    if shared is not None:
+        final = shared.written(final)
     video, image = video_masks("channel", "market", "campaign_type", "google_campaign")
     return allocate_fee(final, video, image, share_within_grain=share_within_grain,
                         pool_switch=pool_switch)

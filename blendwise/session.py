@@ -11,9 +11,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark import StorageLevel
 
 # Settings that matter for correct results.
 CORRECTNESS_CONF = {
@@ -103,27 +103,36 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return current
 
 
-_REUSED: list[DataFrame] = []
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of the session's own making, wherever Spark can write; nothing if it is not there."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
-def release_reused() -> None:
-    """Unpersist everything ``reuse`` persisted (call after the result is written)."""
-    while _REUSED:
-        _REUSED.pop().unpersist()
+class Shared:
+    """Relations that several branches of one report read (S2): written once, removed by their owner.
 
+    ``with Shared(spark) as shared: report(inputs, shared=shared).write...`` - the tables live in
+    the folder that the cluster names in ``spark.checkpoint.dir``, so branches do not depend on the executors that
+    wrote them, and go when the block ends. Nothing is kept in the process.
+    """
 
-def reuse(df: DataFrame, how: str = "persist") -> DataFrame:
-    """Mark a DataFrame that several branches consume.
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{ensure_checkpoint_dir(spark).rstrip('/')}/shared-{uuid.uuid4().hex}"
+        self.tables = 0
 
-    ``persist`` keeps it in memory and disk; a lost executor's blocks are
-    recomputed from lineage. ``checkpoint`` writes it to the shared checkpoint
-    folder and cuts the lineage (for very long plans).
-    """
-    if how == "checkpoint":
-        ensure_checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    if how == "persist":
-        out = df.persist(StorageLevel.MEMORY_AND_DISK)
-        _REUSED.append(out)
-        return out
-    return df
+    def __enter__(self) -> Shared:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.release()
+
+    def written(self, df: DataFrame) -> DataFrame:
+        """``df`` as a written table; its branches read the table instead of repeating the work."""
+        path = f"{self.folder}/{self.tables}"
+        self.tables += 1
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def release(self) -> None:
+        remove_path(self.spark, self.folder)

@@ -2,8 +2,8 @@
 
 The reference reads warehouse tables by logical name and publishes each model
 under an alias. Here a report takes ``dict[str, DataFrame]`` (any Spark source:
-catalog tables, Parquet, JDBC) and returns a lazy DataFrame; ``publish`` writes
-it partitioned by granularity so readers that filter one grain prune the rest.
+catalog tables, Parquet, JDBC) and returns a lazy DataFrame; ``publish`` (see
+``publishing``) writes it partitioned by granularity so readers that filter one grain prune the rest.
 """
 
 from __future__ import annotations
@@ -12,6 +12,8 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from blendwise.sources.publishing import Published, PublishError, publish  # noqa: F401
+
 # The driver's test tables (TPC-H-like star schema plus an events table).
 DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
                  "lineitem", "events")
@@ -35,21 +37,3 @@ def read_tables(spark: SparkSession, base: str, names: Iterable[str] = DRIVER_TA
                 fmt: str = "parquet") -> dict[str, DataFrame]:
     """Lazy readers for several relations under one folder."""
     return {n: read_table(spark, n, base, fmt) for n in names}
-
-
-def publish(df: DataFrame, target: str, partition_by: str | None = "date_granularity",
-            mode: str = "overwrite", path: str | None = None, fmt: str = "parquet") -> None:
-    """Write a report under its alias.
-
-    With ``path`` the output goes to that folder, else to the catalog table
-    ``target``. Partitioning by ``date_granularity`` lets consumers prune grains.
-    """
-    writer = df.write.mode(mode).format(fmt)
-    if partition_by and partition_by in df.columns:
-        writer = writer.partitionBy(partition_by)
-    if path is not None:
-        writer.save(path)
-    else:
-        writer.saveAsTable(target)
-    from blendwise.session import release_reused
-    release_reused()  # intermediates persisted for this result are no longer needed

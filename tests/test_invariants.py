@@ -86,7 +86,7 @@ def test_publish_partitions_by_grain(spark, tmp_path):
     from blendwise.sources import publish
     df = Q["granularity_rollup"](spark, SF)
     path = str(tmp_path / "out")
-    publish(df, "unused", path=path)
+    publish(df, path=path)
     back = spark.read.parquet(path)
     assert sorted(r[0] for r in back.select("date_granularity").distinct().collect()) == \
         sorted(["day", "week", "month", "quarter", "year"])
@@ -94,19 +94,6 @@ def test_publish_partitions_by_grain(spark, tmp_path):
     assert os.path.isdir(os.path.join(path, "date_granularity=month"))
 
 
-def test_reuse_checkpoint_uses_session_folder(spark):
-    from blendwise.session import ensure_checkpoint_dir, release_reused, reuse
-    folder = ensure_checkpoint_dir(spark)
-    assert folder and spark.conf.get("spark.checkpoint.dir") == folder
-    df = Q["granularity_rollup"](spark, SF)
-    cut = reuse(df, "checkpoint")
-    assert cut.count() == df.count()
-    kept = reuse(df)  # persisted
-    assert kept.is_cached
-    release_reused()
-    assert not kept.is_cached
-
-
 def test_cluster_session_requires_shared_checkpoint_folder():
     from blendwise.session import ensure_checkpoint_dir
 
