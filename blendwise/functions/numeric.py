@@ -30,6 +30,11 @@ def count_unparsed(c) -> Column:
     return F.sum(F.when(as_col(c).isNotNull() & parse_money(c).isNull(), 1).otherwise(0))
 
 
+def count_blank(c) -> Column:
+    """Aggregate: number of non-NULL money texts that hold no digit, such as ``''`` or ``'$'``."""
+    return F.sum(F.when(as_col(c).isNotNull() & ~as_col(c).rlike("[0-9]"), 1).otherwise(0))
+
+
 def micro_units(c, scale: float = 1_000_000.0) -> Column:
     """Platform micro-currency to currency units."""
     return as_double(c) / F.lit(float(scale))

@@ -385,7 +385,7 @@ FROM s LEFT JOIN tw USING (order_id) GROUP BY 1, 2"""
 
 
 def _order_components(t):
-    li = t["lineitem"]
+    li = t.get("lineitem_of_orders", t["lineitem"])
     returned = F.col("l_returnflag") == "R"
     per_order = li.groupBy(F.col("l_orderkey").cast("string").alias("order_id")).agg(
         F.sum(money("l_extendedprice")).alias("gross_sales"),

@@ -22,5 +22,26 @@ def query(name: str):
     return deco
 
 
+RANGE = ("1997-03-10", "1997-04-20")
+
+
+def report_query(name: str):
+    """Register a report builder ``fn(spark, tables, **options)`` as ``name``, and over RANGE as ``name_range``."""
+    def deco(fn):
+        QUERIES[name] = lambda spark, sf_dir: fn(spark, tables(spark, sf_dir))
+
+        def ranged(spark, sf_dir):
+            from blendwise.plans.roles import tables_in_range
+            return fn(spark, tables_in_range(tables(spark, sf_dir), RANGE), date_range=RANGE)
+
+        QUERIES[f"{name}_range"] = ranged
+        RANGED.append(name)
+        return fn
+    return deco
+
+
+RANGED: list[str] = []
+
+
 def tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     return read_tables(spark, sf_dir, DRIVER_TABLES)

@@ -9,7 +9,7 @@ from blendwise.operators.calendar import granularity_rollup
 from blendwise.plans import reports, roles
 from blendwise.plans.driver_facts import ad_period
 from blendwise.plans.oracle import GRAIN_LIST, ORDERS_FIRST_CTE, SQL, period_start
-from blendwise.plans.queries import query, tables
+from blendwise.plans.queries import query, report_query, tables
 from blendwise.plans.roles import money
 
 _SWITCH = "1998-06-30"
@@ -35,9 +35,8 @@ def _goal_sheet(t, factor):
         F.sum((~first).cast("long")).alias("ret_orders"))
 
 
-@query("actual_goal_stretch")
-def q_actual_goal_stretch(spark, sf):
-    t = tables(spark, sf)
+@report_query("actual_goal_stretch")
+def q_actual_goal_stretch(spark, t, **options):
     fo, first, p = _daily_orders(t)
     day = F.col("o_orderdate").cast("date").alias("date")
     cost = money(p * F.lit(0.05))
@@ -60,7 +59,7 @@ def q_actual_goal_stretch(spark, sf):
          "affiliate_old": affiliate_old, "affiliate_new": affiliate_new, "bi": bi,
          "goal": _goal_sheet(t, 1.0), "stretch": _goal_sheet(t, 1.2)},
         as_of=_AS_OF, switch_date=_SWITCH, social_retention_pattern="0$",
-        search_brand_pattern="[13579]$", brand_acq_share=0.25)
+        search_brand_pattern="[13579]$", brand_acq_share=0.25, **options)
 
 
 SQL["actual_goal_stretch"] = f"""
@@ -140,9 +139,8 @@ _APP_MEASURES = ["spend", "link_clicks", "clicks", "impressions", "app_install",
                  "initial_purchase_value"]
 
 
-@query("app_install_blend")
-def q_app_install_blend(spark, sf):
-    t = tables(spark, sf)
+@report_query("app_install_blend")
+def q_app_install_blend(spark, t, **options):
     mmp = _mmp(t)
     skan = mmp.filter(F.col("l_tax") > 0.04).select("date", "source", "campaign_name", "installs")
     dims = ["campaign_id", "campaign_name"]
@@ -155,7 +153,7 @@ def q_app_install_blend(spark, sf):
                    F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).alias("skan_start_trial")))
     return reports.app_install_blend(
         {"mmp": mmp, "skan": skan, "meta": ad_period(t, ["R"], dims, _APP_MEASURES),
-         "google": ad_period(t, ["A"], dims, _APP_MEASURES), "video_raw": raw}, _APP_RULES)
+         "google": ad_period(t, ["A"], dims, _APP_MEASURES), "video_raw": raw}, _APP_RULES, **options)
 
 
 SQL["app_install_blend"] = f"""

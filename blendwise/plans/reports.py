@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from blendwise.functions.aggs import sum_
@@ -19,6 +19,7 @@ from blendwise.operators.blend import align_to, full_outer_blend, stack, stack_c
 from blendwise.operators.calendar import granularity_rollup, in_range, touches_range
 from blendwise.operators.classify import label_unpaid
 from blendwise import constants as K
+from blendwise.plans.date_ranges import with_date_range
 from blendwise.sources import contracts as C
 
 PAID_MEASURES = ("spend", "clicks", "impressions", "paid_purchases", "paid_revenue")
@@ -100,8 +101,9 @@ def paid_web_store(paid_branches: Sequence[Mapping], web: DataFrame, store: Data
     cols = [F.col("date").cast("date").alias("date"),
             F.col("session_campaign_id").cast("string").alias("campaign_id"),
             "sessions", "engaged_sessions",
-            F.col("conversions_purchase").alias("ga4_purchases"),
-            F.col("purchase_revenue").alias("ga4_revenue")]
+            # relations that are at grain already name these otherwise
+            F.col("conversions_purchase" if "conversions_purchase" in web.columns else "purchase").alias("ga4_purchases"),
+            F.col("purchase_revenue" if "purchase_revenue" in web.columns else "purchase_value").alias("ga4_revenue")]
     if web_at_grain:
         web_g = (web.select("date_granularity", *cols)
                  .groupBy("date", "date_granularity", "campaign_id")
@@ -157,6 +159,7 @@ def campaign_web_store(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
                           web_strategy=web_strategy, date_range=date_range)
 
 
+@with_date_range
 def campaign_web_store_raw_grain(inputs: Mapping[str, DataFrame],
                                  grains: Sequence[str] = GRAINS) -> DataFrame:
     """As ``campaign_web_store`` with add-to-cart, a short-video platform at
@@ -184,6 +187,7 @@ def campaign_web_store_raw_grain(inputs: Mapping[str, DataFrame],
 # adset_store_blend: ad-set-level paid rows + store block, stacked and summed
 # --------------------------------------------------------------------------
 
+@with_date_range
 def adset_store_blend(inputs: Mapping[str, DataFrame]) -> DataFrame:
     """Meta ad-set rows and Google campaign rows ('(not set)' ad set) plus store rows,
     stacked and summed at 7 keys (R3, R15, A18).
@@ -211,6 +215,7 @@ def adset_store_blend(inputs: Mapping[str, DataFrame]) -> DataFrame:
 # channel_store_web_stack: labelled paid channels, store block, web block
 # --------------------------------------------------------------------------
 
+@with_date_range
 def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequence[tuple],
                             session_factor: float = K.SESSION_FACTOR) -> DataFrame:
     """Paid channels split from shared sources by labelled filters, a store block
@@ -257,8 +262,8 @@ def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequ
                                  "paid_revenue"])))
     store = inputs["store"]
     if inputs.get("sales_adj") is not None:  # an inner join used as a filter (J4, Q20)
-        store = store.join(inputs["sales_adj"].select("date", "date_granularity").distinct(),
-                           ["date", "date_granularity"], "inner")
+        from blendwise.operators.joins import reduce_to
+        store = reduce_to(store, inputs["sales_adj"], ["date", "date_granularity"])
     store_rows = store.select(
         F.lit(K.STORE_CHANNEL).alias("channel"), F.col("date").cast("date").alias("date"),
         "date_granularity", F.col("total_net_sales").alias("shopify_total_sales"),
@@ -278,6 +283,7 @@ def channel_store_web_stack(inputs: Mapping[str, DataFrame], channel_rules: Sequ
 # actual_vs_forecast: actual spend / store vs forecast and adjusted forecast
 # --------------------------------------------------------------------------
 
+@with_date_range
 def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] = GRAINS,
                        excluded_campaigns: Sequence[str] = (), sort: bool = False) -> DataFrame:
     """Actual spend and store results beside a forecast sheet and its adjusted
@@ -348,6 +354,7 @@ def actual_vs_forecast(inputs: Mapping[str, DataFrame], grains: Sequence[str] =
 # actual_goal_stretch: spend stack with splits and a cut-over, goals, stretch
 # --------------------------------------------------------------------------
 
+@with_date_range
 def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
                         switch_date=K.AFFILIATE_SWITCH_DATE, grains: Sequence[str] = GRAINS,
                         purchases_how: str = "left",
@@ -436,8 +443,9 @@ def actual_goal_stretch(inputs: Mapping[str, DataFrame], as_of=None,
 # calendar_spine_blend: every date, spend / traffic / new-vs-recurring store
 # --------------------------------------------------------------------------
 
-def calendar_spine_blend(inputs: Mapping[str, DataFrame], spine_start, as_of=None,
-                         market: str = "US", profile: str | None = None) -> DataFrame:
+@with_date_range
+def calendar_spine_blend(inputs: Mapping[str, DataFrame], spine_start=None, as_of=None,
+                         market: str = "US", profile: str | None = None, spine_grains: bool = False) -> DataFrame:
     """Calendar spine left-joined to spend (on date only), then traffic and
     store-by-type on (date, grain) (R3, R45, R43, R44, R17, Q17).
 
@@ -445,6 +453,9 @@ def calendar_spine_blend(inputs: Mapping[str, DataFrame], spine_start, as_of=Non
     ``google`` (with ``campaign_country``), ``bing``, ``web`` (``profile, date,
     date_granularity, sessions``), ``store_by_type`` (``dg, date_granularity,
     order_type, revenue, orders``). Measures stay NULL where nothing joins.
+    With ``spine_grains`` the spine holds every period of every grain, from the grain's first to its last
+    one in any of the facts, and all facts join it on (date, grain): no traffic or
+    store row is lost for want of spend (Q17 repaired); ``spine_start`` is not needed then.
     """
     from blendwise.operators.calendar import cap_at, spine as make_spine
     from blendwise.operators.classify import acquisition_spend
@@ -470,10 +481,20 @@ def calendar_spine_blend(inputs: Mapping[str, DataFrame], spine_start, as_of=Non
                .agg(F.sum("sessions").alias("traffic")))
     store = new_vs_recurring(inputs["store_by_type"],
                              [F.col("dg").cast("date").alias("date"), "date_granularity"])
-    spine = make_spine(inputs["web"].sparkSession, spine_start, as_of)
-    out = (spine.join(spend, ["date"], "left")
-           .join(traffic, ["date", "date_granularity"], "left")
-           .join(store, ["date", "date_granularity"], "left"))
+    if spine_grains:
+        from blendwise.operators.joins import gap_fill
+        facts = ["acquisition_spend", "spend", "clicks", "impressions", "revenue", "paid_purchases", "traffic",
+                 "new_revenue", "returning_revenue", "new_purchases", "returning_purchases"]
+        fact_contract = [("date", "date"), ("date_granularity", "string"),
+                         *[(c, t) for c, t in (*spend.dtypes, *traffic.dtypes, *store.dtypes) if c in facts]]
+        merged = (stack([align_to(df, fact_contract) for df in (spend, traffic, store)])
+                  .groupBy("date", "date_granularity").agg(*[F.max(c).alias(c) for c in facts]))  # one row a source and period
+        out = gap_fill(merged, [])
+    else:
+        spine = make_spine(inputs["web"].sparkSession, spine_start, as_of)
+        out = (spine.join(spend, ["date"], "left")
+               .join(traffic, ["date", "date_granularity"], "left")
+               .join(store, ["date", "date_granularity"], "left"))
     out = cap_at(out, as_of)
     return out.select("date", "date_granularity", "spend", "acquisition_spend", "clicks",
                       "impressions", "revenue", "paid_purchases", "traffic", "new_revenue",
@@ -484,6 +505,7 @@ def calendar_spine_blend(inputs: Mapping[str, DataFrame], spine_start, as_of=Non
 # subsource_stack: stack same-schema upstream relations
 # --------------------------------------------------------------------------
 
+@with_date_range
 def subsource_stack(inputs: Mapping[str, DataFrame]) -> DataFrame:
     """Stack upstream sub-source relations that share one schema."""
     from blendwise.operators.blend import stack_relations
@@ -516,17 +538,24 @@ def _daily_paid(df, channel, clicks_col, extra=()):
         F.sum(clicks_col).alias("clicks"), *[F.sum(src).alias(dst) for src, dst in extra])
 
 
+def _written_names(df, shared):
+    """A platform's period rows, read for spend and again for names."""
+    return df if shared is None else shared.written(df)
+
+
+@with_date_range
 def attributed_campaign_blend(inputs: Mapping[str, DataFrame], exact_scale: int | None = None,
-                              dedupe_names: bool = False) -> DataFrame:
+                              dedupe_names: bool = False, shared=None) -> DataFrame:
     """Linear-attributed store revenue by campaign, blended with paid, web and
     tracker facts in a chain of full outer joins with shrinking keys
     (R6, R8, R10, R9, R11, R7, R43, R12, R13; Q10, Q11, Q12).
 
     Inputs: ``touches``, ``orders`` (``order_id, order_date``), ``store_order``
     (order grain), ``meta`` (campaign grain, period facts), ``meta_ads``
-    (ad grain: campaign ids and names for the name lookup), ``google``,
+    (ad grain: campaign ids and names for the name lookup; without it those of ``meta``), ``google``,
     ``web`` (``date, session_source_medium, session_campaign_id, sessions,
-    engaged_sessions, conversions_purchase, purchase_revenue``), ``tracker``.
+    engaged_sessions, conversions_purchase, purchase_revenue``), ``tracker``. With ``shared`` (a
+    ``session.Shared`` that the caller releases) a platform that gives both spend and names is derived once.
     """
     from blendwise.operators.blend import campaign_dimension
     from blendwise.operators.commerce import sales_components
@@ -542,14 +571,20 @@ def attributed_campaign_blend(inputs: Mapping[str, DataFrame], exact_scale: int
         "total_net_revenue": c["total_sales_amount"] - c["total_refund_amount"],
         "purchases": F.col("orders"), "new_purchases": F.col("first_orders")}
     conv = _attributed_store(inputs, rules, measures, exact_scale)
-    dim = campaign_dimension([(inputs["meta_ads"], "Facebook", "campaign_id", "campaign_name"),
-                              (inputs["google"], "Google Ads", "campaign_id", "campaign_name")],
+    google = _written_names(inputs["google"], shared)
+    meta = meta_ads = inputs["meta"]
+    if "meta_ads" in inputs:
+        meta_ads = inputs["meta_ads"]
+    else:
+        meta = meta_ads = _written_names(meta, shared)
+    dim = campaign_dimension([(meta_ads, "Facebook", "campaign_id", "campaign_name"),
+                              (google, "Google Ads", "campaign_id", "campaign_name")],
                              dedupe_names=dedupe_names)
     conversion = conv.join(dim, ["channel", "campaign_id"], "left")
     paid = stack([
-        _daily_paid(inputs["meta"], "Facebook", "link_clicks",
+        _daily_paid(meta, "Facebook", "link_clicks",
                     [("purchases", "paid_purchases"), ("revenue", "paid_revenue")]),
-        _daily_paid(inputs["google"], "Google Ads", "clicks",
+        _daily_paid(google, "Google Ads", "clicks",
                     [("purchases", "paid_purchases"), ("revenue", "paid_revenue")])])
     from blendwise.operators.classify import bucket_exact
     web_channel = bucket_exact("session_source_medium",
@@ -583,8 +618,10 @@ def attributed_campaign_blend(inputs: Mapping[str, DataFrame], exact_scale: int
                                   "forecasted_revenue", "tw_spend", "tw_sessions")])
 
 
+@with_date_range
 def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | None = None,
-                           pmax_pattern: str = "Pmax", strict_money: bool = False) -> DataFrame:
+                           pmax_pattern: str = "Pmax", strict_money: bool = False, rejects: Observation | None = None,
+                           shared=None) -> DataFrame:
     """Attributed store revenue blended with three paid platforms, one of which
     reports money as text and soft-deletes rows (R8-R11, R7, M5, F3, F12).
 
@@ -593,9 +630,12 @@ def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | N
     (``day, campaign_id_external, campaign, cost, impressions, clicks,
     _fivetran_deleted``). Sales here are the full totals (with tax and
     shipping); refunds the full refund totals. A cost text that is no number
-    counts as no cost, or fails the job with ``strict_money``.
+    counts as no cost, or fails the job with ``strict_money``. ``rejects``, an ``Observation``, gets ``costs``,
+    ``unreadable_costs`` and ``blank_costs`` (rows of the network) with the first action on
+    the result, without another pass. With ``shared`` (a ``session.Shared`` that the caller
+    releases) each platform's daily rows are written once for spend and names.
     """
-    from blendwise.functions.numeric import parse_money
+    from blendwise.functions.numeric import count_blank, count_unparsed, parse_money
     from blendwise.operators.blend import campaign_dimension, soft_delete
     from blendwise.operators.commerce import sales_components
 
@@ -610,19 +650,23 @@ def attributed_spend_blend(inputs: Mapping[str, DataFrame], exact_scale: int | N
     network = soft_delete(inputs["network"])
     net_named = network.select(F.col("campaign_id_external").cast("string").alias("campaign_id"),
                                F.col("campaign").alias("campaign_name"))
-    dim = campaign_dimension([(inputs["meta_ads"], "Facebook", "campaign_id", "campaign_name"),
-                              (inputs["google"], "Google Ads", "campaign_id", "campaign_name"),
+    meta_ads, google = (_written_names(inputs[k], shared) for k in ("meta_ads", "google"))
+    dim = campaign_dimension([(meta_ads, "Facebook", "campaign_id", "campaign_name"),
+                              (google, "Google Ads", "campaign_id", "campaign_name"),
                               (net_named, "App Lovin", "campaign_id", "campaign_name")])
     conversion = conv.join(dim, ["channel", "campaign_id"], "left")
     from blendwise.functions.text import imatch
-    pmax = inputs["google"].filter(imatch("campaign_name", pmax_pattern))
+    pmax = google.filter(imatch("campaign_name", pmax_pattern))
+    if rejects is not None:
+        network = network.observe(rejects, F.count("cost").alias("costs"), count_unparsed("cost").alias("unreadable_costs"),
+                                  count_blank("cost").alias("blank_costs"))
     net_paid = network.groupBy(
         F.lit("App Lovin").alias("channel"),
         F.col("campaign_id_external").cast("string").alias("campaign_id"),
         F.col("campaign").alias("campaign_name"), F.col("day").cast("date").alias("date")).agg(
         F.sum(parse_money("cost", strict_money)).alias("spend"), F.sum("impressions").alias("impressions"),
         F.sum("clicks").alias("clicks"))
-    paid = stack([_daily_paid(inputs["meta_ads"], "Facebook", "link_clicks"),
+    paid = stack([_daily_paid(meta_ads, "Facebook", "link_clicks"),
                   _daily_paid(pmax, "Google Ads", "clicks"),
                   _daily_paid(inputs["google_ads"], "Google Ads", "clicks"), net_paid])
     blended = full_outer_blend([(conversion, None),
@@ -646,6 +690,7 @@ CRM_KEYS = ("date", "date_granularity", "channel", "location", "campaign_type",
             "adset_name", "ad_name", "service")
 
 
+@with_date_range
 def crm_lead_funnel(inputs: Mapping[str, DataFrame], service_rules: Sequence[tuple],
                     meta_buckets: Mapping[str, Sequence[str]], search_rules: Sequence[tuple],
                     grains: Sequence[str] = GRAINS) -> DataFrame:
@@ -696,6 +741,7 @@ def crm_lead_funnel(inputs: Mapping[str, DataFrame], service_rules: Sequence[tup
 APP_CHANNELS = K.APP_CHANNELS
 
 
+@with_date_range
 def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple],
                       grains: Sequence[str] = GRAINS, week_start: str = K.APP_WEEK_START) -> DataFrame:
     """Paid app campaigns full-outer-joined to MMP installs with the SKAN
@@ -798,6 +844,7 @@ def app_install_blend(inputs: Mapping[str, DataFrame], app_rules: Sequence[tuple
 # regional_commerce_forecast: regional paid spend + store metrics vs forecast
 # --------------------------------------------------------------------------
 
+@with_date_range
 def regional_commerce_forecast(inputs: Mapping[str, DataFrame], spend_branches: Sequence[Mapping],
                                regions: Mapping[str, str], families: Mapping[str, Mapping],
                                forecasts: Sequence[tuple], spine_start=None, as_of=None,
@@ -926,6 +973,7 @@ def default_campaign_type_rules():
     ]
 
 
+@with_date_range
 def touch_orders_fee_allocation(
     inputs: Mapping[str, DataFrame], product_rules: Sequence[tuple],
     grains: Sequence[str] = GRAINS, utm_renames: Mapping[str, str] | None = None,

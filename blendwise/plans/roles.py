@@ -39,6 +39,23 @@ def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
     return df.select(*[F.round(n, digits).alias(n) if t == "double" else F.col(n) for n, t in df.dtypes])
 
 
+def tables_in_range(tables, date_range):
+    """The driver tables with the facts of a range of days (widened as in ``plans.date_ranges``).
+
+    ``lineitem``, ``orders`` and ``events`` are cut to it. ``lineitem_open`` has the lines from a look-back before it on
+    (clicks), ``lineitem_of_orders`` the lines of the range's orders, whenever they ship (a semi-join);
+    ``orders_all`` is whole, for customers' first orders.
+    """
+    from blendwise.operators.calendar import touches_range
+    from blendwise.plans.date_ranges import not_before
+    from blendwise.operators.joins import reduce_to
+    lines, orders = tables["lineitem"], tables["orders"]
+    ordered = orders.filter(touches_range("o_orderdate", date_range)).select(F.col("o_orderkey").alias("l_orderkey"))
+    return {**tables, "lineitem_of_orders": reduce_to(lines, ordered, ["l_orderkey"]), "lineitem": lines.filter(touches_range("l_shipdate", date_range)), "orders": orders.filter(touches_range("o_orderdate", date_range)),
+            "events": tables["events"].filter(touches_range("ts", date_range)),
+            "lineitem_open": lines.filter(not_before("l_shipdate", date_range)), "orders_all": orders}
+
+
 def campaign_names(tables) -> DataFrame:
     """``(campaign_id, campaign_name)``; NULL name where the supplier balance is negative."""
     s = tables["supplier"]
@@ -98,7 +115,7 @@ def first_orders(tables) -> DataFrame:
     instead of a window over each customer's orders.
     """
     o = tables["orders"]
-    firsts = (o.groupBy("o_custkey")
+    firsts = (tables.get("orders_all", o).groupBy("o_custkey")
               .agg(F.min(F.struct("o_orderdate", "o_orderkey")).alias("__f"))
               .select(F.col("__f.o_orderkey").alias("o_orderkey"), F.lit(True).alias("is_first")))
     return (o.join(firsts, "o_orderkey", "left")
@@ -141,7 +158,7 @@ def touches(tables) -> DataFrame:
     ``source`` by return flag, blank campaign id on line 7, a different model
     type on line 6, soft-deleted when the discount is the maximum 0.10.
     """
-    li = tables["lineitem"]
+    li = tables.get("lineitem_open", tables["lineitem"])
     return li.select(
         F.col("l_orderkey").cast("string").alias("order_id"),
         F.when(F.col("l_returnflag") == "R", F.lit("facebook-ads"))
