@@ -6,7 +6,8 @@ separator is an empty gzip member, which readers skip. Reading takes whole
 archive files (``binaryFile``); ``written archives`` stay near one input partition in size.
 
 The salvage reader checks each record (gzip checksum, version line, length, block
-digest). When a check fails it searches for the next place where a valid record
+digest). A response holds the page itself as its block, without an HTTP head, as the pages
+have none; its type is ``text/html``. When a check fails it searches for the next place where a valid record
 begins, a gzip member or a plain version line, goes on there, and reports the
 bytes in between as a quarantined gap.
 """
@@ -28,6 +29,8 @@ from pyspark.sql import functions as F
 VERSION = b"WARC/1.1"
 DATE = "2000-01-01T00:00:00Z"  # the pages carry no time of capture; a fixed one keeps archives reproducible
 MIN_REVISIT_BYTES = 1000
+HEADER_LIMIT = 1 << 20  # bytes in which a record's header has to end
+FIRST_PIECE, LAST_PIECE = 4 << 10, 256 << 10  # compressed bytes that a decompressor gets at a time
 MEMBER = b"\x1f\x8b\x08"
 EMPTY_MEMBER = gzip.compress(b"", mtime=0)
 RECORD_ID = "urn:page:"
@@ -107,15 +110,18 @@ def write_archives(pages: DataFrame, path: str, min_bytes: int = MIN_REVISIT_BYT
      .option("lineSep", EMPTY_MEMBER.decode("latin-1")).option("encoding", "ISO-8859-1").text(path))
 
 
-def _parsed(data: bytes) -> tuple[dict, bytes, int] | None:
-    """Header fields, block and size of the record at the start of ``data``; None if not valid."""
-    if not re.match(rb"WARC/1\.[01]\r\n", data[:10]):
+_VERSION_LINE = re.compile(rb"WARC/1\.[01]\r\n")
+
+
+def _parsed(data: bytes, at: int = 0) -> tuple[dict, bytes, int] | None:
+    """Header fields, block and size of the record at ``at``; None if not valid."""
+    if not _VERSION_LINE.match(data, at):
         return None
-    end = data.find(b"\r\n\r\n")
+    end = data.find(b"\r\n\r\n", at, at + HEADER_LIMIT)
     if end < 0:
         return None
     fields = {}
-    for line in data[:end].split(b"\r\n")[1:]:
+    for line in data[at:end].split(b"\r\n")[1:]:
         name, sep, value = line.partition(b":")
         if not sep:
             return None
@@ -130,19 +136,33 @@ def _parsed(data: bytes) -> tuple[dict, bytes, int] | None:
     digest = fields.get("warc-block-digest")
     if digest and digest.lower().startswith("sha1:") and digest.upper() != _base32(hashlib.sha1(block).hexdigest()).upper():
         return None
-    return fields, block, stop + 4
+    return fields, block, stop + 4 - at
+
+
+class TooLarge(Exception):
+    """A member holds more than the limit of one record."""
 
 
 def _member_at(data: bytes, at: int, limit: int) -> tuple[bytes, int] | None:
-    """Content and compressed size of the gzip member at ``at``; None if damaged."""
-    engine = zlib.decompressobj(31)
-    try:
-        content = engine.decompress(data[at:], limit)
-    except zlib.error:
-        return None
-    if not engine.eof:
-        return None
-    return content, len(data) - at - len(engine.unused_data)
+    """Content and compressed size of the gzip member at ``at``; None if damaged.
+
+    The member is fed to the decompressor in growing pieces, so that the rest of the archive
+    is neither copied nor read for it.
+    """
+    engine, view, parts, made, end, step = zlib.decompressobj(31), memoryview(data), [], 0, at, FIRST_PIECE
+    while not engine.eof:
+        if end >= len(data):
+            return None
+        piece = view[end:end + step]
+        end, step = end + len(piece), min(step * 2, LAST_PIECE)
+        try:
+            parts.append(engine.decompress(piece, limit + 1 - made))
+        except zlib.error:
+            return None
+        made += len(parts[-1])
+        if made > limit:
+            raise TooLarge
+    return b"".join(parts), end - at - len(engine.unused_data)
 
 
 def _valid_at(data: bytes, at: int, limit: int):
@@ -157,10 +177,20 @@ def _valid_at(data: bytes, at: int, limit: int):
         parsed = _parsed(content)
         return (parsed[0], parsed[1], size) if parsed and parsed[2] == len(content) else None
     if data.startswith(b"WARC/1.", at):
-        return _parsed(data[at:])
+        return _parsed(data, at)
     return None
 
 
+def _checked_at(data: bytes, at: int, limit: int):
+    """``_valid_at`` and, if it is None, the reason."""
+    try:
+        found = _valid_at(data, at, limit)
+    except TooLarge:
+        return None, f"record of more than {limit} bytes"
+    return found, ("damaged member" if data.startswith(MEMBER, at)
+                   else "damaged record" if data.startswith(b"WARC/1.", at) else "no record")
+
+
 _BEGIN = re.compile(rb"\x1f\x8b\x08|WARC/1\.")
 
 
@@ -168,14 +198,12 @@ def salvage(data: bytes, limit: int = 1 << 30):
     """Yield ``("record", offset, length, fields, block)`` and ``("gap", offset, length, reason)``.
 
     Every byte of ``data`` lies in one record, an empty member or one gap. ``limit``
-    bounds the size of one uncompressed record.
+    bounds the size of one uncompressed record; a larger one is a gap that says so.
     """
     at, data = 0, memoryview(data).tobytes()
     while at < len(data):
-        found = _valid_at(data, at, limit)
+        found, reason = _checked_at(data, at, limit)
         if found is None:
-            reason = ("damaged member" if data.startswith(MEMBER, at)
-                      else "damaged record" if data.startswith(b"WARC/1.", at) else "no record")
             nxt = at + 1
             while True:
                 begin = _BEGIN.search(data, nxt)
@@ -183,7 +211,7 @@ def salvage(data: bytes, limit: int = 1 << 30):
                     nxt = len(data)
                     break
                 nxt = begin.start()
-                if _valid_at(data, nxt, limit) is not None:
+                if _checked_at(data, nxt, limit)[0] is not None:
                     break
                 nxt += 1
             yield "gap", at, nxt - at, reason

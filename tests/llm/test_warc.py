@@ -106,3 +106,28 @@ def test_gaps_of_files(spark, tmp_path):
     gap = [r for r in rows if r.kind == "gap"]
     assert [(r.offset, r.length, r.reason) for r in gap] == [(len(members[0]), len(members[1]), "damaged member")]
     assert gap[0].file.endswith("x.warc.gz") and len(rows) == 5
+
+
+def test_reading_grows_with_the_archive():
+    import time
+
+    def seconds(records):
+        page = b"<html>" + bytes(range(256)) * 8 + b"</html>"
+        members = [warc.page_record(f"urn:page:{i}", "http://x", page + str(i).encode(), hashlib.sha1(page).hexdigest()) for i in range(records)]
+        data, best = b"".join(members), 1e9
+        for _ in range(3):
+            began = time.perf_counter()
+            assert sum(item[0] == "record" for item in warc.salvage(data)) == records
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    seconds(200)
+    assert seconds(4000) < 2 * 2.5 * seconds(2000)
+
+
+def test_a_record_over_the_limit_says_so():
+    big = warc.page_record("urn:page:1", "http://x", b"a" * 50_000, "00" * 20)
+    small = warc.page_record("urn:page:2", "http://x", b"b", hashlib.sha1(b"b").hexdigest())
+    items = list(warc.salvage(big + small, limit=10_000))
+    assert [i[0] for i in items] == ["gap", "record"] and "more than 10000 bytes" in items[0][3]
+    assert items[0][2] == len(big) and items[1][4] == b"b"
