@@ -8,10 +8,12 @@ import uuid
 import zipfile
 from pathlib import Path
 
+import numpy as np
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from blendwise.session import ensure_checkpoint_dir
+from blendwise.session import ensure_checkpoint_dir, remove_path
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -52,6 +54,30 @@ def new_path(spark: SparkSession, tag: str) -> str:
     return f"{shared_dir(spark)}/blendwise-{tag}-{uuid.uuid4().hex}"
 
 
+def unused(name: str, taken) -> str:
+    """``name``, with as many underscores before it as ``taken`` column names ask for."""
+    taken = {c.lower() for c in taken}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def bounded_slices(batch, column: int, most: int):
+    """Slices of an Arrow batch of which the texts in ``column`` hold about ``most`` bytes; a longer text is a slice."""
+    sizes = np.array([0 if n is None else n for n in pc.binary_length(batch.column(column)).to_pylist()], np.int64)
+    ends, lo = np.cumsum(sizes), 0
+    while lo < batch.num_rows:
+        hi = max(int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + most, "right")), lo + 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
+def drop_written(df: DataFrame) -> None:
+    """Delete a table of ``written`` after its last reader."""
+    for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove_path(df.sparkSession, path)
+
+
 def written(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: later steps neither
     repeat its work nor depend on the executors that did it."""

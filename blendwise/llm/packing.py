@@ -18,18 +18,20 @@ from array import array
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
-from blendwise.llm.common import written
+from blendwise.llm.common import bounded_slices, unused, written
 
 WINDOW = 4096
 GROUP_PIECES = 20_000  # pieces packed together
 END_ID = 2
 WORDS = 400_000  # words whose ids a worker keeps
+BATCH_BYTES = 4 << 20  # text that is split at a time; one longer text is split by itself
 MARK = "\x01"  # no letter, so a piece of its own
 SIGNS = ".,;:!?#*$%&|"
 
@@ -135,13 +137,25 @@ class WordTokenizer:
         for w, (letters, signs) in runs.items():
             known[w] = known[letters] + (known[signs] if signs else b"")
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        split = [t.split(" ") for t in texts]  # only at spaces; other white space is inside a word
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        """Ids of each text (null: none). Arrow splits the texts and numbers their words, so
+        that only distinct words become Python objects; numpy puts the ids together."""
         known = self.known
         if len(known) > WORDS:
             known.clear()
-        self._learn(list({w for words in split for w in words if w not in known}))
-        return [np.frombuffer(b"".join([known[w] for w in words]), "<u4") for words in split]
+        words = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), " ")  # only at spaces; other white space is inside a word
+        coded = words.flatten().dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        self._learn([w for w in distinct if w not in known])
+        raw = [known[w] for w in distinct]
+        sizes = np.fromiter(map(len, raw), np.int64, len(raw)) // 4
+        table, starts = np.frombuffer(b"".join(raw), "<u4"), np.cumsum(sizes) - sizes
+        word = coded.indices.to_numpy()
+        lengths = sizes[word]
+        ends = np.cumsum(lengths)
+        ids = table[np.repeat(starts[word] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        edges = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
+        return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
 
 
 def tokenised_pieces(docs: DataFrame, path: str, end_id: int = END_ID, window: int = WINDOW,
@@ -163,10 +177,9 @@ def tokenised_pieces(docs: DataFrame, path: str, end_id: int = END_ID, window: i
             _TOKENIZERS[path] = WordTokenizer(path)
         row_id, end = TaskContext.get().partitionId() << 40, np.array([end_id], "<u4")
         for batch in batches:
-            for lo in range(0, batch.num_rows, 256):
-                part = batch.slice(lo, 256)
+            for part in bounded_slices(batch, 1, BATCH_BYTES):
                 rows = {"row_id": [], "at": [], "start": [], "length": [], "ids": [], "doc_tokens": []}
-                for i, ids in enumerate(_TOKENIZERS[path].encode([t or "" for t in part.column(1).to_pylist()])):
+                for i, ids in enumerate(_TOKENIZERS[path].encode(part.column(1))):
                     ids = np.append(ids, end).astype("<u4")
                     for start in range(0, len(ids), window):
                         piece = ids[start:start + window]
@@ -201,8 +214,9 @@ def pack(pieces: DataFrame, capacity: int = WINDOW, group_pieces: int = GROUP_PI
         return (table.select(names).append_column("sequence_id", pa.array(ids, pa.int64()))
                 .append_column("offset", pa.array(offset, pa.int64())))
 
-    dealt = fixed.select(*names, F.pmod(F.xxhash64("row_id", "start"), F.lit(groups)).alias("__group"))
-    return dealt.groupBy("__group").applyInArrow(packed, schema)
+    group = unused("group", names)
+    dealt = fixed.select(*names, F.pmod(F.xxhash64("row_id", "start"), F.lit(groups)).alias(group))
+    return dealt.groupBy(group).applyInArrow(packed, schema)
 
 
 def padding(length):
