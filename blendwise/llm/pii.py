@@ -21,6 +21,7 @@ prices, hashes, numbers that fail the checks).
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 
 import numpy as np
 import pandas as pd
@@ -67,7 +68,7 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     for chain in _NUMBERS.finditer(text):
         parts = list(re.finditer("[0-9]+", chain.group())) if chain.group().count(".") >= 3 else []
         for i in range(0, len(parts) - 3, 4):
-            if all(len(p.group().lstrip("0")) <= 3 and int(p.group()) <= 255 for p in parts[i:i + 4]):
+            if all(_byte(p.group()) for p in parts[i:i + 4]):
                 spans.append((chain.start() + parts[i].start(), chain.start() + parts[i + 3].end(), "ip"))
     for match in _CARD.finditer(text):
         digits = match.group().replace(" ", "").replace("-", "")
@@ -88,8 +89,14 @@ def base_spans(text: str) -> list[tuple[int, int, str]]:
     return spans
 
 
+def _byte(digits: str) -> bool:
+    """Whether the number is at most 255; digits may be any number of zeros first."""
+    own = digits.lstrip("0")
+    return len(own) <= 3 and int(own or "0") <= 255
+
+
 def regions(text: str) -> list[tuple[int, int]]:
-    """Runs of words that each hold a digit or @, one white-space character apart."""
+    """Runs of words that each hold a digit or @, at most GAP white-space characters of any kind apart."""
     out = []
     at = 0
     while True:
@@ -101,12 +108,13 @@ def regions(text: str) -> list[tuple[int, int]]:
             begin -= 1
         end = _WORD.match(text, begin).end()
         at = end
-        if out and begin - out[-1][1] == 1 and text[begin - 1] == " ":
+        if out and begin - out[-1][1] <= GAP and text[out[-1][1]:begin].isspace():
             out[-1] = (out[-1][0], end)
         else:
             out.append((begin, end))
 
 
+GAP = 3
 _SEED = re.compile(r"[0-9@]")
 FEATURES = 30
 
@@ -132,8 +140,8 @@ def features(text: str, begin: int, end: int) -> list[int]:
         "@" in span and not re.fullmatch(r"[\w.%+-]+@[\w-]+(\.[\w-]+)+", span),
         letters, letters and "@" not in span,
         bool(re.fullmatch(r"9\.9\.9\.9", shape)),
-        bool(re.fullmatch(r"9\.9\.9\.9", shape)) and all(len(p) <= 3 and int(p) <= 255 for p in parts),
-        bool(re.fullmatch(r"9\.9\.9\.9", shape)) and not all(len(p) <= 3 and int(p) <= 255 for p in parts),
+        bool(re.fullmatch(r"9\.9\.9\.9", shape)) and all(len(p) <= 3 and _byte(p) for p in parts),
+        bool(re.fullmatch(r"9\.9\.9\.9", shape)) and not all(len(p) <= 3 and _byte(p) for p in parts),
         span.startswith("+"), "(" in span and ")" in span, span.count("(") != span.count(")"),
         "-" in span and not letters, " " in span, "." in span and "@" not in span,
         any(c in span for c in "/:,;=$%&#*\"'!?|<>_"),
@@ -305,9 +313,14 @@ def _variants(rng: np.random.Generator, n: int = 120) -> list[tuple[str, list[tu
 
 
 def fit_field(docs: DataFrame, size: int = SAMPLE, id_col: str = "doc_id", text_col: str = "text") -> SemiMarkovCRF:
-    """The field trained on the regions of at most ``size`` documents, chosen by a hash."""
-    rows = (docs.where(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("t"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
-            .orderBy("h", "t").limit(size).collect())
+    """The field trained on the regions of at most ``size`` documents, chosen by a hash.
+
+    Repeated rows count once; an empty table trains it on the made-up notations alone.
+    """
+    hashed = docs.where(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("t"), F.xxhash64(F.col(id_col), F.col(text_col)).alias("h"))
+    # the hashes first: a limit over rows with texts would send each task's own choice of texts to the driver
+    least = [r.h for r in hashed.select("h").distinct().orderBy("h").limit(size).collect()]
+    rows = hashed.where(F.col("h") <= least[-1]).dropDuplicates(["h"]).orderBy("h").collect() if least else []
     return SemiMarkovCRF().fit(_region_texts([r["t"] for r in rows]) + _variants(np.random.default_rng(17)))
 
 
@@ -321,10 +334,17 @@ def find(text: str | None, field: SemiMarkovCRF) -> list[tuple[int, int, str, bo
     base = base_spans(text)
     spans = [(s, e, k, True) for s, e, k in base]
     if _SEED.search(text):
-        taken = sorted((s, e) for s, e, _ in base)
+        taken: list[list[int]] = []  # the base spans' union, in order
+        for s, e, _ in sorted(base):
+            if taken and s < taken[-1][1]:
+                taken[-1][1] = max(taken[-1][1], e)
+            else:
+                taken.append([s, e])
+        ends = [y for _, y in taken]
         for begin, end in regions(text):
             for s, e, k in field.decode(text, begin, end):
-                if not any(s < y and x < e for x, y in taken):
+                i = bisect_right(ends, s)  # the first that ends beyond the start
+                if i == len(taken) or taken[i][0] >= e:
                     spans.append((s, e, k, False))
     return sorted(spans, key=lambda x: (x[0], KINDS.index(x[2]), x[1]))
 

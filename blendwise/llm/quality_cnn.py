@@ -21,6 +21,7 @@ WIDTH, STRIDE = 8, 4
 EMBED, FILTERS, HIDDEN = 4, 24, 16
 BLOCK = 1024  # half chunks convolved at once
 SAMPLE = 2400  # labelled documents used for fitting
+LEAK = 0.05  # slope of a hidden unit below zero
 EPOCHS, STEPS = 10, 300  # at least so many passes, and so many steps
 
 
@@ -70,7 +71,8 @@ class ByteCNN:
         return np.concatenate([halves.max(0), chunks.mean(0)]), halves, chunks
 
     def head(self, vector):
-        hidden = np.maximum(vector @ self.p["h"] + self.p["h_b"], 0)
+        hidden = vector @ self.p["h"] + self.p["h_b"]
+        hidden = np.where(hidden > 0, hidden, LEAK * hidden)  # a unit that is negative everywhere still learns
         return hidden, 1 / (1 + np.exp(-np.clip(hidden @ self.p["o"] + self.p["o_b"], -30, 30)))
 
     def score(self, text: str | None) -> float:
@@ -88,7 +90,7 @@ class ByteCNN:
         d = (prob - label).astype(np.float32)
         grads["o"] += hidden[:, None] * d
         grads["o_b"] += d
-        dh = (self.p["o"][:, 0] * d) * (hidden > 0)
+        dh = (self.p["o"][:, 0] * d) * np.where(hidden > 0, np.float32(1), np.float32(LEAK))
         grads["h"] += np.outer(vector, dh)
         grads["h_b"] += dh
         if not raw:
@@ -107,6 +109,8 @@ class ByteCNN:
         db *= halves > 0
         grads["conv_b"] += db.sum(0)
         row, col = np.nonzero(db)
+        if not len(row):  # every hidden unit or filter is silent for this document
+            return
         starts = at[row, col] * STRIDE
         rows = _halves(raw)
         data = rows[row[:, None], starts[:, None] + np.arange(WIDTH)]  # (k, WIDTH) bytes
@@ -122,7 +126,7 @@ class ByteCNN:
         v2 = {k: np.zeros_like(v) for k, v in self.p.items()}
         step, total = 0, epochs * -(-len(examples) // batch)
         for _ in range(epochs):
-            order = rng.permutation(len(examples))
+            order = _mixed_classes([y for _, y in examples], rng)
             for lo in range(0, len(order), batch):
                 grads = {k: np.zeros_like(v) for k, v in self.p.items()}
                 chosen = order[lo:lo + batch]
@@ -139,6 +143,18 @@ class ByteCNN:
         return self
 
 
+def _mixed_classes(labels: list[int], rng) -> np.ndarray:
+    """Places of as many examples as there are, in turns of both labels: the rarer label's are drawn again and again,
+    so that every batch has both, however rare one is and in whatever order the rows come."""
+    labels = np.array(labels)
+    sides = [rng.permutation(np.flatnonzero(labels == y)) for y in (0, 1)]
+    if not all(map(len, sides)):
+        return rng.permutation(len(labels))
+    half = -(-len(labels) // 2)
+    sides = [np.concatenate([rng.permutation(s) for _ in range(-(-half // len(s)))])[:half] for s in sides]
+    return np.stack(sides, axis=1).ravel()[:len(labels)]
+
+
 def held_out(id_col: str = "doc_id"):
     """Whether a row belongs to the held-out fold: crc32 of the id as text, mod 5, is 0.
 
@@ -176,13 +192,14 @@ def score_column(model: ByteCNN, text):
 
 def fit_quality(docs: DataFrame, labels: DataFrame, target: str = "quality", size: int = SAMPLE,
                 id_col: str = "doc_id", text_col: str = "text") -> ByteCNN:
-    """Fit the network on a bounded labelled sample. Without any labelled row the
-    untrained network's prior (one half) is what every text scores."""
+    """Fit the network on a bounded labelled sample, both labels taking equal parts in it.
+
+    Without any labelled row the untrained network's prior (one half) is what every text
+    scores. Repeated rows are sampled as they come, columns besides the named ones are not read.
+    """
     examples = labelled_sample(docs, labels, target, size, id_col, text_col)
     model = ByteCNN()
     if not examples:
         model.p["o"][:] = 0
         return model
-    share = np.clip(np.mean([y for _, y in examples]), 0.02, 0.98)
-    model.p["o_b"][:] = np.log(share / (1 - share))
     return model.fit(examples)

@@ -25,10 +25,10 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from blendwise.llm.common import checkpointed, components, written
+from blendwise.llm.common import checkpointed, components, written, unused
 
 BITS = 64
 SEED = 42
@@ -133,9 +133,12 @@ def links(fingerprints: DataFrame, radius: int) -> DataFrame:
 
 
 def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2,
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text", row_key: Column | None = None) -> DataFrame:
     """Per row of ``docs``: ``doc_id, fingerprint (long), component_id``.
 
+    With ``row_key``, an expression over ``docs``, also ``row_key`` and ``component``, a
+    fingerprint of the component that tells components apart whatever ids they hold.
+
     ``component_id`` is the smallest doc_id among all documents reachable by
     links of at most ``radius`` differing bits. Texts that are null, empty or
     only white space have fingerprint 0 and are linked like any other. Repeated
@@ -143,13 +146,29 @@ def simhash_components(docs: DataFrame, width: int = 3, radius: int = 2,
     component id unless the component holds no other. Extra columns are not
     read, whatever their names. An empty table gives an empty result.
     """
-    prints = written(docs.select(F.col(id_col).alias("doc_id"),
-                                 fingerprint_column(F.col(text_col), width).alias("fingerprint")), "simhash")
+    keyed = [] if row_key is None else ["row_key"]
+    prints = written(docs.select(F.col(id_col).alias("doc_id"), fingerprint_column(F.col(text_col), width).alias("fingerprint"),
+                                 *[row_key.alias(c) for c in keyed]), "simhash")
     distinct = prints.groupBy(F.col("fingerprint").alias("fp")).agg(F.min("doc_id").alias("first_id"))
     roots = components(links(distinct.select("fp"), radius))
     rooted = (distinct.join(roots, distinct.fp == roots.node, "left")
               .select("fp", "first_id", F.coalesce("root", "fp").alias("root")))
     ids = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    classes = rooted.join(ids, "root").select("fp", "component_id")
+    classes = rooted.join(ids, "root").select("fp", "component_id", F.col("root").alias("component"))
     return (prints.join(classes, prints.fingerprint == classes.fp, "left")
-            .select("doc_id", "fingerprint", "component_id"))
+            .select("doc_id", "fingerprint", "component_id", *[c for k in keyed for c in (k, "component")]))
+
+
+def one_of_each(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` per component, all columns: that of the smallest id, null ids last.
+
+    Of rows with that id the one of the smallest hash stays. Components are told apart by
+    their fingerprints, so groups that share an id each keep a row.
+    """
+    key = unused("row_key", docs.columns)
+    hashed = docs.withColumn(key, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
+    found = simhash_components(hashed, width, radius, id_col, text_col, F.col(f"`{key}`"))
+    chosen = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("row")).select(
+        F.bitwise_not("row.row_key").alias("chosen"))
+    kept = hashed.join(chosen, F.bitwise_not(F.col(f"`{key}`")) == F.col("chosen"), "left_semi")
+    return kept.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -52,6 +52,15 @@ def test_stages_on_awkward_rows(spark, stages):
         stage(spark, docs, SF).count()
 
 
+def test_groups_that_share_their_smallest_id_each_keep_a_row(spark, stages):
+    one, other = "red apples grow on the old tree near the river", "twelve blue boats sail over the cold northern sea"
+    docs = documents(spark, [(1, one), (2, one), (1, other), (3, other), (None, "last words of nobody at all here"), (None, "last words of nobody at all here")],
+                     row_key="k", chosen="c", component=4, none=5)
+    kept = stages.near_duplicates(spark, docs, SF)
+    assert kept.columns == docs.columns
+    assert sorted((r.text, r.doc_id) for r in kept.collect()) == sorted([(one, 1), (other, 1), ("last words of nobody at all here", None)])
+
+
 def test_run(spark, stages):
     out = stages.run(spark, SF)
     assert out.count() > 0 and out.columns[:2] == ["doc_id", "start"]
@@ -61,11 +70,11 @@ def test_run(spark, stages):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracle(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages", "labels"):
+    for t in ("documents", "pages", "labels", "embeddings"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = sorted(con.execute(ORACLE_SQL[name]).fetchall(), key=str)
     assert sorted(map(tuple, QUERIES[name](spark, SF).collect()), key=str) == want
 
 
 def test_queries_are_named_by_operator():
-    assert sorted(n.split("_")[0] for n in QUERIES) == sorted([*(f"op{i}" for i in range(1, 11)), "pipeline"])
+    assert sorted(n.split("_")[0] for n in QUERIES) == sorted([*(f"op{i}" for i in range(1, 14)), "pipeline"])
