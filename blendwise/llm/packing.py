@@ -32,7 +32,7 @@ GROUP_PIECES = 20_000  # pieces packed together
 END_ID = 2
 WORDS = 400_000  # words whose ids a worker keeps
 BATCH_BYTES = 4 << 20  # text that is split at a time; one longer text is split by itself
-MARK = "\x01"  # no letter, so a piece of its own
+MARK = "\x01"  # no letter, so a piece of its own, whose id no word without it can have
 SIGNS = ".,;:!?#*$%&|"
 
 
@@ -123,7 +123,7 @@ class WordTokenizer:
                     new[signs] = None
             else:
                 new[w] = None
-        plain = [w for w in new if w.isalpha()]
+        plain = [w for w in new if MARK not in w]
         for lo in range(0, len(plain), 2048):  # many words in one call, told apart by a mark between them
             part = plain[lo:lo + 2048]
             ids = np.array(self.tokenizer.encode(f" {MARK} ".join(part), add_special_tokens=False).ids, "<u4")
@@ -132,7 +132,7 @@ class WordTokenizer:
                 known[w] = raw[at:end]
                 at = end + 4
         for w in new:
-            if w not in known:
+            if MARK in w:
                 known[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
         for w, (letters, signs) in runs.items():
             known[w] = known[letters] + (known[signs] if signs else b"")

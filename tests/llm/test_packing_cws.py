@@ -108,3 +108,19 @@ def test_few_documents(spark):
         out = cws.weighted_fingerprints(documents(spark, rows)).collect()
         assert len(out) == len(rows)
     assert cws.weighted_fingerprints(documents(spark, [(1, "one two")])).first().near_next == 1.0
+
+
+def test_words_in_one_call_have_the_ids_of_the_text():
+    import random
+
+    import pyarrow as pa
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from blendwise.llm import packing
+    path = public_tokenizers.path("word_bpe_49k.json")
+    rng, plain, own = random.Random(1), Tokenizer.from_file(path), packing.WordTokenizer(path)
+    signs = "abcXYZéßñ日本語012!?.,'\"$%&#\x01\x02\t\ń 　\U0001F600ā<>[]() "
+    texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(3000)] + [None, "", " ", "\x01", "it's 1\x01 a\x01b"]
+    for text, ids in zip(texts, own.encode(pa.array(texts, pa.string()))):
+        assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
