@@ -15,9 +15,13 @@ WIDTH, RADIUS = 3, 2  # shingle words and differing bits of SimHash near-dedup
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Per document with lines: how many, which are dropped, and the classes' doc ids."""
-    classes = line_dedup.line_classes(table(spark, sf_dir, "documents"))
-    return line_dedup.line_decisions(classes).select("doc_id", "n_lines", "dropped_lines")
+    """One row per document row: how many lines it has, and for each line that goes the (doc_id, line) that stays."""
+    docs = table(spark, sf_dir, "documents")
+    found = line_dedup.line_decisions(line_dedup.line_classes(docs)).select(F.col("doc_key").alias("of"), "n_lines", "dropped")
+    keyed = docs.select("doc_id", line_dedup.document_key("doc_id", "text").alias("key"))
+    return keyed.join(found, F.col("key") == F.col("of"), "left").select(
+        "doc_id", F.coalesce("n_lines", F.lit(0).cast("long")).alias("n_lines"), F.coalesce(F.size("dropped"), F.lit(0)).cast("long").alias("n_dropped"),
+        F.col("dropped.line_no").alias("dropped_lines"), F.col("dropped.keep_id").alias("kept_doc_ids"), F.col("dropped.keep_no").alias("kept_lines"))
 
 
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
