@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from blendwise.functions.aggs import count_, sum_
 from blendwise.operators import (
-    days_of_periods, dense_ids, distinct_rollup, full_outer, gap_fill, granularity_rollup, reduce_to, split_full_outer,
+    cap_at, days_of_periods, dense_ids, distinct_rollup, full_outer, gap_fill, granularity_rollup, reduce_to, split_full_outer,
 )
 from blendwise.plans import roles
 from blendwise.plans.oracle import GRAIN_LIST, ORDERS_FIRST_CTE, SQL, period_start
@@ -202,3 +202,17 @@ periods AS (
   SELECT DISTINCT status, g, {period_start('g', 'd')} AS date
   FROM (SELECT status, g, unnest(generate_series(lo, hi, INTERVAL 1 DAY)) AS d FROM bounds))
 SELECT date, g AS date_granularity, status, orders FROM periods LEFT JOIN facts USING (status, g, date)"""
+
+
+# --------------------------------------------------------------------- D8 --
+
+@query("capped_at_today")
+def q_capped_at_today(spark, sf):
+    """Orders moved 28 years on, up to the current date."""
+    moved = tables(spark, sf)["orders"].select(F.add_months(F.col("o_orderdate").cast("date"), 336).alias("date"), "o_orderkey")
+    return cap_at(moved, start="2021-01-01").groupBy(F.trunc("date", "month").alias("month")).agg(F.count(F.lit(1)).alias("orders"))
+
+
+SQL["capped_at_today"] = """
+SELECT CAST(date_trunc('month', d) AS DATE) AS month, COUNT(*) AS orders
+FROM (SELECT CAST(o_orderdate + INTERVAL 28 YEAR AS DATE) AS d FROM orders) WHERE d BETWEEN DATE '2021-01-01' AND current_date GROUP BY 1"""
