@@ -84,6 +84,39 @@ ORDERS_FIRST_CTE = """o_first AS (
   FROM orders)"""
 
 
+def fee_sql(rows: str, switch: str) -> str:
+    """``rows`` (a SELECT) with the monthly fee pool shared out by spend, from three rule tables.
+
+    A row's part of its month's spend, per channel, market and breakdown, times the pool for
+    its grain; campaigns of the fee's kind also carry the uplift.
+    """
+    return f"""
+WITH spent AS ({rows}),
+kind_rule(channel, market, campaign_type) AS (VALUES ('Google Ads', 'US', 'Demand Gen'), ('Google Ads', 'US', 'Youtube')),
+pool_rule(first_day, pool) AS (VALUES (DATE '0001-01-01', 10000.0::DOUBLE), (DATE '{switch}', 17000.0::DOUBLE)),
+span_rule(date_granularity, months, days) AS (VALUES ('day', NULL, 1), ('week', NULL, 7), ('month', 1, NULL), ('quarter', 3, NULL), ('year', 12, NULL)),
+sorted AS (
+  SELECT s.*, CAST(date_trunc('month', date) AS DATE) AS month_start,
+         CASE WHEN k.channel IS NOT NULL AND google_campaign IS NOT NULL THEN
+           CASE WHEN regexp_matches(google_campaign, 'image', 'i') THEN 'image' ELSE 'video' END END AS kind
+  FROM spent s LEFT JOIN kind_rule k ON k.channel = s.channel AND k.market = s.market AND k.campaign_type = s.campaign_type),
+month_total AS (
+  SELECT month_start, channel, market, kind IS NOT DISTINCT FROM 'video' AS video, SUM(spend) AS total FROM sorted GROUP BY ALL)
+SELECT s.* EXCLUDE (kind), p.pool AS monthly_fee_pool, total AS total_spend,
+       CAST(s.month_start + INTERVAL 1 MONTH AS DATE) - s.month_start AS days_in_month,
+       CAST(date_trunc('quarter', date) + INTERVAL 3 MONTH AS DATE) - CAST(date_trunc('quarter', date) AS DATE) AS days_in_quarter,
+       CAST(date_trunc('year', date) + INTERVAL 1 YEAR AS DATE) - CAST(date_trunc('year', date) AS DATE) AS days_in_year,
+       CASE WHEN t.video THEN 'DG Video' ELSE 'Other' END AS dg_breakdown,
+       CASE kind WHEN 'video' THEN spend * 1.02565::DOUBLE + spend / NULLIF(total, 0) * COALESCE(
+                   pool * months, pool / (CAST(s.month_start + INTERVAL 1 MONTH AS DATE) - s.month_start) * days)
+                 WHEN 'image' THEN spend * 1.02565::DOUBLE ELSE 0 END AS spend_with_fees
+FROM sorted s
+JOIN month_total t ON t.month_start = s.month_start AND t.channel IS NOT DISTINCT FROM s.channel AND t.market IS NOT DISTINCT FROM s.market
+  AND t.video = (kind IS NOT DISTINCT FROM 'video')
+ASOF JOIN pool_rule p ON date >= p.first_day
+LEFT JOIN span_rule USING (date_granularity)"""
+
+
 def store_cte(grains=GRAINS) -> str:
     body = per_grain(
         "  SELECT " + trunc("{g}", "d") + " AS date, '{g}' AS date_granularity,\n"
