@@ -291,3 +291,38 @@ def test_personal_data_on_awkward_rows(spark, field):
         elif not r.x:
             assert r.r == r.text
     assert pii.fit_field(docs.limit(0)).weights.shape == (pii.FEATURES, len(pii.KINDS))
+
+
+def test_long_zeros_are_a_small_number():
+    text = "0" * 5000 + ".1.2.3 and 00000000300.1.2.3"
+    assert pii.base_spans(text) == [(0, 5006, "ip")]
+
+
+def test_regions_join_words_over_any_short_white_space():
+    assert pii.regions("call 555\t123\n4567 or  1  2") == [(5, 17), (22, 26)]
+    assert len(pii.regions("1" + " " * (pii.GAP + 1) + "2")) == 2
+
+
+def test_many_base_spans_do_not_slow_the_field():
+    import time
+    field = pii.SemiMarkovCRF()
+    seconds = []
+    for n in (300, 600):
+        text = "ip 10.0.0.1 x " * n
+        began = time.perf_counter()
+        assert sum(b for *_, b in pii.find(text, field)) == n
+        seconds.append(time.perf_counter() - began)
+    assert seconds[1] < 3 * seconds[0] + 0.5
+
+
+def test_a_silent_network_and_rare_labels_do_not_stop_the_fit():
+    from blendwise.llm import quality_cnn
+    model = quality_cnn.ByteCNN()
+    model.p["h"][:] = 0
+    model.p["h_b"][:] = 0
+    grads = {k: v * 0 for k, v in model.p.items()}
+    model.gradient(b"some words", 1, grads)
+    rng = __import__("numpy").random.default_rng(0)
+    order = quality_cnn._mixed_classes([1] * 60 + [0] * 4, rng)
+    assert len(order) == 64 and sum(i >= 60 for i in order) == 32
+    assert sorted(quality_cnn._mixed_classes([1] * 5, rng)) == [0, 1, 2, 3, 4]
