@@ -165,10 +165,10 @@ def one_of_each(docs: DataFrame, width: int = 3, radius: int = 2, id_col: str =
     Of rows with that id the one of the smallest hash stays. Components are told apart by
     their fingerprints, so groups that share an id each keep a row.
     """
-    key = unused("row_key", docs.columns)
+    key, chosen_key = unused("row_key", docs.columns), unused("chosen", docs.columns)
     hashed = docs.withColumn(key, F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
     found = simhash_components(hashed, width, radius, id_col, text_col, F.col(f"`{key}`"))
     chosen = found.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row_key")).alias("row")).select(
-        F.bitwise_not("row.row_key").alias("chosen"))
-    kept = hashed.join(chosen, F.bitwise_not(F.col(f"`{key}`")) == F.col("chosen"), "left_semi")
+        F.bitwise_not("row.row_key").alias(chosen_key))
+    kept = hashed.join(chosen, F.bitwise_not(F.col(f"`{key}`")) == F.col(f"`{chosen_key}`"), "left_semi")
     return kept.dropDuplicates([key]).select(*[F.col(f"`{c}`") for c in docs.columns])
