@@ -282,3 +282,13 @@ def test_shared_relations_go_with_their_owner(spark):
         folder = shared.folder.removeprefix("file:")
         assert len(os.listdir(folder)) == 2
     assert not os.path.exists(folder)
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_touch_keys_are_those_of_the_output_before_the_roll_up(spark):
+    from blendwise.plans import registry
+    plan = _plan(registry.queries()["touch_orders_fee_allocation"](spark, "/root/testdata/sf0.001"))
+    assert "channel_adj" not in "".join(x for x in plan.splitlines() if "hashpartitioning(" in x)
