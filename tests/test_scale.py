@@ -292,3 +292,12 @@ def test_touch_keys_are_those_of_the_output_before_the_roll_up(spark):
     from blendwise.plans import registry
     plan = _plan(registry.queries()["touch_orders_fee_allocation"](spark, "/root/testdata/sf0.001"))
     assert "channel_adj" not in "".join(x for x in plan.splitlines() if "hashpartitioning(" in x)
+
+
+def test_cascade_merges_the_fan_out_where_the_key_lies(spark):
+    rows = spark.createDataFrame([("a", "2024-02-28", 1), ("a", "2024-02-29", 2), ("b", "2024-03-01", 3), (None, "2024-03-01", 4)], "k string, d string, v int")
+    roll = lambda **o: granularity_rollup(rows, "d", ["k"], {"v": sum_("v")}, **o)
+    assert sorted(map(str, roll().collect())) == sorted(map(str, roll(strategy="union").collect()))
+    plan = _plan(roll())
+    assert "hashpartitioning(k#" in plan  # day rows by key alone
+    assert "hashpartitioning(date#" not in plan  # no shuffle of the five rows of each
