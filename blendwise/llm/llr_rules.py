@@ -18,7 +18,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BUCKETS = 1 << 14
-TRUSTED = 20_000  # labelled documents that form the trusted target
 THRESHOLD = -0.05  # mean log ratio below which a document is dropped
 MILLION = 1_000_000
 SYMBOLS = "#*$%&|<>"
@@ -71,11 +70,11 @@ def word_hashes(w: Column) -> Column:
     return F.transform(w, lambda x: F.xxhash64(F.lower(x)))
 
 
-def trusted_ids(labels: DataFrame, size: int = TRUSTED) -> DataFrame:
-    """At most ``size`` doc_ids with quality 1 and no 0, chosen by a hash of the id."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Every doc_id with quality 1 and no 0."""
     good = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("trusted_id")).agg(
         F.min("quality").alias("q")).where("q = 1")
-    return good.select("trusted_id").orderBy(F.xxhash64("trusted_id"), "trusted_id").limit(size)
+    return good.select("trusted_id")
 
 
 def fit_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
@@ -83,7 +82,7 @@ def fit_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_
 
     The only fetch is one row per bucket. Without trusted documents all ratios are 0.
     """
-    ids = F.broadcast(trusted_ids(labels))  # at most TRUSTED longs
+    ids = trusted_ids(labels)  # broadcast by Spark only if small
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(ids, F.col("id") == F.col("trusted_id"), "left")
             .select(F.col("trusted_id").isNotNull().cast("long").alias("good"),
                     F.explode(let(word_hashes(words(F.col("t"))), buckets)).alias("bucket")))

@@ -326,3 +326,8 @@ def test_a_silent_network_and_rare_labels_do_not_stop_the_fit():
     order = quality_cnn._mixed_classes([1] * 60 + [0] * 4, rng)
     assert len(order) == 64 and sum(i >= 60 for i in order) == 32
     assert sorted(quality_cnn._mixed_classes([1] * 5, rng)) == [0, 1, 2, 3, 4]
+
+
+def test_every_good_label_is_trusted(spark):
+    labels = spark.range(20_050).selectExpr("id AS doc_id", "1 AS quality")
+    assert llr_rules.trusted_ids(labels).count() == 20_050
