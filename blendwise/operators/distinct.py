@@ -1,11 +1,11 @@
-"""Exact distinct counts that roll up.
+"""Exact distinct counts at every grain from one pass.
 
-``COUNT(DISTINCT id)`` per day cannot be added up to weeks or months, as an id may come on several days. Bitmaps can be merged: each id
-gets a dense number, a bitmap of 32,768 numbers (4 KB) is built per (day, keys, block of numbers), and coarser periods or keys
-are the bitwise OR of finer ones. Counting bits at the end gives the exact number. The facts are aggregated once, whatever the number of grains,
-and nothing is expanded.
+``COUNT(DISTINCT id)`` per day cannot be added up to weeks or months, as an id may come on several days. The facts are
+reduced once to a row per (id, day, keys), the rows of an id are brought together, fanned out to their periods and reduced to a
+row per (id, period, keys) where they lie; what is left is to count rows. Work and shuffles grow with the facts, whether an id's
+days are near each other or not, and no task holds more than the ids dealt to it.
 
-Numbers are given in order of the id's own date, so that the ids of a day lie in few blocks: full bitmaps cost one bit an id.
+``dense_ids`` numbers ids in the order of their own date.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from blendwise.functions.aggs import Agg
 from blendwise.functions.columns import as_col
-from blendwise.functions.dates import GRAINS, to_date
-from blendwise.operators.calendar import key_names_of, stack_levels
+from blendwise.functions.dates import GRAINS, period_start, to_date
+from blendwise.operators.calendar import key_names_of
 
 PER_PART = 1 << 20  # ids that are numbered together
 
@@ -57,17 +57,18 @@ def distinct_rollup(df: DataFrame, date_col, keys: Sequence, dense_col: str, dis
     if bad:
         raise ValueError(f"{bad} are not decomposable; give distinct counts in ``distinct``")
     key_names = key_names_of(df, keys)
-    number = as_col(dense_col).cast("long")
+    flags = {f"__b{i}": F.lit(True) if cond is None else F.coalesce(cond, F.lit(False)) for i, cond in enumerate(distinct.values())}
     inputs = {f"__m{i}": a for i, a in enumerate(aggs.values())}
-    positions = {f"__b{i}": F.bitmap_bit_position(number if cond is None else F.when(cond, number)) for i, cond in enumerate(distinct.values())}
-    projected = df.select(to_date(date_col).alias("__day"), *[as_col(k) for k in keys], F.bitmap_bucket_number(number).alias("__block"),
-                          *[p.alias(n) for n, p in positions.items()],
+    projected = df.select(to_date(date_col).alias("__day"), *[as_col(k) for k in keys], as_col(dense_col).cast("long").alias("__id"),
+                          *[c.alias(n) for n, c in flags.items()],
                           *[(F.lit(1) if a.expr is None else as_col(a.expr)).alias(n) for n, a in inputs.items()])
     rebound = {n: Agg(a.kind, None if a.expr is None else F.col(n), a.fill) for n, a in inputs.items()}
-    daily = projected.groupBy("__day", *key_names, "__block").agg(
-        *[F.bitmap_construct_agg(n).alias(n) for n in positions], *[a.partial().alias(n) for n, a in rebound.items()])
-    merged = [*[F.bitmap_or_agg(n).alias(n) for n in positions], *[a.merge_partial(n).alias(n) for n, a in rebound.items()]]
-    levels = stack_levels(daily, grains, week_start, [*key_names, "__block"], merged,
-                          [*[F.bitmap_count(n).alias(n) for n in positions], *[F.col(n) for n in rebound]], date_name, grain_name)
-    return levels.groupBy(date_name, grain_name, *key_names).agg(
-        *[F.sum(n).alias(name) for n, name in zip(positions, distinct)], *[a.merge(n).alias(name) for (n, a), name in zip(rebound.items(), aggs)])
+    daily = projected.groupBy("__id", "__day", *key_names).agg(
+        *[F.max(n).alias(n) for n in flags], *[a.partial().alias(n) for n, a in rebound.items()])
+    fan = F.inline(F.array(*[F.struct(F.lit(g).alias(grain_name), period_start("__day", g, week_start).alias(date_name)) for g in grains]))
+    # an id has a row per day and key at most, so none is hot; its periods are merged without another shuffle
+    each = daily.repartition("__id").select("*", fan).groupBy("__id", date_name, grain_name, *key_names).agg(
+        *[F.max(n).alias(n) for n in flags], *[a.merge_partial(n).alias(n) for n, a in rebound.items()])
+    return each.groupBy(date_name, grain_name, *key_names).agg(
+        *[F.count_if(F.col(n) & F.col("__id").isNotNull()).alias(name) for n, name in zip(flags, distinct)],
+        *[a.merge(n).alias(name) for (n, a), name in zip(rebound.items(), aggs)])

@@ -301,3 +301,12 @@ def test_cascade_merges_the_fan_out_where_the_key_lies(spark):
     plan = _plan(roll())
     assert "hashpartitioning(k#" in plan  # day rows by key alone
     assert "hashpartitioning(date#" not in plan  # no shuffle of the five rows of each
+
+
+def test_distinct_rollup_holds_no_block_per_day(spark):
+    """One id a block of 32,768 numbers and day: rows as many as facts, not a bitmap each."""
+    far = spark.createDataFrame([(i * 40_000, f"2024-01-{1 + i % 28:02d}", i % 3) for i in range(84)], "number long, d string, k int")
+    got = distinct_rollup(far, "d", ["k"], "number", {"ids": None, "odd": F.col("number") % 80_000 != 0}, {"n": count_()})
+    assert "bitmap" not in _plan(got)
+    year = {r["k"]: (r["ids"], r["odd"], r["n"]) for r in got.where("date_granularity = 'year'").collect()}
+    assert year == {k: (28, 14, 28) for k in range(3)}
