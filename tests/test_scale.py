@@ -310,3 +310,10 @@ def test_distinct_rollup_holds_no_block_per_day(spark):
     assert "bitmap" not in _plan(got)
     year = {r["k"]: (r["ids"], r["odd"], r["n"]) for r in got.where("date_granularity = 'year'").collect()}
     assert year == {k: (28, 14, 28) for k in range(3)}
+
+
+def test_adset_blend_sums_each_channel_where_it_lies(spark):
+    from blendwise.plans.queries import tables
+    from blendwise.plans import registry
+    plan = _plan(registry.queries()["adset_store_blend"](spark, "/root/testdata/sf0.001"))
+    assert not [x for x in plan.splitlines() if "hashpartitioning(" in x and "campaign_id#" in x and "date_granularity#" in x]
