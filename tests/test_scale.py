@@ -317,3 +317,13 @@ def test_adset_blend_sums_each_channel_where_it_lies(spark):
     from blendwise.plans import registry
     plan = _plan(registry.queries()["adset_store_blend"](spark, "/root/testdata/sf0.001"))
     assert not [x for x in plan.splitlines() if "hashpartitioning(" in x and "campaign_id#" in x and "date_granularity#" in x]
+
+
+def test_partitions_follow_the_input(spark, tmp_path):
+    from blendwise.session import configure_for, partitions_for_input
+    spark.range(200_000).selectExpr("rand(1) AS a").write.parquet(f"{tmp_path}/t.parquet")
+    few, many = (partitions_for_input(spark, str(tmp_path), n) for n in (1 << 30, 1 << 16))
+    assert few == 1 and many >= 200_000 * 8 // (1 << 16) // 2
+    configure_for(spark, str(tmp_path))
+    assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
