@@ -6,7 +6,10 @@ scores the document (Wang & Cho 2019).
 
 Tokens: the corpus's most frequent lower-cased words and, for all other words,
 hash classes; one more token stands for both ends of a text. Counting the words
-covers every document.
+covers every document. A word of a class is predicted as itself: the probability of
+its class in the context, times the word's share of the class, counted over the whole corpus. The shares
+are a table of all words. Those of the KNOWN most frequent words go to the workers, the others are joined to
+the words of the documents; no word is left to its class alone.
 
 Network: a left and a right embedding are added and pass through tanh to a
 softmax over all tokens. It is fitted to the counts of (left, token, right)
@@ -38,6 +41,8 @@ VOCABULARY = WORDS + CLASSES + 1
 END = VOCABULARY - 1
 WIDTH = 32
 PARTS, ROUNDS, STEP_CONTEXTS = 8, 3, 512
+BILLION = 1_000_000_000
+KNOWN, LONGEST = 50_000, 100  # shares that workers hold, of words of at most so many characters; all others are joined
 
 
 def words_of(text: str | None) -> list[str]:
@@ -61,11 +66,33 @@ def _word_counts(batches):
     yield emit()
 
 
-def vocabulary(docs: DataFrame, text_col: str = "text") -> list[str]:
-    """The WORDS most frequent lower-cased words of all documents (ties by word)."""
+def word_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``(word, n)``: every lower-cased word of all documents."""
     counts = docs.select(F.col(text_col).alias("text")).mapInArrow(_word_counts, "word string, n long")
-    top = counts.groupBy("word").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "word").limit(WORDS)
-    return [r["word"] for r in top.collect()]
+    return counts.groupBy("word").agg(F.sum("n").alias("n"))
+
+
+def _most_frequent(counts: DataFrame) -> list[str]:
+    return [r["word"] for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+
+
+def vocabulary(docs: DataFrame, text_col: str = "text") -> list[str]:
+    """The WORDS most frequent lower-cased words of all documents (ties by word); ``class_shares`` has the rest."""
+    return _most_frequent(word_counts(docs, text_col))
+
+
+def class_shares(counts: DataFrame, words: list[str]) -> DataFrame:
+    """``(word, n, share)`` of every word outside ``words``: log of its share of its hash class, in whole billionths."""
+
+    @F.pandas_udf("int")
+    def token(column: pd.Series) -> pd.Series:
+        tokens = Tokens(words)
+        return column.map(tokens.__getitem__)
+
+    classed = counts.select("word", "n", token("word").alias("token")).where(F.col("token") >= WORDS)
+    totals = classed.groupBy("token").agg(F.sum("n").alias("total"))  # CLASSES rows
+    share = F.round(F.log(F.col("n") / F.col("total")) * BILLION).cast("long")
+    return classed.join(F.broadcast(totals), "token").select("word", "n", share.alias("share"))
 
 
 class Tokens(dict):
@@ -235,16 +262,35 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     and a null mean. Repeated rows each get their score. Extra columns are not
     read. An empty table gives an empty result.
     """
-    words = vocabulary(docs, text_col)
+    counts = written(word_counts(docs, text_col), "lm-words")
+    words = _most_frequent(counts)
+    shares = written(class_shares(counts, words), "lm-shares")
+    top = shares.where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(KNOWN).select("word", "share")
+    known = {r["word"]: r["share"] for r in top.collect()}
     p = train(context_counts(docs, words, text_col))
     z = normalisers(p)
 
-    @F.pandas_udf("n_tokens long, log_likelihood double")
+    @F.pandas_udf("n_tokens long, log_likelihood double, known long, others array<string>")
     def score(texts: pd.Series) -> pd.DataFrame:
-        tokens = Tokens(words)
-        rows = [tokens.of(t) for t in texts]
-        return pd.DataFrame({"n_tokens": [len(t) - 2 for t in rows], "log_likelihood": [document_score(p, z, t) for t in rows]})
-
-    return (docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col)).alias("s"))
-            .select("doc_id", "s.n_tokens", "s.log_likelihood",
-                    F.when(F.col("s.n_tokens") > 0, F.col("s.log_likelihood") / F.col("s.n_tokens")).alias("mean_log_likelihood")))
+        tokens, out = Tokens(words), []
+        for t in texts:
+            row, total, others = tokens.of(t), 0, []
+            for w, x in zip(words_of(t), row[1:-1].tolist()):
+                if x >= WORDS:
+                    share = known.get(w)
+                    if share is None:
+                        others.append(w)
+                    else:
+                        total += share
+            out.append((len(row) - 2, document_score(p, z, row), total, others))
+        return pd.DataFrame(out, columns=["n_tokens", "log_likelihood", "known", "others"])
+
+    # written, so that a row keeps its number
+    scored = written(docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col)).alias("s"))
+                     .select("doc_id", "s.*", F.monotonically_increasing_id().alias("row")), "lm-scores")
+    found = scored.select(F.col("row").alias("of"), F.explode("others").alias("word")).join(shares.select("word", "share"), "word")
+    within = found.groupBy("of").agg(F.sum("share").alias("within"))
+    total = F.col("log_likelihood") + (F.col("known") + F.coalesce("within", F.lit(0).cast("long"))) / BILLION
+    return (scored.drop("others").join(within, F.col("row") == F.col("of"), "left")
+            .select("doc_id", "n_tokens", total.alias("log_likelihood"),
+                    F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_likelihood")))

@@ -331,3 +331,21 @@ def test_a_silent_network_and_rare_labels_do_not_stop_the_fit():
 def test_every_good_label_is_trusted(spark):
     labels = spark.range(20_050).selectExpr("id AS doc_id", "1 AS quality")
     assert llr_rules.trusted_ids(labels).count() == 20_050
+
+
+@pytest.mark.parametrize("known", [0, 50_000])
+def test_words_outside_the_vocabulary_are_predicted_as_themselves(spark, monkeypatch, known):
+    """Two words of one class, of which one is nine times as frequent, differ by log 9."""
+    monkeypatch.setattr(lm, "KNOWN", known)  # shares from the join alone, or from the workers' table
+    frequent = " ".join(f"f{i:03d} " * 40 for i in range(lm.WORDS))
+    tokens, seen = lm.Tokens([f"f{i:03d}" for i in range(lm.WORDS)]), {}
+    for i in range(500):
+        word = f"r{i}"
+        other = seen.setdefault(tokens[word], word)
+        if other != word:
+            break
+    rows = [(0, frequent), (1, other), (2, word), (3, word), (3, word), (4, f"{other} f000"), (5, None)] + [(10 + i, word) for i in range(15)]
+    got = lm.pseudo_likelihood(documents(spark, rows, **EXTRA)).collect()
+    assert len(got) == len(rows)
+    score = {r.doc_id: r.log_likelihood for r in got}
+    assert abs(score[2] - score[1] - np.log(18 / 2)) < 1e-6 and score[3] == score[2] and score[5] == 0
