@@ -77,16 +77,25 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.select("trusted_id")
 
 
-def fit_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
-    """Log ratio per bucket in millionths, from the counts of all documents.
+def bucket_counts(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``(bucket, raw, good)``: n-grams of all and of the trusted documents.
 
-    The only fetch is one row per bucket. Without trusted documents all ratios are 0.
+    The documents meet the trusted ids in a shuffle whatever the number of ids, so that disk grows with
+    the texts alone; the ids, one row each, are the hashed side and the texts are not sorted.
     """
-    ids = trusted_ids(labels)  # broadcast by Spark only if small
+    ids = trusted_ids(labels).hint("shuffle_hash")
     rows = (docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(ids, F.col("id") == F.col("trusted_id"), "left")
             .select(F.col("trusted_id").isNotNull().cast("long").alias("good"),
                     F.explode(let(word_hashes(words(F.col("t"))), buckets)).alias("bucket")))
-    counts = rows.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good")).collect()
+    return rows.groupBy("bucket").agg(F.count("*").alias("raw"), F.sum("good").alias("good"))
+
+
+def fit_ratios(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> np.ndarray:
+    """Log ratio per bucket in millionths, from the counts of all documents.
+
+    The only fetch is one row per bucket. Without trusted documents all ratios are 0.
+    """
+    counts = bucket_counts(docs, labels, id_col, text_col).collect()
     raw, good = np.zeros(BUCKETS), np.zeros(BUCKETS)
     for r in counts:
         raw[r["bucket"]], good[r["bucket"]] = r["raw"], r["good"]

@@ -133,6 +133,15 @@ def test_rules_match_brute_force(spark, labels):
     assert not llr_rules.fit_ratios(docs, labels.limit(0)).any()
 
 
+def test_trusted_ids_meet_the_texts_in_the_same_way_at_any_size(spark, labels):
+    few = llr_rules.bucket_counts(documents(spark, AWKWARD), labels)
+    plan = few._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "BroadcastHashJoin" not in plan and "SortMergeJoin" not in plan
+    grown = [(i, t) for i, t in AWKWARD for _ in range(2)]  # ids and texts that come twice count twice
+    twice = {r.bucket: (r.raw, r.good) for r in llr_rules.bucket_counts(documents(spark, grown), labels.union(labels)).collect()}
+    assert twice == {r.bucket: (2 * r.raw, 2 * r.good) for r in few.collect()}
+
+
 def test_language_model(spark):
     docs = documents(spark, AWKWARD, **EXTRA)
     words = lm.vocabulary(docs)
