@@ -110,17 +110,23 @@ class WordTokenizer:
     def _learn(self, words: list[str]) -> None:
         """Ids of new words. A run of Latin letters and the signs after it are
         separate pieces, and ASCII letters are lower-cased, so most new words are
-        made of known runs; only what is left goes through the tokenizer."""
-        known, runs, new = self.known, {}, {}
+        made of known runs. A run of ASCII letters is a piece as it is and goes to the model
+        without the tokenizer's normaliser and splitter; only what is left goes through all of it."""
+        known, runs, new, pieces = self.known, {}, {}, self.tokenizer.model.tokenize
         for w in words:
             letters = w.rstrip(SIGNS)
-            if letters.isalpha() and (letters.isascii() or max(letters) < "\u0250"):
-                run, signs = letters.lower() if letters.isascii() else letters, w[len(letters):]
-                runs[w] = run, signs
+            ascii_letters = letters.isascii()
+            if letters.isalpha() and (ascii_letters or max(letters) < "\u0250"):
+                run, signs = letters.lower() if ascii_letters else letters, w[len(letters):]
                 if run not in known:
-                    new[run] = None
-                if signs and signs not in known:
-                    new[signs] = None
+                    if ascii_letters:
+                        known[run] = array("I", [t.id for t in pieces(run)]).tobytes()
+                    else:
+                        new[run] = None
+                if run != w:
+                    runs[w] = run, signs
+                    if signs and signs not in known:
+                        new[signs] = None
             else:
                 new[w] = None
         plain = [w for w in new if MARK not in w]
@@ -143,7 +149,8 @@ class WordTokenizer:
         known = self.known
         if len(known) > WORDS:
             known.clear()
-        words = pc.split_pattern(pc.fill_null(texts.cast(pa.large_string()), ""), " ")  # only at spaces; other white space is inside a word
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        words = pc.split_pattern(texts, " ")  # at spaces and line ends; other white space is inside a word
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
         self._learn([w for w in distinct if w not in known])

@@ -3,6 +3,7 @@ import random
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from helpers import AWKWARD, EXTRA, PROSE, documents
 from tokenizers import Tokenizer
@@ -61,6 +62,25 @@ def test_pieces_and_sequences(spark):
     assert packing.pack(packing.tokenised_pieces(docs.limit(0), path)).count() == 0
 
 
+def test_plain_runs_skip_the_normaliser_and_line_ends_split_words():
+    class Seen:
+        def __init__(self, inner):
+            self.inner, self.model, self.texts = inner, inner.model, []
+
+        def encode(self, text, **how):
+            self.texts.append(text)
+            return self.inner.encode(text, **how)
+
+    path = P.path("word_bpe_49k.json")
+    words = packing.WordTokenizer(path)
+    words.tokenizer = seen = Seen(words.tokenizer)
+    text = "Plain words here.\nOther words, naïve ones\nend"
+    (ids,) = words.encode(pa.array([text]))
+    assert ids.tolist() == seen.inner.encode(text, add_special_tokens=False).ids
+    assert not set("plain words here other ones end".split()) & set(" ".join(seen.texts).lower().split())
+    assert "naïve" in " ".join(seen.texts) and not any("\n" in w for w in words.known)
+
+
 def jaccard(a, b):
     a, b = cws.term_weights(a), cws.term_weights(b)
     return sum((a & b).values()) / max(1, sum((a | b).values()))
