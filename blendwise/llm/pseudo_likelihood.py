@@ -95,48 +95,75 @@ def class_shares(counts: DataFrame, words: list[str]) -> DataFrame:
     return classed.join(F.broadcast(totals), "token").select("word", "n", share.alias("share"))
 
 
+def _class_of(word: str) -> int:
+    return WORDS + xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) % CLASSES
+
+
 class Tokens(dict):
-    """word -> token; words outside the vocabulary go to hash classes."""
+    """word -> token; words outside the vocabulary go to hash classes.
+
+    The i-th of the words ``known`` (from 1) also has VOCABULARY * i in its number.
+    """
 
-    def __init__(self, words: list[str]):
+    def __init__(self, words: list[str], known: list[str] = ()):
         super().__init__((w, i) for i, w in enumerate(words))
-        self.words = words
+        self.update((w, VOCABULARY * i + _class_of(w)) for i, w in enumerate(known, 1))
+        self.first = dict(self)
 
     def __missing__(self, word):
-        token = WORDS + xxhash.xxh64_intdigest(word.encode("utf-8", "surrogatepass")) % CLASSES
-        if len(self) > 300_000:
+        token = _class_of(word)
+        if len(self) > len(self.first) + 300_000:
             self.clear()
-            self.update((w, i) for i, w in enumerate(self.words))
+            self.update(self.first)
         self[word] = token
         return token
 
     def of(self, text: str | None) -> np.ndarray:
         """Tokens of a text between two end tokens."""
-        words = words_of(text)
+        return self.of_words(words_of(text))
+
+    def of_words(self, words: list[str]) -> np.ndarray:
         out = np.full(len(words) + 2, END, np.int64)
-        out[1:-1] = np.fromiter(map(self.__getitem__, words), np.int64, len(words))
+        out[1:-1] = np.array(list(map(self.__getitem__, words)), np.int64)
         return out
 
 
 def context_counts(docs: DataFrame, words: list[str], text_col: str = "text") -> DataFrame:
-    """``(context, token, n)`` over all documents; context is left * VOCABULARY + right."""
+    """``(context, token, n)`` over all documents; context is left * VOCABULARY + right.
+
+    A task's counts leave it as one row per left token, which holds the (right, token) cells
+    seen and their counts as numbers, so that they are added without a row for each.
+    """
 
     def count(batches):
-        tokens, cells = Tokens(words), np.zeros(VOCABULARY ** 3, np.int32)
+        tokens, cells, one = Tokens(words), np.zeros(VOCABULARY ** 3, np.int32), np.int32(1)  # of the same type, which numpy adds much faster
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 t = tokens.of(text)
                 if len(t) > 2:
-                    np.add.at(cells, (t[:-2] * VOCABULARY + t[2:]) * VOCABULARY + t[1:-1], 1)
-        seen = np.flatnonzero(cells)
-        for lo in range(0, len(seen), 1 << 18):
-            part = seen[lo:lo + (1 << 18)]
-            yield pa.record_batch([pa.array((part // VOCABULARY).astype(np.int32)),
-                                   pa.array((part % VOCABULARY).astype(np.int32)),
-                                   pa.array(cells[part].astype(np.int64))], names=["context", "token", "n"])
+                    np.add.at(cells, (t[:-2] * VOCABULARY + t[2:]) * VOCABULARY + t[1:-1], one)
+        for left, of_left in enumerate(cells.reshape(VOCABULARY, -1)):
+            seen = np.flatnonzero(of_left)
+            if len(seen):
+                yield pa.record_batch([pa.array([left], pa.int32()), pa.array([seen.astype("<u2").tobytes()], pa.binary()),
+                                       pa.array([of_left[seen].astype("<i4").tobytes()], pa.binary())], names=["left", "cells", "n"])
+
+    rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "left int, cells binary, n binary")
+    return rows.repartition("left").mapInArrow(_added, "context int, token int, n long")
 
-    counts = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "context int, token int, n long")
-    return counts.groupBy("context", "token").agg(F.sum("n").alias("n"))
+
+def _added(batches):
+    """Rows of ``context_counts`` of the left tokens that a task has; their cells are bounded by the vocabulary."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for left, cells, n in zip(*(c.to_pylist() for c in batch.columns)):
+            if left not in sums:
+                sums[left] = np.zeros(VOCABULARY ** 2, np.int64)
+            sums[left][np.frombuffer(cells, "<u2")] += np.frombuffer(n, "<i4")
+    for left, n in sums.items():
+        seen = np.flatnonzero(n)
+        yield pa.record_batch([pa.array((left * VOCABULARY + seen // VOCABULARY).astype(np.int32)),
+                               pa.array((seen % VOCABULARY).astype(np.int32)), pa.array(n[seen])], names=["context", "token", "n"])
 
 
 def initial(seed: int = 5) -> dict[str, np.ndarray]:
@@ -243,16 +270,35 @@ def normalisers(p) -> np.ndarray:
     return out
 
 
+def log_probabilities(p, z: np.ndarray) -> np.ndarray:
+    """log p(token | left, right) of every (left, right, token)."""
+    out, right = np.empty((VOCABULARY,) * 3, np.float32), np.arange(VOCABULARY)
+    for left in range(VOCABULARY):
+        out[left] = activations(p, np.full(VOCABULARY, left), right) @ p["out"] + p["bias"] - z[left][:, None]
+    return out
+
+
+_TABLES: dict[bytes, np.ndarray] = {}
+
+
 def document_score(p, z: np.ndarray, t: np.ndarray) -> float:
-    """Sum of log p(token | left, right) over the tokens between the two ends."""
-    total = 0.0
-    for lo in range(0, len(t) - 2, 1 << 15):  # bounded memory for long texts
-        part = t[lo:lo + (1 << 15) + 2]
-        left, token, right = part[:-2], part[1:-1], part[2:]
-        h = activations(p, left, right)
-        logits = np.einsum("ij,ij->i", h, p["out"].T[token]) + p["bias"][token]
-        total += float((logits - z[left, right]).sum(dtype=np.float64))
-    return total
+    """Sum of log p(token | left, right) over the tokens between the two ends.
+
+    A worker makes the table of all (left, right, token) once per model; the vocabulary bounds it.
+    """
+    return _score(_table(p, z), t)
+
+
+def _table(p, z: np.ndarray) -> np.ndarray:
+    key = xxhash.xxh3_128_digest(_pack(p) + z.tobytes())
+    if key not in _TABLES:
+        _TABLES.clear()
+        _TABLES[key] = log_probabilities(p, z).ravel()
+    return _TABLES[key]
+
+
+def _score(table: np.ndarray, t: np.ndarray) -> float:
+    return float(table[(t[:-2] * VOCABULARY + t[2:]) * VOCABULARY + t[1:-1]].sum(dtype=np.float64))
 
 
 def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -269,20 +315,16 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     known = {r["word"]: r["share"] for r in top.collect()}
     p = train(context_counts(docs, words, text_col))
     z = normalisers(p)
+    shares_of = np.array([0, *known.values()], np.int64)
 
     @F.pandas_udf("n_tokens long, log_likelihood double, known long, others array<string>")
     def score(texts: pd.Series) -> pd.DataFrame:
-        tokens, out = Tokens(words), []
+        tokens, table, out = Tokens(words, list(known)), _table(p, z), []
         for t in texts:
-            row, total, others = tokens.of(t), 0, []
-            for w, x in zip(words_of(t), row[1:-1].tolist()):
-                if x >= WORDS:
-                    share = known.get(w)
-                    if share is None:
-                        others.append(w)
-                    else:
-                        total += share
-            out.append((len(row) - 2, document_score(p, z, row), total, others))
+            own = words_of(t)
+            place, row = np.divmod(tokens.of_words(own), VOCABULARY)
+            others = np.flatnonzero((row[1:-1] >= WORDS) & (place[1:-1] == 0))
+            out.append((len(own), _score(table, row), int(shares_of[place].sum()), [own[i] for i in others.tolist()]))
         return pd.DataFrame(out, columns=["n_tokens", "log_likelihood", "known", "others"])
 
     # written, so that a row keeps its number

@@ -142,6 +142,12 @@ def test_trusted_ids_meet_the_texts_in_the_same_way_at_any_size(spark, labels):
     assert twice == {r.bucket: (2 * r.raw, 2 * r.good) for r in few.collect()}
 
 
+def test_context_counts_cross_the_shuffle_packed(spark):
+    docs = documents(spark, AWKWARD * 3).repartition(5)
+    plan = lm.context_counts(docs, lm.vocabulary(docs))._jdf.queryExecution().executedPlan().toString()
+    assert "cells" in plan and "HashAggregate" not in plan
+
+
 def test_language_model(spark):
     docs = documents(spark, AWKWARD, **EXTRA)
     words = lm.vocabulary(docs)
