@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import hashlib
 from collections import Counter
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 SAMPLES = 64
-BLOCK = 2048  # (term, weight) pairs drawn at once
+BLOCK = 2048  # (term, weight) pairs compared at once
+DRAWN = 256  # pairs drawn at once: their numbers stay in a core's cache
 RANGE_BYTES = 4 << 20  # text per range of documents
 MAX_RANGES = 5000  # beyond it ranges grow: they are sorted with spill and read as a stream
 
@@ -30,9 +32,12 @@ MAX_RANGES = 5000  # beyond it ranges grow: they are sorted with spill and read
 def _mixed(x: np.ndarray) -> np.ndarray:
     """splitmix64 finaliser: independent 64-bit values from a counter."""
     x = x + np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    shifted = np.empty_like(x)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        x ^= np.right_shift(x, np.uint64(shift), out=shifted)
+        x *= np.uint64(factor)
+    x ^= np.right_shift(x, np.uint64(31), out=shifted)
+    return x
 
 
 def _uniform(terms: np.ndarray, samples: int, draw: int) -> np.ndarray:
@@ -59,6 +64,11 @@ def term_weights(text: str) -> Counter:
     return Counter(text.lower().split())
 
 
+def _pairs(text: str) -> list[str | tuple[str, int]]:
+    """The (term, weight) pairs of a text; a term of weight 1, as most are, stands for itself."""
+    return [w if n == 1 else (w, n) for w, n in term_weights(text).items()]
+
+
 class Sampler:
     """Fingerprints of texts; the draws of frequent (term, weight) pairs are kept."""
 
@@ -67,41 +77,41 @@ class Sampler:
         self._start()
 
     def _start(self):
-        self.rows: dict[tuple[str, int], int] = {}
+        self.rows: dict[str | tuple[str, int], int] = {}
         self.ln_a = np.empty((BLOCK, self.samples), np.float32)
         self.value = np.empty((BLOCK, self.samples), np.uint16)
 
-    def _learn(self, pairs: list[tuple[str, int]]) -> None:
-        hashes = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w, _ in pairs], np.uint64)
-        weights = np.array([n for _, n in pairs], np.int64)
+    def _learn(self, pairs: list[str | tuple[str, int]]) -> None:
+        terms = [p if isinstance(p, str) else p[0] for p in pairs]
+        hashes = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass")) for w in terms], np.uint64)
+        weights = np.array([1 if isinstance(p, str) else p[1] for p in pairs], np.int64)
         at = len(self.rows)
         while len(self.ln_a) < at + len(pairs):  # doubled, so that rows are copied a few times only
             self.ln_a = np.concatenate([self.ln_a, np.empty_like(self.ln_a)])
             self.value = np.concatenate([self.value, np.empty_like(self.value)])
-        for lo in range(0, len(pairs), BLOCK):
-            rows = slice(at + lo, at + min(lo + BLOCK, len(pairs)))
-            self.ln_a[rows], self.value[rows] = draw(hashes[lo:lo + BLOCK], weights[lo:lo + BLOCK], self.samples)
-        self.rows.update((p, at + i) for i, p in enumerate(pairs))
+        for lo in range(0, len(pairs), DRAWN):
+            rows = slice(at + lo, at + min(lo + DRAWN, len(pairs)))
+            self.ln_a[rows], self.value[rows] = draw(hashes[lo:lo + DRAWN], weights[lo:lo + DRAWN], self.samples)
+        self.rows.update(zip(pairs, range(at, at + len(pairs))))
 
     def fingerprints(self, texts: list[str]) -> list[np.ndarray | None]:
         """One array of SAMPLES 16-bit values per text; None for a text without words."""
-        counted = [list(term_weights(t).items()) for t in texts]
+        counted = [_pairs(t) for t in texts]
         if len(self.rows) > self.kept:
             self._start()
-        new = dict.fromkeys(p for pairs in counted for p in pairs if p not in self.rows)
+        new = [p for p in dict.fromkeys(chain.from_iterable(counted)) if p not in self.rows]
         if new:
-            self._learn(list(new))
-        out, row = [], self.rows.__getitem__
+            self._learn(new)
+        out, row, cols = [], self.rows.__getitem__, np.arange(self.samples)
         for pairs in counted:
             if not pairs:
                 out.append(None)
                 continue
             best_a = best_v = None
             for lo in range(0, len(pairs), BLOCK):  # bounded memory for very long texts
-                at = np.fromiter(map(row, pairs[lo:lo + BLOCK]), np.int64)
+                at = np.array(list(map(row, pairs[lo:lo + BLOCK])))
                 a = self.ln_a[at]
                 win = a.argmin(0)
-                cols = np.arange(self.samples)
                 a, v = a[win, cols], self.value[at[win], cols]
                 if best_a is None:
                     best_a, best_v = a, v

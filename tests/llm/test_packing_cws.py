@@ -104,6 +104,19 @@ def test_blocks_and_forgetting_do_not_change_a_fingerprint(monkeypatch):
     assert [cws.as_hex(small.fingerprints([t])[0]) for t in texts] == want
 
 
+def test_draws_fit_a_cache_and_each_pair_is_looked_up_once(monkeypatch):
+    sizes, drawn = [], cws.draw
+    monkeypatch.setattr(cws, "draw", lambda t, w, n: (sizes.append(len(t)), drawn(t, w, n))[1])
+    sampler = cws.Sampler()
+    text = " ".join(f"t{i % 900}" for i in range(1000))
+    (found,) = sampler.fingerprints([text])
+    terms = list(cws.term_weights(text).items())
+    ln_a, value = drawn(np.array([cws.xxhash.xxh64_intdigest(w.encode()) for w, _ in terms], np.uint64), np.array([n for _, n in terms]))
+    assert (found == value[ln_a.argmin(0), np.arange(cws.SAMPLES)]).all()
+    assert sum(sizes) == 900 and max(sizes) <= 256
+    assert set(sampler.rows) == {w if n == 1 else (w, n) for w, n in terms}
+
+
 @pytest.mark.parametrize("range_bytes", [16 << 20, 2000])
 def test_edited_texts_and_neighbours(spark, range_bytes):
     rows = AWKWARD + [(100 + i, f"{PROSE[:30 * i]} number {i}") for i in range(30)]
