@@ -272,9 +272,12 @@ def normalisers(p) -> np.ndarray:
 
 def log_probabilities(p, z: np.ndarray) -> np.ndarray:
     """log p(token | left, right) of every (left, right, token)."""
-    out, right = np.empty((VOCABULARY,) * 3, np.float32), np.arange(VOCABULARY)
+    out = np.empty((VOCABULARY,) * 3, np.float32)
+    right, token = np.divmod(np.arange(VOCABULARY ** 2), VOCABULARY)
+    weights, bias = p["out"].T[token], p["bias"][token]
     for left in range(VOCABULARY):
-        out[left] = activations(p, np.full(VOCABULARY, left), right) @ p["out"] + p["bias"] - z[left][:, None]
+        h = activations(p, np.full(VOCABULARY, left), right[::VOCABULARY])[right]
+        out[left] = (np.einsum("ij,ij->i", h, weights) + bias - z[left, right]).reshape(VOCABULARY, -1)
     return out
 
 
