@@ -112,23 +112,32 @@ class WordTokenizer:
         separate pieces, and ASCII letters are lower-cased, so most new words are
         made of known runs. A run of ASCII letters is a piece as it is and goes to the model
         without the tokenizer's normaliser and splitter; only what is left goes through all of it."""
-        known, runs, new, pieces = self.known, {}, {}, self.tokenizer.model.tokenize
+        known, later, new, pieces = self.known, [], {}, self.tokenizer.model.tokenize
         for w in words:
             letters = w.rstrip(SIGNS)
-            ascii_letters = letters.isascii()
-            if letters.isalpha() and (ascii_letters or max(letters) < "\u0250"):
-                run, signs = letters.lower() if ascii_letters else letters, w[len(letters):]
-                if run not in known:
-                    if ascii_letters:
-                        known[run] = array("I", [t.id for t in pieces(run)]).tobytes()
-                    else:
-                        new[run] = None
-                if run != w:
-                    runs[w] = run, signs
-                    if signs and signs not in known:
-                        new[signs] = None
+            if not letters.isalpha():
+                new[w] = None
+                continue
+            if letters.isascii():
+                run = letters.lower()
+                ids = known.get(run)
+                if ids is None:
+                    ids = known[run] = array("I", [t.id for t in pieces(run)]).tobytes()
+            elif max(letters) < "\u0250":
+                run, ids = letters, known.get(letters)
+                if ids is None:
+                    new[run] = None
             else:
                 new[w] = None
+                continue
+            signs = w[len(letters):]
+            tail = known.get(signs) if signs else b""
+            if ids is not None and tail is not None:
+                known[w] = ids + tail
+            elif run != w:
+                if tail is None:
+                    new[signs] = None
+                later += w, run, signs  # flat, as a tuple each would be work for the garbage collector
         plain = [w for w in new if MARK not in w]
         for lo in range(0, len(plain), 2048):  # many words in one call, told apart by a mark between them
             part = plain[lo:lo + 2048]
@@ -140,8 +149,8 @@ class WordTokenizer:
         for w in new:
             if MARK in w:
                 known[w] = array("I", self.tokenizer.encode(w, add_special_tokens=False).ids).tobytes()
-        for w, (letters, signs) in runs.items():
-            known[w] = known[letters] + (known[signs] if signs else b"")
+        for w, run, signs in zip(later[::3], later[1::3], later[2::3]):
+            known[w] = known[run] + (known[signs] if signs else b"")
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """Ids of each text (null: none). Arrow splits the texts and numbers their words, so
@@ -160,7 +169,8 @@ class WordTokenizer:
         word = coded.indices.to_numpy()
         lengths = sizes[word]
         ends = np.cumsum(lengths)
-        ids = table[np.repeat(starts[word] - (ends - lengths), lengths) + np.arange(ends[-1] if len(ends) else 0)]
+        kind = np.int32 if len(table) + (ends[-1] if len(ends) else 0) < 1 << 31 else np.int64
+        ids = table[np.repeat((starts[word] - (ends - lengths)).astype(kind), lengths) + np.arange(ends[-1] if len(ends) else 0, dtype=kind)]
         edges = np.concatenate([[0], ends])[words.offsets.to_numpy() - words.offsets[0].as_py()]
         return [ids[a:b] for a, b in zip(edges[:-1], edges[1:])]
 

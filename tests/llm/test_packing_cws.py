@@ -151,9 +151,18 @@ def test_words_in_one_call_have_the_ids_of_the_text():
     from tokenizers import Tokenizer
 
     from blendwise.llm import packing
-    path = public_tokenizers.path("word_bpe_49k.json")
+    path = P.path("word_bpe_49k.json")
     rng, plain, own = random.Random(1), Tokenizer.from_file(path), packing.WordTokenizer(path)
     signs = "abcXYZéßñ日本語012!?.,'\"$%&#\x01\x02\t\ń 　\U0001F600ā<>[]() "
     texts = ["".join(rng.choices(signs, k=rng.randint(0, 60))) for _ in range(3000)] + [None, "", " ", "\x01", "it's 1\x01 a\x01b"]
     for text, ids in zip(texts, own.encode(pa.array(texts, pa.string()))):
         assert ids.tolist() == plain.encode(text or "", add_special_tokens=False).ids, repr(text)
+
+
+def test_words_settled_at_once_and_later_have_the_tokenizers_ids():
+    """Runs and signs are new in the first call and known in the second, in which words are settled as they are read."""
+    path = P.path("word_bpe_49k.json")
+    words, plain = packing.WordTokenizer(path), Tokenizer.from_file(path)
+    for text in ("River river, RIVER! Fluß fluß; Été naïve. ... x1 日本, a\x01b", "RIVER, rIver!! Fluß! Fluß, été; Naïve?! !!! river日本 naïve.x X1,"):
+        (found,) = words.encode(pa.array([text]))
+        assert found.tolist() == plain.encode(text, add_special_tokens=False).ids
