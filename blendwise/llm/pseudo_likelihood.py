@@ -26,6 +26,7 @@ vocabulary too and goes to the workers with the parameters.
 from __future__ import annotations
 
 from collections import Counter
+from itertools import islice
 
 import numpy as np
 import pandas as pd
@@ -33,8 +34,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from blendwise.llm.common import written
+from blendwise.llm.common import bounded_slices, written
 
 WORDS, CLASSES = 191, 64  # frequent words and hash classes; with the end token 256
 VOCABULARY = WORDS + CLASSES + 1
@@ -42,6 +44,8 @@ END = VOCABULARY - 1
 WIDTH = 32
 PARTS, ROUNDS, STEP_CONTEXTS = 8, 3, 512
 BILLION = 1_000_000_000
+REMEMBERED = 100_000  # words of classes that a worker keeps the tokens of
+SLICE_BYTES = 1 << 20  # text that a worker splits into words at a time; one longer text is split by itself
 KNOWN, LONGEST = 50_000, 100  # shares that workers hold, of words of at most so many characters; all others are joined
 
 
@@ -108,13 +112,14 @@ class Tokens(dict):
     def __init__(self, words: list[str], known: list[str] = ()):
         super().__init__((w, i) for i, w in enumerate(words))
         self.update((w, VOCABULARY * i + _class_of(w)) for i, w in enumerate(known, 1))
-        self.first = dict(self)
+        self.first = len(self)
 
     def __missing__(self, word):
         token = _class_of(word)
-        if len(self) > len(self.first) + 300_000:
+        if len(self) > self.first + REMEMBERED:
+            kept = list(islice(self.items(), self.first))  # a dict keeps the order of its words
             self.clear()
-            self.update(self.first)
+            self.update(kept)
         self[word] = token
         return token
 
@@ -320,19 +325,28 @@ def pseudo_likelihood(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     z = normalisers(p)
     shares_of = np.array([0, *known.values()], np.int64)
 
-    @F.pandas_udf("n_tokens long, log_likelihood double, known long, others array<string>")
-    def score(texts: pd.Series) -> pd.DataFrame:
-        tokens, table, out = Tokens(words, list(known)), _table(p, z), []
-        for t in texts:
-            own = words_of(t)
-            place, row = np.divmod(tokens.of_words(own), VOCABULARY)
-            others = np.flatnonzero((row[1:-1] >= WORDS) & (place[1:-1] == 0))
-            out.append((len(own), _score(table, row), int(shares_of[place].sum()), [own[i] for i in others.tolist()]))
-        return pd.DataFrame(out, columns=["n_tokens", "log_likelihood", "known", "others"])
+    schema = T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_tokens", T.LongType()),
+                           T.StructField("log_likelihood", T.DoubleType()), T.StructField("known", T.LongType()),
+                           T.StructField("others", T.ArrayType(T.StringType()))])
+
+    def score(batches):
+        tokens, table = Tokens(words, list(known)), _table(p, z)
+        for batch in batches:
+            for part in bounded_slices(batch, 1, SLICE_BYTES):
+                rows = []
+                for t in part.column(1).to_pylist():
+                    own = words_of(t)
+                    place, row = np.divmod(tokens.of_words(own), VOCABULARY)
+                    others = np.flatnonzero((row[1:-1] >= WORDS) & (place[1:-1] == 0))
+                    rows.append((len(own), _score(table, row), int(shares_of[place].sum()), [own[i] for i in others.tolist()]))
+                columns = zip(*rows)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0), *(pa.array(c, kind) for c, kind in zip(columns, (pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.string()))))],
+                    names=schema.names)
 
     # written, so that a row keeps its number
-    scored = written(docs.select(F.col(id_col).alias("doc_id"), score(F.col(text_col)).alias("s"))
-                     .select("doc_id", "s.*", F.monotonically_increasing_id().alias("row")), "lm-scores")
+    scored = written(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(score, schema)
+                     .withColumn("row", F.monotonically_increasing_id()), "lm-scores")
     found = scored.select(F.col("row").alias("of"), F.explode("others").alias("word")).join(shares.select("word", "share"), "word")
     within = found.groupBy("of").agg(F.sum("share").alias("within"))
     total = F.col("log_likelihood") + (F.col("known") + F.coalesce("within", F.lit(0).cast("long"))) / BILLION

@@ -364,3 +364,13 @@ def test_words_outside_the_vocabulary_are_predicted_as_themselves(spark, monkeyp
     assert len(got) == len(rows)
     score = {r.doc_id: r.log_likelihood for r in got}
     assert abs(score[2] - score[1] - np.log(18 / 2)) < 1e-6 and score[3] == score[2] and score[5] == 0
+
+
+def test_remembered_tokens_are_bounded():
+    words = [f"f{i:03d}" for i in range(lm.WORDS)]
+    tokens = lm.Tokens(words, ["known"])
+    for lo in range(0, 250_000, 1000):
+        found = tokens.of_words([f"w{i}" for i in range(lo, lo + 1000)])
+        assert len(tokens) <= 150_000
+    assert found[1:-1].tolist() == lm.Tokens([]).of_words([f"w{i}" for i in range(249_000, 250_000)])[1:-1].tolist()
+    assert [tokens[w] for w in words] == list(range(lm.WORDS)) and tokens["known"] // lm.VOCABULARY == 1
