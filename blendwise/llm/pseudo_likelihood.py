@@ -43,6 +43,7 @@ VOCABULARY = WORDS + CLASSES + 1
 END = VOCABULARY - 1
 WIDTH = 32
 PARTS, ROUNDS, STEP_CONTEXTS = 8, 3, 512
+LEFT_PARTS = 32  # tasks that add the context counts; each holds the cells of the left tokens it has
 BILLION = 1_000_000_000
 REMEMBERED = 100_000  # words of classes that a worker keeps the tokens of
 SLICE_BYTES = 1 << 20  # text that a worker splits into words at a time; one longer text is split by itself
@@ -56,17 +57,19 @@ def words_of(text: str | None) -> list[str]:
 def _word_counts(batches):
     """(word, n) of the task's documents, combined in memory and emitted when many."""
     counts = Counter()
+    _TABLES.clear()  # of a model before; its worker counts now
 
     def emit():
         return pa.record_batch([pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())],
                                names=["word", "n"])
 
     for batch in batches:
-        for text in batch.column(0).to_pylist():
-            counts.update(words_of(text))
-            if len(counts) > 200_000:
-                yield emit()
-                counts.clear()
+        for part in bounded_slices(batch, 0, SLICE_BYTES):
+            for text in part.column(0).to_pylist():
+                counts.update(words_of(text))
+                if len(counts) > 200_000:
+                    yield emit()
+                    counts.clear()
     yield emit()
 
 
@@ -143,10 +146,11 @@ def context_counts(docs: DataFrame, words: list[str], text_col: str = "text") ->
     def count(batches):
         tokens, cells, one = Tokens(words), np.zeros(VOCABULARY ** 3, np.int32), np.int32(1)  # of the same type, which numpy adds much faster
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                t = tokens.of(text)
-                if len(t) > 2:
-                    np.add.at(cells, (t[:-2] * VOCABULARY + t[2:]) * VOCABULARY + t[1:-1], one)
+            for part in bounded_slices(batch, 0, SLICE_BYTES):
+                for text in part.column(0).to_pylist():
+                    t = tokens.of(text)
+                    if len(t) > 2:
+                        np.add.at(cells, (t[:-2] * VOCABULARY + t[2:]) * VOCABULARY + t[1:-1], one)
         for left, of_left in enumerate(cells.reshape(VOCABULARY, -1)):
             seen = np.flatnonzero(of_left)
             if len(seen):
@@ -154,17 +158,18 @@ def context_counts(docs: DataFrame, words: list[str], text_col: str = "text") ->
                                        pa.array([of_left[seen].astype("<i4").tobytes()], pa.binary())], names=["left", "cells", "n"])
 
     rows = docs.select(F.col(text_col).alias("text")).mapInArrow(count, "left int, cells binary, n binary")
-    return rows.repartition("left").mapInArrow(_added, "context int, token int, n long")
+    return rows.repartition(LEFT_PARTS, "left").mapInArrow(_added, "context int, token int, n long")
 
 
 def _added(batches):
-    """Rows of ``context_counts`` of the left tokens that a task has; their cells are bounded by the vocabulary."""
+    """Rows of ``context_counts`` of the left tokens that a task has, a few; their cells are bounded by the vocabulary."""
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
-        for left, cells, n in zip(*(c.to_pylist() for c in batch.columns)):
-            if left not in sums:
-                sums[left] = np.zeros(VOCABULARY ** 2, np.int64)
-            sums[left][np.frombuffer(cells, "<u2")] += np.frombuffer(n, "<i4")
+        for i in range(batch.num_rows):
+            left, cells, n = (c[i] for c in batch.columns)
+            if left.as_py() not in sums:
+                sums[left.as_py()] = np.zeros(VOCABULARY ** 2, np.int64)
+            sums[left.as_py()][np.frombuffer(cells.as_buffer(), "<u2")] += np.frombuffer(n.as_buffer(), "<i4")
     for left, n in sums.items():
         seen = np.flatnonzero(n)
         yield pa.record_batch([pa.array((left * VOCABULARY + seen // VOCABULARY).astype(np.int32)),

@@ -4,12 +4,14 @@ from collections import Counter
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from helpers import AWKWARD, EXTRA, PROSE, documents
 from pyspark.sql import functions as F
 
 from blendwise.llm import llr_rules, pii, pseudo_likelihood as lm, quality_cnn as cnn
+from blendwise.llm.common import BATCH_BYTES, table
 
 SF = "/root/testdata/sf0.01"
 
@@ -148,6 +150,25 @@ def test_context_counts_cross_the_shuffle_packed(spark):
     assert "cells" in plan and "HashAggregate" not in plan
 
 
+def test_context_counts_are_added_in_small_parts(spark):
+    words = [f"w{i}" for i in range(lm.WORDS)]
+    counts = lm.context_counts(documents(spark, [(1, " ".join(words)), (2, " ".join(words[::-1]))]), words)
+    left = F.floor(F.col("context") / lm.VOCABULARY)
+    tasks = counts.select(F.spark_partition_id().alias("task"), left.alias("left")).groupBy("task").agg(F.count_distinct("left").alias("n")).collect()
+    assert sum(r["n"] for r in tasks) == lm.WORDS + 1 and max(r["n"] for r in tasks) < 30
+
+
+def test_a_worker_gets_texts_in_small_batches(spark, tmp_path):
+    documents(spark, [(i, "x" * 200_000) for i in range(100)]).coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+
+    def sizes(batches):
+        for batch in batches:
+            yield pa.record_batch([pa.array([batch.num_rows]), pa.array([batch.nbytes])], names=["n", "size"])
+
+    found = table(spark, str(tmp_path), "documents").mapInArrow(sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in found) == 100 and max(r["size"] for r in found) < BATCH_BYTES + 300_000
+
+
 def test_language_model(spark):
     docs = documents(spark, AWKWARD, **EXTRA)
     words = lm.vocabulary(docs)
