@@ -15,7 +15,7 @@ from blendwise.functions.aggs import exact_sum_, max_, min_
 from blendwise.operators import (
     days_of_periods, dense_ids, distinct_rollup, full_outer, gap_fill, granularity_rollup, reduce_to, split_full_outer,
 )
-from blendwise.session import Shared, ensure_checkpoint_dir
+from blendwise.session import SCALE_CONF, Shared, ensure_checkpoint_dir
 from blendwise.sources import PublishError, publish, publishing, read_tables
 from blendwise.sources.bucketed import ContractError, bucketed_table, write_bucketed
 
@@ -222,6 +222,15 @@ def test_a_hot_reduced_key_does_not_fill_one_task(spark):
     assert sum(split) == 40_000 and max(split) <= 2 * sum(split) / 8
 
 
+def test_a_side_of_some_megabytes_is_not_broadcast(spark):
+    left = spark.range(1_000_000).select((F.col("id") % 700_001).alias("k"), "id")
+    right = spark.range(700_000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))  # 11 MB, several times that as a hash table
+    sized = {k: SCALE_CONF[k] for k in SCALE_CONF if k.endswith("roadcastJoinThreshold")}
+    with settings(spark, **sized):
+        assert "BroadcastHashJoin" not in physical(left.join(right, "k"))
+    assert int(SCALE_CONF["spark.sql.files.maxPartitionBytes"]) <= 32 << 20
+
+
 def test_reduce_to_is_a_semi_join_with_a_bloom_filter(spark):
     t = read_tables(spark, SF)
     few = t["orders"].where("o_orderpriority = '1-URGENT'").select(F.col("o_orderkey").alias("l_orderkey"))
