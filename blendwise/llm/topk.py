@@ -230,7 +230,8 @@ def _searched(space: Space, index: DataFrame, chunks: DataFrame, dims: int, need
                 yield pa.record_batch([pa.array(out["qid"], pa.int64()), pa.array(out["score"], pa.int64()), pa.array(out["id"], pa.int64()),
                                        pa.array(out["same"], pa.bool_())], names=["qid", "score", "id", "same"])
 
-    pairs = chunks.select(F.col("annulus").alias("of"), "qids", "beats", F.col("vectors").alias("queries")).join(
+    # a query is sent to up to 256 annuli, which no size estimate of the chunks knows of: without the hint they are sent to the driver and broadcast
+    pairs = chunks.select(F.col("annulus").alias("of"), "qids", "beats", F.col("vectors").alias("queries")).hint("merge").join(
         index, F.col("of") == F.col("annulus")).select("annulus", "lo", "hi", "vectors", "ids", "qids", "queries", "beats")
     return pairs.mapInArrow(best, "qid long, score long, id long, same boolean")
 
@@ -270,7 +271,8 @@ def _of_length(rows: DataFrame, dims: int, k: int, pivots: int, sample: int) ->
                                          F.max("square").alias("square"))
                        .select("v", "square", F.col("ids.id").alias("ids"), F.size("ids").cast("long").alias("n")), "topk-vectors")
     largest = distinct.agg(F.max("square")).first()[0]
-    drawn = distinct.orderBy(F.xxhash64("v"), "v").limit(sample).select("v").collect()
+    # written first: collecting a limit sends each task's rows to the driver, a sample for every partition
+    drawn = written(distinct.orderBy(F.xxhash64("v"), "v").limit(sample).select("v"), "topk-sample").orderBy(F.xxhash64("v"), "v").collect()
     space = Space(choose_pivots(_matrix([bytes(r.v) for r in drawn], dims), pivots), largest)
 
     keyed = "annulus int, distance double, v binary, ids array<long>, n long"
@@ -280,7 +282,8 @@ def _of_length(rows: DataFrame, dims: int, k: int, pivots: int, sample: int) ->
     for r in cut.collect():  # a row per pivot
         cuts[r.annulus // RINGS] = r.cuts
     placed = distinct.mapInArrow(_annuli(space, dims, cuts), keyed)
-    index = written(placed.repartitionByRange("annulus", "distance", "v").sortWithinPartitions("annulus", "distance", "v")
+    # the bounds of the ranges come from rows that are sent to the driver: a hash breaks ties there, not the vector
+    index = written(placed.repartitionByRange("annulus", "distance", F.xxhash64("v")).sortWithinPartitions("annulus", "distance", "v")
                     .mapInArrow(_gathered(["annulus", "distance", "v", "ids"], BLOCK, _block_row), INDEX), "topk-index")
     counted = index.groupBy("annulus").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"),
                                            F.sum(F.aggregate("ids", F.lit(0).cast("long"), lambda n, x: n + F.size(x))).alias("n"))

@@ -73,3 +73,22 @@ def test_far_annuli_are_not_visited():
             bound = space.bound(np.array([q @ q]), space.queries(q[None])[:, p], lo, hi)[0]
             best = (own @ q).max()
             assert bound >= best and (abs(best) < 100_000) == (bound < 500_000)
+
+
+def test_chunks_are_not_sent_to_the_driver(spark):
+    """A query goes to up to 256 annuli, so chunks are far larger than the estimate of the queries they come from."""
+    rng = np.random.default_rng(5)
+    space, directory = K.Space(np.eye(4), 4.0), K.Directory([])
+    queries = spark.createDataFrame([(i, bytes(rng.integers(0, 9, 4).astype("<i4")), 0.0) for i in range(9)], "qid long, v binary, beat double")
+    index = spark.createDataFrame([], K.INDEX)
+    plan = K._searched(space, index, K._chunks(space, directory, queries, 4, 3, False), 4, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_samples_at_the_driver_hold_no_vectors(spark):
+    rng = np.random.default_rng(6)
+    seen, by_range = [], type(spark.range(0)).repartitionByRange
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(spark.range(0)), "repartitionByRange", lambda self, *cols: seen.append(self.select(*cols).dtypes) or by_range(self, *cols))
+        check(spark, list(enumerate(vectors(rng, 60, 4, 3, 0.5))))
+    assert len(seen) == 3 and "binary" not in {kind for columns in seen for _, kind in columns}
