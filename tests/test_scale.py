@@ -6,12 +6,14 @@ import glob
 import io
 import os
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
 from blendwise.functions import count_, sum_
 from blendwise.functions.aggs import exact_sum_, max_, min_
+from blendwise.functions.dates import GRAINS
 from blendwise.operators import (
     days_of_periods, dense_ids, distinct_rollup, full_outer, gap_fill, granularity_rollup, reduce_to, split_full_outer,
 )
@@ -336,3 +338,59 @@ def test_partitions_follow_the_input(spark, tmp_path):
     configure_for(spark, str(tmp_path))
     assert spark.conf.get("spark.sql.adaptive.coalescePartitions.initialPartitionNum") == spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.unset("spark.sql.adaptive.coalescePartitions.initialPartitionNum")
+
+
+def shuffle_files(spark) -> set:
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if f.endswith(".data")}
+
+
+def left_after(spark, before) -> set:
+    for _ in range(50):
+        left = shuffle_files(spark) - before
+        if not left:
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_shared_tables_leave_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    with Shared(spark) as shared:
+        table = shared.written(spark.range(100_000).groupBy((F.col("id") % 1000).alias("x")).count().repartition(5, "x"))
+        assert not left_after(spark, before)
+        assert table.count() == 1000
+        held = shared.written(table.select("x"))
+        shared.drop(table)
+        assert held.count() == 1000 and len(os.listdir(shared.folder.removeprefix("file:"))) == 1
+
+
+def test_grains_are_written_one_after_the_other(spark):
+    from blendwise.plans.queries import grain_by_grain
+    before, seen = shuffle_files(spark), []
+
+    def report(grains):
+        seen.append((grains, left_after(spark, before)))
+        days = spark.range(400).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"), (F.col("id") % 3).alias("k"))
+        return granularity_rollup(days, "day", ["k"], {"n": count_()}, grains=grains).repartition(4, "k")
+
+    rows = {tuple(r) for r in grain_by_grain(spark, report).collect()}
+    assert [g for g, _ in seen] == [[g] for g in GRAINS] and not any(left for _, left in seen)
+    days = spark.range(400).select(F.date_add(F.lit("2024-01-01").cast("date"), F.col("id").cast("int")).alias("day"), (F.col("id") % 3).alias("k"))
+    assert rows == {tuple(r) for r in granularity_rollup(days, "day", ["k"], {"n": count_()}).collect()}
+
+
+def test_one_grain_is_rolled_up_in_one_shuffle(spark):
+    rows = spark.range(100).select(F.lit("2024-01-01").cast("date").alias("day"), (F.col("id") % 3).alias("k"))
+    plan = granularity_rollup(rows, "day", ["k"], {"n": count_()}, grains=["week"])._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1
+
+
+def test_written_share_totals_do_not_shuffle_the_rows(spark):
+    from blendwise.operators import share_of_total
+    rows = spark.range(1000).select((F.col("id") % 7).alias("k"), F.col("id").alias("v")).repartition(3)
+    with Shared(spark) as shared:
+        out = share_of_total(rows, "v", ["k"], shared=shared)
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+        assert sorted(map(tuple, out.collect())) == sorted(map(tuple, share_of_total(rows, "v", ["k"]).collect()))
