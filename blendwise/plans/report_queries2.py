@@ -9,7 +9,7 @@ from blendwise.operators.calendar import granularity_rollup
 from blendwise.plans import reports, roles
 from blendwise.plans.driver_facts import ad_period
 from blendwise.plans.oracle import GRAIN_LIST, ORDERS_FIRST_CTE, SQL, period_start
-from blendwise.plans.queries import query, report_query, tables
+from blendwise.plans.queries import grain_by_grain, query, report_query, tables
 from blendwise.plans.roles import money
 
 _SWITCH = "1998-06-30"
@@ -151,9 +151,9 @@ def q_app_install_blend(spark, t, **options):
                    F.col("l_quantity").cast("long").alias("clicks"), F.lit(1).alias("impressions"),
                    F.when(F.col("l_linenumber") <= 3, 1).otherwise(0).alias("skan_app_install"),
                    F.when(F.col("l_linenumber") <= 2, 1).otherwise(0).alias("skan_start_trial")))
-    return reports.app_install_blend(
-        {"mmp": mmp, "skan": skan, "meta": ad_period(t, ["R"], dims, _APP_MEASURES),
-         "google": ad_period(t, ["A"], dims, _APP_MEASURES), "video_raw": raw}, _APP_RULES, **options)
+    return grain_by_grain(spark, lambda grains: reports.app_install_blend(
+        {"mmp": mmp, "skan": skan, "meta": ad_period(t, ["R"], dims, _APP_MEASURES, grains),
+         "google": ad_period(t, ["A"], dims, _APP_MEASURES, grains), "video_raw": raw}, _APP_RULES, grains=grains, **options))
 
 
 SQL["app_install_blend"] = f"""
